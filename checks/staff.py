@@ -556,9 +556,10 @@ _PUNCHES = (
 )
 
 
-def _raw_punches(spark: SparkSession, folder: str) -> DataFrame:
+def _raw_punches(spark: SparkSession, folder: str, per_day: int | None = None) -> DataFrame:
     roster = workforce.operational_roster(roster_days(spark, folder))
-    return workforce.punches_raw(_punch_sources(spark, folder), roster, date(1996, 1, 1))
+    sources = _punch_sources(spark, folder)
+    return workforce.punches_raw(sources, roster, date(1996, 1, 1), per_day)
 
 
 @check(
@@ -595,7 +596,8 @@ def punches_raw(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def punches_wide(spark: SparkSession, folder: str) -> DataFrame:
-    return workforce.punches_wide(_raw_punches(spark, folder))
+    first = _raw_punches(spark, folder, workforce.PUNCHES_PER_DAY)
+    return workforce.punches_wide(first)
 
 
 @check(

@@ -3,7 +3,7 @@
 No broadcast hints: whether a side is broadcast is left to Spark, which compares the
 side's size with `spark.sql.autoBroadcastJoinThreshold` when planning and again, with
 measured sizes, at run time. Sides above it are joined by shuffle, where adaptive skew
-handling splits hot keys.
+handling splits hot keys; `skew` covers the hot keys which that cannot split.
 """
 
 from __future__ import annotations
@@ -16,8 +16,7 @@ from pyspark.sql import types as T
 
 from ringroster.functions import ColumnLike, as_column
 from ringroster.functions.text import key_text, norm_upper
-
-NULL_SPREAD = 1024
+from ringroster.operators.skew import hot_keys, split_left_join
 
 
 def lookup(
@@ -27,37 +26,17 @@ def lookup(
     return df.join(dim, as_column(key) == dim[dim_key], how)
 
 
-fan_out = lookup
-
-
-def left_spread(
-    left: DataFrame,
-    rights: Sequence[tuple[DataFrame, str]],
-    key: ColumnLike,
-    spread_by: Sequence[str],
-    left_pred: Column | None = None,
-) -> DataFrame:
-    """Left outer join to large tables by a key which many left rows lack.
+def fan_out(base: DataFrame, rows: DataFrame, key: str, rows_key: str) -> DataFrame:
+    """Left join of base rows to their many detail rows.
 
-    A left row whose key is NULL, or which fails `left_pred`, can match nothing, yet a
-    plain shuffle join sends all such rows to one task. Here they get a second key part
-    from a hash of `spread_by`, so they are dealt out over many tasks. `left_pred` acts
-    as in an ON clause: it never removes a left row. Several `(table, key column)` with
-    the same left key share one shuffle of the left side; key columns are dropped.
+    The two tables may both be large, and one base row may own a large part of the detail
+    rows, so hot keys of the detail table are split.
     """
-    key = as_column(key)
-    if left_pred is not None:
-        key = F.when(left_pred, key)
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD)).cast("int")
-    joined = left.withColumns(
-        {"_key": key, "_part": F.when(key.isNull(), spread).otherwise(0)}
-    )
-    for right, right_key in rights:
-        # pmod(.., 1) is 0 but no constant, so the optimizer keeps it as a join key
-        right = right.withColumn("_zero", F.pmod(F.hash(right_key), F.lit(1)))
-        on = (F.col("_key") == F.col(right_key)) & (F.col("_part") == F.col("_zero"))
-        joined = joined.join(right, on, "left").drop("_zero", right_key)
-    return joined.drop("_key", "_part")
+    hot = hot_keys(rows, rows_key)
+    if not hot:
+        return lookup(base, rows, key, rows_key)
+    kept = rows.withColumn("_rows_key", F.col(rows_key))
+    return split_left_join(base, [(kept, "_rows_key")], key, [key], hot=hot)
 
 
 def person_names(
@@ -110,7 +89,7 @@ def self_parent(
     parents = parents.select(
         F.col(key).alias("_parent"), *[F.col(c).alias(o) for c, o in parent_columns.items()]
     )
-    return left_spread(df, [(parents, "_parent")], fk, spread_by=[key])
+    return split_left_join(df, [(parents, "_parent")], fk, spread_by=[key])
 
 
 def answer_key(answered_at: ColumnLike, final_status: ColumnLike) -> Column:
@@ -140,10 +119,7 @@ def link_queue_leg(
     (link, answer key) and never pairs all legs of a link. Legs of other kinds are kept
     without a match.
     """
-    matched = answer_key(answered_at, final_status)
-    leg_key = F.when(
-        F.col(link).isNotNull() & matched.isNotNull(), F.struct(F.col(link), matched)
-    )
+    leg_key = F.concat(F.col(link), F.lit(" "), answer_key(answered_at, final_status))
     queue = (
         (legs if calls is None else calls)
         .where((F.col(kind) == queue_kind) & leg_key.isNotNull())
@@ -151,12 +127,13 @@ def link_queue_leg(
             leg_key.alias("_queue_leg"), *[F.col(c).alias(o) for c, o in queue_columns.items()]
         )
     )
-    return left_spread(
+    return split_left_join(
         legs,
         [(queue, "_queue_leg")],
         leg_key,
         spread_by=[key],
         left_pred=F.col(kind) == agent_kind,
+        hot=hot_keys(queue, "_queue_leg"),
     )
 
 
@@ -179,9 +156,12 @@ def join_any_key(
 
     A right row is repeated once per distinct key, so a left row meets it at most once, as
     under the IN condition. `left_pred` belongs to the ON clause. `key` should be an id
-    that is always there; see `left_spread` for keys that are often NULL.
+    that is always there; see `split_left_join` for keys that are often NULL.
     """
     exploded = any_key_rows(right, right_keys)
+    hot = hot_keys(exploded, "_any_key") if how == "left" else []
+    if hot:
+        return split_left_join(left, [(exploded, "_any_key")], key, [key], left_pred, hot)
     condition = left[key] == exploded["_any_key"]
     if left_pred is not None:
         condition = condition & left_pred
@@ -192,7 +172,9 @@ def join_on_expr(
     left: DataFrame, right: DataFrame, expr: Column, right_key: str, spread_by: Sequence[str]
 ) -> DataFrame:
     """Left join on a computed key of the left side; the right key column is dropped."""
-    return left_spread(left, [(right, right_key)], expr, spread_by)
+    return split_left_join(
+        left, [(right, right_key)], expr, spread_by, hot=hot_keys(right, right_key)
+    )
 
 
 def join_roster(

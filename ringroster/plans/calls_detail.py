@@ -47,7 +47,13 @@ from ringroster.functions.text import (
 )
 from ringroster.operators.aggregates import avg_dur, sum_dur
 from ringroster.operators.filters import in_period_instants
-from ringroster.operators.joins import join_any_key, left_spread, link_queue_leg, lookup
+from ringroster.operators.joins import (
+    join_any_key,
+    join_on_expr,
+    link_queue_leg,
+    lookup,
+)
+from ringroster.operators.skew import split_left_join
 from ringroster.period import Period
 from ringroster.sources.policies import KEEP_FIRST, Policy
 
@@ -58,7 +64,9 @@ SOURCES = (
     "tabulacaofila", "tabulacaocampanha", "subtabulacao", "subtabulacaocampanha",
     "templateps", "pesquisasatisfacao", "desconexao", "contatocanal", "contato",
 )
-LEG_KINDS = ("fila", "atendimento fila", "ramal")
+AGENT_KIND = "atendimento fila"
+LEG_KINDS = ("fila", AGENT_KIND, "ramal")
+CONTACT_KINDS = tuple(CONTACT_TYPES)
 QUEUE_KINDS = (1, 2, 3)
 VOICE_ASSISTANT = "assistente de voz"
 QUESTIONS = (1, 2, 3, 4, 5)
@@ -148,10 +156,17 @@ def _with_call_tables(calls: DataFrame, sources: Mapping[str, DataFrame]) -> Dat
 
 
 def _with_related_calls(
-    legs: DataFrame, calls: DataFrame, sources: Mapping[str, DataFrame]
+    legs: DataFrame, sources: Mapping[str, DataFrame], kinds: Sequence[str]
 ) -> DataFrame:
-    """Queue leg, external leg, voice-assistant leg and hang-up record."""
-    legs = link_queue_leg(legs, {"uniqueid": "fila_uniqueid"}, calls=calls)
+    """External leg, voice-assistant leg and hang-up record; agent legs find theirs through
+    the queue leg of the contact."""
+    ended_leg = F.col("uniqueid")
+    if AGENT_KIND in kinds:
+        legs = link_queue_leg(legs, {"uniqueid": "fila_uniqueid"}, calls=sources["ligacao"])
+        ended_leg = F.when(F.col("tipo") == AGENT_KIND, F.col("fila_uniqueid")).otherwise(
+            ended_leg
+        )
+    calls = sources["ligacao"]
     spans = ("datahora", "datahoraatende", "datahorafim", "tempototal", "tempoatendimento")
     external = _named(calls, {"id": "x_id", **{c: f"externo_{c}" for c in spans}})
     billing = _named(
@@ -166,7 +181,7 @@ def _with_related_calls(
     trunk = lookup(
         trunk, _named(sources["tronco"], {"id": "tr_id", "nome": "externo_tronco"}), "le_tronco", "tr_id"
     ).drop("le_tronco", "tr_id")
-    legs = left_spread(
+    legs = split_left_join(
         legs,
         [(external, "x_id"), (billing, "lt_id"), (trunk, "le_id")],
         "idligextprincipal",
@@ -184,12 +199,9 @@ def _with_related_calls(
         "assistente_nome",
         *[f"assistente_{c}" for c in spans],
     )
-    legs = left_spread(legs, [(assistant, "a_id")], "idliganterior", spread_by=["id"])
+    legs = split_left_join(legs, [(assistant, "a_id")], "idliganterior", spread_by=["id"])
     hangup = _named(sources["desconexao"], {"uniqueid": "d_uniqueid", "quem": "quem"})
-    ended_leg = F.when(F.col("tipo") == "atendimento fila", F.col("fila_uniqueid")).otherwise(
-        F.col("uniqueid")
-    )
-    return left_spread(legs, [(hangup, "d_uniqueid")], ended_leg, spread_by=["id"])
+    return join_on_expr(legs, hangup, ended_leg, "d_uniqueid", spread_by=["id"])
 
 
 def _with_names(legs: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
@@ -201,7 +213,7 @@ def _with_names(legs: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
         ("subtabulacaocampanha", "t_idsubtipocampanha", "sc_nome"),
     ):
         names = _named(sources[table], {"id": "_id", "nome": output})
-        legs = lookup(legs, names, key, "_id").drop("_id")
+        legs = lookup(legs, names, key, "_id").drop("_id", key)
     users = _named(
         sources["usuario"], {"id": "usr_id", "matricula": "matricula", "nome": "usuario"}
     )
@@ -222,15 +234,13 @@ def _with_names(legs: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
     channel = _named(sources["contatocanal"], {"id": "conc_id", "idcontato": "conc_contato"})
     contact = _named(sources["contato"], {"id": "c_id", "nome": "nomecontato"})
     contact = lookup(channel, contact, "conc_contato", "c_id").select("conc_id", "nomecontato")
-    return left_spread(legs, [(contact, "conc_id")], "idcontatocanal", spread_by=["id"])
-
+    return split_left_join(legs, [(contact, "conc_id")], "idcontatocanal", spread_by=["id"])
 
-def calls_legs(sources: Mapping[str, DataFrame], period: Period) -> DataFrame:
-    """Every leg of the period (queue, agent and extension) with all related data, typed.
 
-    A leg is repeated for each dialer, tabulation, survey or hang-up row that it has.
-    """
-    calls = sources["ligacao"]
+def contact_legs(
+    sources: Mapping[str, DataFrame], period: Period, kinds: Sequence[str] = LEG_KINDS
+) -> DataFrame:
+    """Legs of the period that reached a queue, with their queue and durations."""
     cost_centre = _named(sources["custo"], {"id": "cc_id", "nome": "centrocusto"})
     queue = _named(
         sources["fila"].where(F.col("tipofila").isin(list(QUEUE_KINDS))),
@@ -242,27 +252,38 @@ def calls_legs(sources: Mapping[str, DataFrame], period: Period) -> DataFrame:
             **{f"campotab{i}": f"f_campotab{i}" for i in range(1, 7)},
         },
     )
-    legs = in_period_instants(calls, "datahora", period).where(
-        F.col("tipo").isin(list(LEG_KINDS))
+    legs = in_period_instants(sources["ligacao"], "datahora", period).where(
+        F.col("tipo").isin(list(kinds))
     )
     legs = lookup(legs, cost_centre, "idcentrocusto", "cc_id", "inner").drop("cc_id")
     legs = lookup(legs, queue, "idfila", "f_id", "inner").drop("f_id")
-    legs = _with_internal_leg(legs, sources)
-    legs = _with_call_tables(legs, sources)
-    legs = _with_related_calls(legs, calls, sources)
-    legs = _with_names(legs, sources)
     wait = secs_between("datahora", "datahorafimespera")
-    return legs.withColumns(
+    return _with_internal_leg(legs, sources).withColumns(
         {
-            "tipofila": code_label("f_tipofila", QUEUE_TYPES, QUEUE_TYPE_OTHER),
-            "status": code_label("idstatus", CALL_STATUS),
-            "statusfinal": code_label("idstatusfinal", FINAL_STATUS, DASH),
             "tempoespera": wait,
             "tempoesperafila": F.when(F.col("tipo") == "fila", wait),
             "tempoduracao": F.col("tempototal"),
-            "nivelservicofila": secs_to_clock("f_servicelevel"),
             "hold_tempo_total": secs_to_clock("tempototalhold"),
             "mudo_tempo_total": secs_to_clock("tempototalmudo"),
+        }
+    )
+
+
+def calls_legs(
+    sources: Mapping[str, DataFrame], period: Period, kinds: Sequence[str] = LEG_KINDS
+) -> DataFrame:
+    """Legs of the period with all related data, typed.
+
+    A leg is repeated for each dialer, tabulation, survey or hang-up row that it has.
+    """
+    legs = _with_call_tables(contact_legs(sources, period, kinds), sources)
+    legs = _with_names(_with_related_calls(legs, sources, kinds), sources)
+    return legs.withColumns(
+        {
+            "tipofila": code_label("f_tipofila", QUEUE_TYPES, QUEUE_TYPE_OTHER),
+            "status": code_label("idstatus", CALL_STATUS),
+            "statusfinal": code_label("idstatusfinal", FINAL_STATUS, DASH),
+            "nivelservicofila": secs_to_clock("f_servicelevel"),
             "textoextra": transfer_text("extra", "idstatusfinal"),
             "campostabulacao": labelled_fields(
                 [(f"f_campotab{i}", f"t_campo{i}") for i in range(1, 7)]
@@ -391,7 +412,7 @@ def calls_detail(
     """
     wanted = legs.where(
         contains_text("centrocusto", cost_centre_contains, collation)
-        & F.col("tipo").isin(list(CONTACT_TYPES))
+        & F.col("tipo").isin(list(CONTACT_KINDS))
     )
     return wanted.select(
         F.date_trunc("second", "datahora").cast("timestamp_ntz").alias("datahora_ts"),
@@ -400,7 +421,10 @@ def calls_detail(
 
 
 def queue_kpis(legs: DataFrame, group: Sequence[str | Column]) -> DataFrame:
-    """Volumes, durations and waits (in seconds) per group, in one aggregation."""
+    """Volumes, durations and waits (in seconds) per group, in one aggregation.
+
+    Meant for `contact_legs`, where each leg is one row, so that nothing counts twice.
+    """
     kind, status = F.col("tipo"), F.col("idstatus")
     queue, extension = kind == "fila", kind == "ramal"
     contact = queue | extension

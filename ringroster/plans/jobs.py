@@ -65,7 +65,8 @@ def _outcome(sources: Sources, period: Period, settings: Settings) -> DataFrame:
 
 
 def _detail(sources: Sources, period: Period, settings: Settings) -> DataFrame:
-    legs = calls_detail.calls_legs(sources, period)
+    # agent legs never land, so neither they nor their queue legs are looked up
+    legs = calls_detail.calls_legs(sources, period, calls_detail.CONTACT_KINDS)
     return calls_detail.calls_detail(
         legs, settings.detail_cost_contains, settings.currency, settings.collation
     )

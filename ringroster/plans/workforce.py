@@ -33,6 +33,7 @@ from ringroster.operators.aggregates import pivot_ordinals
 from ringroster.operators.filters import from_day, in_days, latest_snapshot, none_of
 from ringroster.operators.joins import join_roster, semi_by_keys
 from ringroster.operators.ordering import order_desc, preview
+from ringroster.operators.windows import with_ordinal
 from ringroster.period import Period
 from ringroster.sources.policies import SNAPSHOT, Policy
 
@@ -161,9 +162,16 @@ def newest_logins_first(sessions: DataFrame) -> DataFrame:
 
 
 def punches_raw(
-    sources: Mapping[str, DataFrame], roster: DataFrame, start: date
+    sources: Mapping[str, DataFrame],
+    roster: DataFrame,
+    start: date,
+    per_day: int | None = None,
 ) -> DataFrame:
-    """Punches since `start` of the staff on the roster, with name and schedule."""
+    """Punches since `start` of the staff on the roster, with name and schedule.
+
+    With `per_day`, only the first punches of each person and day are joined; that is all
+    which `punches_wide` shows, and it bounds what one person can contribute.
+    """
     staff = semi_by_keys(sources[EMPLOYEES], roster, "numcad", "cd_matricula").select(
         "numcad",
         norm_upper("nomfun").alias("tx_funcionario"),
@@ -178,6 +186,9 @@ def punches_raw(
     punches = from_day(sources[PUNCHES], "datacc", start).select(
         F.col("numcra").alias("cd_matricula"), F.col("datacc").alias("dt_ponto"), "horacc"
     )
+    if per_day is not None:
+        day = ["cd_matricula", "dt_ponto"]
+        punches = with_ordinal(punches, day, ["horacc"], "_n", per_day).drop("_n")
     return punches.join(staff, punches.cd_matricula == staff.numcad, "inner").select(
         "cd_matricula",
         "dt_ponto",

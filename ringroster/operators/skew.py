@@ -32,7 +32,7 @@ def hot_keys(
     """Keys that each hold at least `share` of the keyed rows: so at most 1 / share keys.
 
     A table estimated below `large` bytes is not looked at, as no key of it can overload a
-    task. Otherwise the key column is scanned twice, for candidates and to count them.
+    task; one of unknown size is. Otherwise the key column is scanned twice, for candidates and to count them.
     The answer only decides how a join is split, never what it returns.
     """
     if estimated_bytes(df) < large:

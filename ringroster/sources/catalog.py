@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -82,24 +83,18 @@ def read_nanos(spark: SparkSession, path: str, stamp_columns: list[str]) -> Data
     `spark.sql.legacy.parquet.nanosAsLong=true`; the listed columns then arrive as BIGINT
     and are turned into timestamps without zone, to the microsecond.
     """
-    from pyspark.sql import functions as F
+    second = F.lit(10**9)
+    epoch = F.lit("1970-01-01").cast("date").cast("timestamp_ntz")
+
+    def stamp(c: str) -> Column:
+        nanos = F.pmod(F.col(c), second)
+        secs = F.call_function("div", F.col(c) - nanos, second)
+        micros = F.call_function("div", nanos, F.lit(1000))
+        return epoch + _seconds(secs) + _seconds(micros.cast("decimal(18,6)") / 10**6)
+
+    return spark.read.parquet(path).withColumns({c: stamp(c) for c in stamp_columns})
 
+
+def _seconds(secs: Column) -> Column:
     zero = F.lit(0)
-    epoch = F.lit("1970-01-01").cast("date").cast("timestamp_ntz")
-    df = spark.read.parquet(path)
-    # in two steps: the seconds of an interval are DECIMAL(18,6)
-    return df.withColumns(
-        {
-            c: epoch
-            + F.make_dt_interval(zero, zero, zero, F.call_function("div", F.col(c), F.lit(10**9)))
-            + F.make_dt_interval(
-                zero,
-                zero,
-                zero,
-                (F.call_function("div", F.pmod(F.col(c), F.lit(10**9)), F.lit(1000)) / 10**6).cast(
-                    "decimal(18,6)"
-                ),
-            )
-            for c in stamp_columns
-        }
-    )
+    return F.make_dt_interval(zero, zero, zero, secs.cast("decimal(18,6)"))

@@ -53,10 +53,10 @@ def _touched(history: DataFrame, new: DataFrame, policy: Policy) -> set[str]:
     return parts | _parts_of(seen, policy.month_column)
 
 
-def _arranged(df: DataFrame, policy: Policy) -> DataFrame:
+def _arranged(df: DataFrame, policy: Policy, then_by: tuple[str, ...] = ()) -> DataFrame:
     """Order of the landed rows; by month first where the dataset is cut into months."""
     sort = list(policy.sort)
-    rest = [k for k in policy.keys if k not in sort]
+    rest = [k for k in policy.keys if k not in sort] + list(then_by)
     if policy.month_column is None:
         return sort_for_landing(df, sort, rest) if sort else df
     by_month = df.withColumn(store.MONTH, store.month_of(policy.month_column))
@@ -75,9 +75,11 @@ def land_with_policy(new: DataFrame, location: str, policy: Policy) -> int:
         return manifest.rows if manifest else 0
     manifest = store.read_manifest(spark, location)
     if manifest is None:
-        rows = first_load(new, keys=policy.keys, dedup=policy.dedup_first_load)
+        # copies of one row stay, so their place in the spooled files cuts runs of them
+        placed = new.withColumn("_place", F.col("_metadata.row_index"))
+        rows = first_load(placed, keys=policy.keys, dedup=policy.dedup_first_load)
         return store.land(
-            _arranged(rows, policy),
+            _arranged(rows, policy, ("_place",)).drop("_place"),
             location,
             policy.month_column,
             unique=policy.dedup_first_load,

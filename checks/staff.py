@@ -477,21 +477,11 @@ def staff_upper_names(spark: SparkSession, folder: str) -> DataFrame:
     return upper_columns(table(spark, folder, "customer"))
 
 
-@check(
-    "login_sessions",
-    """
-    SELECT strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS dthr_inicio_login,
-           strftime(e.ts + to_seconds(floor(e.value)), '%Y-%m-%d %H:%M:%S') AS dthr_fim_login,
-           'r' || e.event_id AS cd_ramal, 'l' || e.user_id AS cd_login,
-           c.c_custkey AS cd_matricula, upper(c.c_name) AS tx_usuario,
-           CAST(floor(e.value) AS BIGINT) AS tp_duracao_login, 60 AS tp_duracao_pausas,
-           0 AS tp_estouro_pausas, CAST(floor(e.value) AS BIGINT) - 60 AS tp_duracao_disponivel,
-           0 AS tp_duracao_outros, e.event_type AS tx_fila, upper(e.event_type) AS tx_custo
-    FROM events e JOIN customer c ON e.user_id = c.c_custkey
-    WHERE CAST(e.ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-17'
-    """,
-)
-def login_sessions(spark: SparkSession, folder: str) -> DataFrame:
+LOGIN_PERIOD = Period(date(2024, 1, 1), date(2024, 1, 17))
+
+
+def login_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Events as login sessions, customers as the users."""
     logins = table(spark, folder, "events").selectExpr(
         "ts AS dthr_inicio_login",
         "ts + make_dt_interval(0, 0, 0, floor(value)) AS dthr_fim_login",
@@ -509,14 +499,36 @@ def login_sessions(spark: SparkSession, folder: str) -> DataFrame:
     users = table(spark, folder, "customer").selectExpr(
         "c_custkey AS tx_user", "c_custkey AS cd_matricula", "concat(c_name, ' ') AS tx_usuario"
     )
-    period = Period(date(2024, 1, 1), date(2024, 1, 17))
-    sessions = workforce.newest_logins_first(workforce.logged_time(logins, users, period))
+    return {workforce.LOGINS: logins, workforce.LOGIN_USERS: users}
+
+
+@check(
+    "login_sessions",
+    """
+    SELECT strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS dthr_inicio_login,
+           strftime(e.ts + to_seconds(floor(e.value)), '%Y-%m-%d %H:%M:%S') AS dthr_fim_login,
+           'r' || e.event_id AS cd_ramal, 'l' || e.user_id AS cd_login,
+           c.c_custkey AS cd_matricula, upper(c.c_name) AS tx_usuario,
+           CAST(floor(e.value) AS BIGINT) AS tp_duracao_login, 60 AS tp_duracao_pausas,
+           0 AS tp_estouro_pausas, CAST(floor(e.value) AS BIGINT) - 60 AS tp_duracao_disponivel,
+           0 AS tp_duracao_outros, e.event_type AS tx_fila, upper(e.event_type) AS tx_custo
+    FROM events e JOIN customer c ON e.user_id = c.c_custkey
+    WHERE CAST(e.ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-17'
+    """,
+)
+def login_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    sources = login_sources(spark, folder)
+    sessions = workforce.newest_logins_first(
+        workforce.logged_time(
+            sources[workforce.LOGINS], sources[workforce.LOGIN_USERS], LOGIN_PERIOD
+        )
+    )
     return sessions.withColumns(
         {c: stamp_iso(c) for c in ("dthr_inicio_login", "dthr_fim_login")}
     )
 
 
-def _punch_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def punch_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Punches from order lines, employees from customers, schedules from nations."""
     lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     dated = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
@@ -558,7 +570,7 @@ _PUNCHES = (
 
 def _raw_punches(spark: SparkSession, folder: str, per_day: int | None = None) -> DataFrame:
     roster = workforce.operational_roster(roster_days(spark, folder))
-    sources = _punch_sources(spark, folder)
+    sources = punch_sources(spark, folder)
     return workforce.punches_raw(sources, roster, date(1996, 1, 1), per_day)
 
 
@@ -600,6 +612,32 @@ def punches_wide(spark: SparkSession, folder: str) -> DataFrame:
     return workforce.punches_wide(first)
 
 
+QUALITY_PERIOD = Period(date(1996, 1, 1), date(1998, 6, 30))
+
+
+def quality_source(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as form lines of evaluations."""
+    return table(spark, folder, "lineitem").selectExpr(
+        "' mon a ' AS MONITOR",
+        "l_orderkey AS MONITORIA",
+        "l_quantity AS MEDIA",
+        "concat('op ', l_returnflag, ' ') AS OPERADOR",
+        "l_shipdate + make_dt_interval(0, cast(l_partkey % 7 AS int), 0, 0) AS DIADALIGACAO",
+        "l_shipdate + make_dt_interval(0, cast(l_partkey % 7 AS int), 0, 0) AS DATAMONITORIA",
+        """CASE WHEN l_partkey % 6 <> 0
+           THEN l_shipdate + make_dt_interval(cast(l_suppkey % 12 - 2 AS int), 0, 0, 0) END
+           AS DATAFEEDBACK""",
+        """CASE l_linenumber WHEN 1 THEN 'tema macro' WHEN 2 THEN 'Arquivo ' WHEN 3 THEN 'Emissor'
+           WHEN 4 THEN NULL ELSE concat('MICRO TEMA - T', l_linenumber) END AS PERGUNTA""",
+        "'C' AS CLASSIFICACAO",
+        "'Q' AS QUESTIONARIO",
+        "l_linestatus AS STATUS",
+        "l_partkey AS RESPOSTA",
+        "'OP' AS OPERACAO",
+        "'G' AS PERGUNTAGRUPO",
+    )
+
+
 @check(
     "quality_evaluations",
     """
@@ -634,27 +672,7 @@ def punches_wide(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def quality_evaluations(spark: SparkSession, folder: str) -> DataFrame:
-    answers = table(spark, folder, "lineitem").selectExpr(
-        "' mon a ' AS MONITOR",
-        "l_orderkey AS MONITORIA",
-        "l_quantity AS MEDIA",
-        "concat('op ', l_returnflag, ' ') AS OPERADOR",
-        "l_shipdate + make_dt_interval(0, cast(l_partkey % 7 AS int), 0, 0) AS DIADALIGACAO",
-        "l_shipdate + make_dt_interval(0, cast(l_partkey % 7 AS int), 0, 0) AS DATAMONITORIA",
-        """CASE WHEN l_partkey % 6 <> 0
-           THEN l_shipdate + make_dt_interval(cast(l_suppkey % 12 - 2 AS int), 0, 0, 0) END
-           AS DATAFEEDBACK""",
-        """CASE l_linenumber WHEN 1 THEN 'tema macro' WHEN 2 THEN 'Arquivo ' WHEN 3 THEN 'Emissor'
-           WHEN 4 THEN NULL ELSE concat('MICRO TEMA - T', l_linenumber) END AS PERGUNTA""",
-        "'C' AS CLASSIFICACAO",
-        "'Q' AS QUESTIONARIO",
-        "l_linestatus AS STATUS",
-        "l_partkey AS RESPOSTA",
-        "'OP' AS OPERACAO",
-        "'G' AS PERGUNTAGRUPO",
-    )
-    period = Period(date(1996, 1, 1), date(1998, 6, 30))
-    lines = quality.quality_evaluations(answers, period)
+    lines = quality.quality_evaluations(quality_source(spark, folder), QUALITY_PERIOD)
     return lines.withColumns(
         {
             **{c: stamp_iso(c) for c in ("DIADALIGACAO", "DATAMONITORIA", "DATAFEEDBACK")},

@@ -26,7 +26,7 @@ BASE_PASSED_ON = (
 )
 
 
-def _sources(spark: SparkSession, folder: str, job: Tabulation) -> dict[str, DataFrame]:
+def tabulation_sources(spark: SparkSession, folder: str, job: Tabulation) -> dict[str, DataFrame]:
     orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
     tab = orders.selectExpr(
         "o_orderkey AS Id",
@@ -85,7 +85,7 @@ def _sources(spark: SparkSession, folder: str, job: Tabulation) -> dict[str, Dat
 
 def _built(spark: SparkSession, folder: str, job: Tabulation) -> DataFrame:
     """The job's rows with dates and timestamps as text, for comparison."""
-    rows = tabulation(job, _sources(spark, folder, job), PERIOD)
+    rows = tabulation(job, tabulation_sources(spark, folder, job), PERIOD)
     shown = {
         f.name: date_text(f.name, "yyyy-MM-dd")
         if f.dataType.typeName() == "date"

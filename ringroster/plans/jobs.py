@@ -45,6 +45,7 @@ class Job:
     sources: tuple[str, ...]
     build: Callable[[Sources, Period, Settings], DataFrame]
     policy: Policy
+    optional: tuple[str, ...] = ()
 
 
 def _tabulation(job: tabulations.Tabulation) -> Job:
@@ -73,10 +74,13 @@ def _detail(sources: Sources, period: Period, settings: Settings) -> DataFrame:
 
 
 def _punches(sources: Sources, period: Period, settings: Settings) -> DataFrame:
-    roster = workforce.operational_roster(sources[workforce.ROSTER])
     if settings.roster_location is not None:
         spark = sources[workforce.PUNCHES].sparkSession
         roster = load_history(spark, settings.roster_location)
+    elif workforce.ROSTER in sources:
+        roster = workforce.operational_roster(sources[workforce.ROSTER])
+    else:
+        raise KeyError("punches need the roster's source or its landed dataset")
     return workforce.punches_raw(sources, roster, period.start)
 
 
@@ -124,14 +128,10 @@ JOBS: dict[str, Job] = {
         ),
         Job(
             "punches",
-            (
-                workforce.PUNCHES,
-                workforce.EMPLOYEES,
-                workforce.SCHEDULES,
-                workforce.ROSTER,
-            ),
+            (workforce.PUNCHES, workforce.EMPLOYEES, workforce.SCHEDULES),
             _punches,
             workforce.PUNCH_POLICY,
+            optional=(workforce.ROSTER,),
         ),
     )
 }
@@ -146,10 +146,11 @@ def build_job(
 ) -> DataFrame:
     """The rows of one job, not landed."""
     job = JOBS[name]
-    sources = {s: catalog.read(spark, s) for s in job.sources if s in catalog}
-    missing = [s for s in job.sources if s not in sources]
-    if missing and not (name == "punches" and settings and settings.roster_location):
+    missing = [s for s in job.sources if s not in catalog]
+    if missing:
         raise KeyError(f"job {name} lacks the sources {missing}")
+    wanted = [*job.sources, *[s for s in job.optional if s in catalog]]
+    sources = {s: catalog.read(spark, s) for s in wanted}
     return job.build(sources, period or month_to_date(), settings or Settings())
 
 

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.legacy.parquet.nanosAsLong", "true")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
+        .config("spark.sql.debug.maxToStringFields", "2000")
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -253,7 +253,7 @@ def roster_join(spark: SparkSession, folder: str) -> DataFrame:
            DT_ATUALIZACAO_DIRECTIVE, {_day("nasc")} AS DT_NASCIMENTO,
            {_day("hired")} AS DT_ADMISSAO, {_day("fim")} AS DT_EXPERIENCIA_FIM,
            {_day("prorrogacao")} AS DT_EXPERIENCIA_PRORROGACAO,
-           {_day("left_on")} AS DT_DESLIGAMENTO, {_day("hoje")} AS DT_ATUAL, age AS IDADE,
+           {_day("left_on")} AS DT_DESLIGAMENTO, {_day("hoje")} AS DT_ATUAL, CAST(age AS INTEGER) AS IDADE,
            CASE WHEN age >= 0 AND age < 18 THEN 'Menor de 18' WHEN age >= 18 AND age < 25 THEN '18 - 25'
                 WHEN age >= 25 AND age < 35 THEN '25 - 35' WHEN age >= 35 AND age < 45 THEN '35 - 45'
                 WHEN age >= 45 AND age < 150 THEN '45+' END AS FAIXA_ETARIA,
@@ -261,11 +261,11 @@ def roster_join(spark: SparkSession, folder: str) -> DataFrame:
                     THEN 'Desligado no período de experiência'
                     ELSE 'Desligado após período de experiência' END
                 WHEN hoje > ref THEN 'Efetivado' ELSE 'Em Experiência' END AS SUB_SITUACAO,
-           CAST(left_on - hired AS BIGINT) AS DIAS_CASA_ATE_DESLIGAMENTO,
+           CAST(left_on - hired AS INTEGER) AS DIAS_CASA_ATE_DESLIGAMENTO,
            coalesce(left_on - hired <= 90, false) AS "MORTALIDADE_<_90_DIAS",
            tenure // 12 || ' anos ' || tenure % 12 || ' meses' AS TEMPO_EMPRESA,
-           strftime(hired, '%b') AS MES_ADMISSAO, year(hired) AS ANO_ADMISSAO,
-           strftime(left_on, '%b') AS MES_DESLIGAMENTO, year(left_on) AS ANO_DESLIGAMENTO,
+           strftime(hired, '%b') AS MES_ADMISSAO, CAST(year(hired) AS INTEGER) AS ANO_ADMISSAO,
+           strftime(left_on, '%b') AS MES_DESLIGAMENTO, CAST(year(left_on) AS INTEGER) AS ANO_DESLIGAMENTO,
            {_hours("tm_entrada", "%02dH")} || ' - ' || {_hours("tm_saida", "%02dH")} AS "Jornada"
     FROM staff
     """,
@@ -412,7 +412,7 @@ def main_reasons(spark: SparkSession, folder: str) -> DataFrame:
                     THEN 'Desligado no período de experiência'
                     ELSE 'Desligado após período de experiência' END
                 WHEN hoje > ref THEN 'Efetivado' ELSE 'Em Experiência' END AS "SUB_SITUACAO",
-           CAST(left_on - hired AS BIGINT) AS "DIAS_CASA_ATE_DESLIGAMENTO"
+           CAST(left_on - hired AS INTEGER) AS "DIAS_CASA_ATE_DESLIGAMENTO"
     FROM staff
     """,
 )
@@ -425,10 +425,10 @@ def detail_listing(spark: SparkSession, folder: str) -> DataFrame:
     "hires_leavers",
     _STAFF
     + """
-    SELECT 'hired' AS cohort, year(hired) AS year, count(*) AS n FROM staff
+    SELECT 'hired' AS cohort, CAST(year(hired) AS INTEGER) AS year, count(*) AS n FROM staff
     WHERE year(hired) IN (1995, 1996) GROUP BY 2
     UNION ALL
-    SELECT 'left', year(left_on), count(*) FROM staff WHERE year(left_on) IN (2000, 2001) GROUP BY 2
+    SELECT 'left', CAST(year(left_on) AS INTEGER), count(*) FROM staff WHERE year(left_on) IN (2000, 2001) GROUP BY 2
     """,
 )
 def hires_leavers(spark: SparkSession, folder: str) -> DataFrame:
@@ -659,9 +659,9 @@ def quality_source(spark: SparkSession, folder: str) -> DataFrame:
            strftime(dm, '%Y-%m-%d %H:%M:%S') AS "DIADALIGACAO",
            strftime(dm, '%Y-%m-%d') AS "DIADALIGACAO_SHORTDATE",
            strftime(dm, '%Y-%m-%d %H:%M:%S') AS "DATAMONITORIA",
-           dayofweek(dm) + 1 AS "DATAMONITORIA_DIA_SEMANA_NUM",
+           CAST(dayofweek(dm) + 1 AS INTEGER) AS "DATAMONITORIA_DIA_SEMANA_NUM",
            strftime(dm, '%Y') AS "ANO_DATAMONITORIA", lower(strftime(dm, '%b')) AS "DATAMONITORIA_MES",
-           month(dm) AS "DATAMONITORIA_NUM", strftime(dm, '%Y-%m-%d') AS "DATAMONITORIA_SHORTDATE",
+           CAST(month(dm) AS INTEGER) AS "DATAMONITORIA_NUM", strftime(dm, '%Y-%m-%d') AS "DATAMONITORIA_SHORTDATE",
            strftime(fb, '%Y-%m-%d %H:%M:%S') AS "DATAFEEDBACK",
            strftime(fb, '%Y-%m-%d') AS "DATAFEEDBACK_SHORTDATE",
            replace(pergunta, 'MICRO TEMA - ', '') AS "PERGUNTA", 'C' AS "CLASSIFICACAO",

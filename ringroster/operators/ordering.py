@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 from ringroster.operators.aggregates import distinct_values
 
 
-def order_desc(df: DataFrame, c: str) -> DataFrame:
-    return df.orderBy(F.desc_nulls_last(c))
+def _asc(columns: Sequence[str]) -> list[Column]:
+    return [F.asc_nulls_last(c) for c in columns]
 
 
-def order_by_count(df: DataFrame, qty: str, name: str) -> DataFrame:
-    return df.orderBy(F.desc(qty), F.asc(name))
+def order_desc(df: DataFrame, c: str, then_by: Sequence[str] = ()) -> DataFrame:
+    """Newest first. `then_by` orders equal values, and lets a long run of them be split."""
+    return df.orderBy(F.desc_nulls_last(c), *_asc(then_by))
 
 
-def _asc(columns: Sequence[str]) -> list[Column]:
-    return [F.asc_nulls_last(c) for c in columns]
+def order_by_count(df: DataFrame, qty: str, name: str) -> DataFrame:
+    return df.orderBy(F.desc(qty), F.asc(name))
 
 
 def sort_for_landing(
@@ -36,7 +37,8 @@ def sort_for_landing(
 
 
 def order_mixed(df: DataFrame, directions: Mapping[str, str]) -> DataFrame:
-    """Sort by the listed columns that exist, each `asc` or `desc`, NULLs last."""
+    """Sort by the listed columns that exist, each `asc` or `desc`, NULLs last. Name enough
+    columns to tell rows apart, so that a long run of equal values can be split."""
     present = [
         F.asc_nulls_last(c) if way == "asc" else F.desc_nulls_last(c)
         for c, way in directions.items()

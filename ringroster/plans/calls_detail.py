@@ -1,7 +1,7 @@
 """Per-call detail of the omnichannel telephony tables, and queue KPIs.
 
-The large tables keyed by call id are joined one after the other, so that all of those
-joins share one shuffle of the calls. Tables keyed by the external call follow in the same
+The calls of the period are cut out first. The large tables keyed by call id are joined one
+after the other, so that those joins share one shuffle of the calls. Tables keyed by the external call follow in the same
 way, then the small tables, which Spark broadcasts while they are below its threshold.
 """
 
@@ -85,7 +85,11 @@ def _named(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 
 def _with_internal_leg(calls: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Inner join to the internal leg and its queue data, joined to each other first."""
+    """Inner joins to the internal leg and its queue data.
+
+    The calls are those of one period, while these tables hold all periods. So the calls
+    are moved to each table in turn; joining the tables first would move them twice.
+    """
     internal = _named(sources["ligacaointerna"], {"id": "li_id", "idligacao": "li_idligacao"})
     queue_data = _named(
         sources["ligacaointernafila"],
@@ -100,9 +104,9 @@ def _with_internal_leg(calls: DataFrame, sources: Mapping[str, DataFrame]) -> Da
             "pesquisasatisfacao": "pesquisasatisfacao",
         },
     )
-    legs = internal.join(queue_data, internal.li_id == queue_data.lif_id, "inner")
-    joined = calls.join(legs, calls.id == legs.li_idligacao, "inner")
-    return joined.drop("li_id", "lif_id", "li_idligacao")
+    calls = lookup(calls, internal, "id", "li_idligacao", "inner")
+    calls = lookup(calls, queue_data, "li_id", "lif_id", "inner")
+    return calls.drop("li_id", "lif_id", "li_idligacao")
 
 
 def _with_call_tables(calls: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:

@@ -109,4 +109,4 @@ def outcome_calls(
 
 def newest_first(calls: DataFrame) -> DataFrame:
     """Presentation order; landing has its own."""
-    return order_desc(calls, "datahora")
+    return order_desc(calls, "datahora", ["uniqueid", "linkedid"])

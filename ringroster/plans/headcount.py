@@ -178,10 +178,14 @@ def main_reasons(reasons: DataFrame, limit: float = OFFENDER_LIMIT) -> DataFrame
 
 
 def detail_listing(base: DataFrame) -> DataFrame:
-    """Detail table: the wanted columns that exist, by supervisor."""
-    return order_mixed(
-        select_existing(base, DETAIL_COLUMNS), {"TX_SUPERVISOR": "asc", "ATIVO": "desc"}
-    )
+    """Detail table: the wanted columns that exist, by supervisor, then by name and hire."""
+    order = {
+        "TX_SUPERVISOR": "asc",
+        "ATIVO": "desc",
+        "NO_FUNCIONARIO": "asc",
+        "DT_ADMISSAO": "asc",
+    }
+    return order_mixed(select_existing(base, DETAIL_COLUMNS), order)
 
 
 def hires(base: DataFrame, years: Sequence[int]) -> DataFrame:

@@ -158,7 +158,7 @@ def logged_time(logins: DataFrame, users: DataFrame, period: Period) -> DataFram
 
 
 def newest_logins_first(sessions: DataFrame) -> DataFrame:
-    return order_desc(sessions, "dthr_inicio_login")
+    return order_desc(sessions, "dthr_inicio_login", ["cd_login", "cd_ramal"])
 
 
 def punches_raw(

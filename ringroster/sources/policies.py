@@ -11,7 +11,7 @@ from ringroster.operators.joins import semi_by_keys
 from ringroster.operators.landing import first_load, merge_keep_first, merge_keep_last
 from ringroster.operators.ordering import sort_for_landing
 from ringroster.sources import store
-from ringroster.spool import spooled
+from ringroster.spool import spooling
 
 KEEP_FIRST = "keep_first"
 KEEP_LAST = "keep_last"
@@ -67,36 +67,37 @@ def land_with_policy(new: DataFrame, location: str, policy: Policy) -> int:
     """Land one run's rows and return the row count of the dataset."""
     if policy.kind == SNAPSHOT:
         return store.land(_arranged(new, policy), location, guard_empty=policy.guard_empty)
-    spark = new.sparkSession
     # the extract is read from its source once, whatever is rerun afterwards
-    new = spooled(new)
-    if policy.guard_empty and new.isEmpty():
-        manifest = store.read_manifest(spark, location)
-        return manifest.rows if manifest else 0
+    with spooling(new) as extract:
+        if policy.guard_empty and extract.isEmpty():
+            manifest = store.read_manifest(new.sparkSession, location)
+            return manifest.rows if manifest else 0
+        return _merge_into(extract, location, policy)
+
+
+def _merge_into(new: DataFrame, location: str, policy: Policy) -> int:
+    spark = new.sparkSession
     manifest = store.read_manifest(spark, location)
-    if manifest is None:
-        # copies of one row stay, so their place in the spooled files cuts runs of them
-        placed = new.withColumn("_place", F.col("_metadata.row_index"))
-        rows = first_load(placed, keys=policy.keys, dedup=policy.dedup_first_load)
-        return store.land(
-            _arranged(rows, policy, ("_place",)).drop("_place"),
-            location,
-            policy.month_column,
-            unique=policy.dedup_first_load,
-            guard_empty=policy.guard_empty,
-        )
-    # until one merge has gone over all parts, any of them may hold duplicates
-    parts = set(manifest.parts)
-    if manifest.unique:
-        parts = _touched(store.load_history(spark, location), new, policy)
-    history = store.load_history(spark, location, parts=parts)
     merge = merge_keep_first if policy.kind == KEEP_FIRST else merge_keep_last
-    merged = merge(history, new, policy.keys, policy.tiebreak)
+    parts: set[str] = set()
+    if manifest is None and not policy.dedup_first_load:
+        # copies of one row stay, so their place in the spooled files cuts runs of them
+        rows = first_load(new.withColumn("_place", F.col("_metadata.row_index")))
+        arranged = _arranged(rows, policy, ("_place",)).drop("_place")
+    else:
+        history = new.where(F.lit(False))
+        if manifest is not None:
+            # until one merge has gone over all parts, any of them may hold duplicates
+            parts = set(manifest.parts)
+            if manifest.unique:
+                parts = _touched(store.load_history(spark, location), new, policy)
+            history = store.load_history(spark, location, parts=parts)
+        arranged = _arranged(merge(history, new, policy.keys, policy.tiebreak), policy)
     return store.land(
-        _arranged(merged, policy),
+        arranged,
         location,
         policy.month_column,
         replace=parts,
-        unique=True,
+        unique=manifest is not None or policy.dedup_first_load,
         guard_empty=policy.guard_empty,
     )

@@ -3,13 +3,15 @@
 A dataset is never overwritten in place. Each landing writes a new version folder and
 then publishes a new manifest, a JSON file naming the current folder of every part. A
 reader sees the old parts or the new ones, and a job that dies leaves the old ones in
-force. A dataset may be cut into months of one column; a landing then rewrites only the
+force (its folder is then an orphan, and old folders stay until someone removes them). A
+dataset may be cut into months of one column; a landing then rewrites only the
 months it changes.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -125,11 +127,11 @@ def land(
     spark = df.sparkSession
     old = read_manifest(spark, location) or Manifest()
     version = old.version + 1
-    folder = f"v{version:010d}"
+    folder = f"v{version:010d}-{uuid.uuid4().hex[:8]}"
     writer, df = df, df.drop(MONTH)
     if month_column is not None and MONTH not in writer.columns:
         writer = df.withColumn(MONTH, month_of(month_column))
-    out = writer.write.mode("overwrite").option("compression", "snappy")
+    out = writer.write.option("compression", "snappy")
     if month_column is None:
         out.parquet(f"{location}/{folder}")
         rows = spark.read.schema(df.schema).parquet(f"{location}/{folder}").count()

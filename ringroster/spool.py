@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,9 +31,28 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
-def spooled(df: DataFrame) -> DataFrame:
-    """The rows of `df`, written once and read back; later plans start from there."""
+def _write(df: DataFrame) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/spool-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def spooled(df: DataFrame) -> DataFrame:
+    """The rows of `df`, written once and read back; later plans start from there.
+
+    The result is lazy, so the files stay for as long as the folder keeps them.
+    """
+    return _write(df)[0]
+
+
+@contextmanager
+def spooling(df: DataFrame) -> Iterator[DataFrame]:
+    """As `spooled`, for the length of a block; the files are then deleted."""
+    rows, path = _write(df)
+    try:
+        yield rows
+    finally:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -67,8 +67,8 @@ def test_fact_is_shuffled_once_for_a_name(spark, no_broadcast):
 def test_call_detail_without_broadcasts(spark, no_broadcast):
     legs = calls_legs(call_sources(spark, FOLDER), PERIOD, CONTACT_KINDS)
     plan = plan_of(calls_detail(legs, "A"))
-    # the call spine comes first in the plan; its joins by call id share one shuffle
-    assert len(re.findall(r"hashpartitioning\(id#", plan)) == 1
+    # by call id: one shuffle to find the internal leg, one for the three tables after it
+    assert len(re.findall(r"hashpartitioning\(id#", plan)) == 2
     assert len(re.findall(r"SortMergeJoin \[id#\d+L?\]", plan)) == 4
     assert "SinglePartition" not in plan and "Window" not in plan
     # the client filter and the kinds reach the scans

@@ -171,6 +171,46 @@ def keep_last(spark: SparkSession, folder: str) -> DataFrame:
     return merge_keep_last(history, new, ["event_id"], ["day"])
 
 
+@check(
+    "append_to_unique_history",
+    """
+    SELECT o_orderkey, o_custkey,
+           CASE WHEN o_orderdate < DATE '1998-01-01' THEN 'landed' ELSE 'new' END AS origin
+    FROM orders
+    """,
+)
+def append_unique(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders")
+    landed = orders.where(F.col("o_orderdate") < F.lit(date(1998, 1, 1)))
+    history = landed.select("o_orderkey", "o_custkey", F.lit("landed").alias("origin"))
+    new = orders.select("o_orderkey", "o_custkey", F.lit("new").alias("origin"))
+    return merge_keep_first(history, new, ["o_orderkey"], ["o_custkey"], unique_history=True)
+
+
+@check(
+    "upsert_unique_history",
+    """
+    WITH n AS (
+        SELECT l_suppkey AS key, l_orderkey, l_linenumber, 'new' AS origin FROM lineitem
+        WHERE l_returnflag = 'R' QUALIFY row_number() OVER (
+            PARTITION BY l_suppkey ORDER BY l_orderkey DESC, l_linenumber DESC) = 1
+    )
+    SELECT * FROM n UNION ALL
+    SELECT s_suppkey, NULL, NULL, 'landed' FROM supplier WHERE s_suppkey NOT IN (SELECT key FROM n)
+    """,
+)
+def upsert_unique(spark: SparkSession, folder: str) -> DataFrame:
+    history = table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.lit("landed").alias("origin")
+    )
+    lines = table(spark, folder, "lineitem").where(F.col("l_returnflag") == "R")
+    new = lines.select(
+        F.col("l_suppkey").alias("key"), "l_orderkey", "l_linenumber", F.lit("new").alias("origin")
+    )
+    order = ["l_orderkey", "l_linenumber"]
+    return merge_keep_last(history, new, ["key"], order, unique_history=True)
+
+
 @check(
     "first_load_then_merge",
     """

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,36 +24,67 @@ def content_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def _merge(
+def _ties(df: DataFrame, tiebreak: Sequence[ColumnLike]) -> list[Column]:
+    return [as_column(t) for t in tiebreak] or [content_hash(df)]
+
+
+def _merge_all(
     history: DataFrame,
     new: DataFrame,
     keys: Sequence[str],
     tiebreak: Sequence[ColumnLike],
     newest_wins: bool,
 ) -> DataFrame:
+    """Rank the rows of both sources together."""
     both = concat_history(
         history.withColumn("_source", F.lit(0)), new.withColumn("_source", F.lit(1))
     )
-    ties = [as_column(t) for t in tiebreak]
-    if not ties:
-        ties = [content_hash(both.drop("_source"))]
-    order = [F.col("_source"), *ties]
+    order = [F.col("_source"), *_ties(both.drop("_source"), tiebreak)]
     if newest_wins:
         order = [o.desc_nulls_last() for o in order]
     return first_per_key(both, keys, order).drop("_source")
 
 
+def _without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not in `other`; NULL keys equal each other."""
+    seen = other.select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
+    same = reduce(and_, [df[k].eqNullSafe(seen[f"_seen_{k}"]) for k in keys])
+    return df.join(seen, same, "left_anti")
+
+
+def _merge_unique(
+    history: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    tiebreak: Sequence[ColumnLike],
+    newest_wins: bool,
+) -> DataFrame:
+    """Rank the new rows only and leave out what the other source decides.
+
+    To append, history gives its keys to a join and is itself not shuffled."""
+    order = _ties(new, tiebreak)
+    if newest_wins:
+        order = [o.desc_nulls_last() for o in order]
+    new = first_per_key(new, keys, order)
+    if newest_wins:
+        return concat_history(_without_keys(history, new, keys), new)
+    return concat_history(history, _without_keys(new, history, keys))
+
+
 def merge_keep_first(
     history: DataFrame,
     new: DataFrame,
     keys: Sequence[str],
     tiebreak: Sequence[ColumnLike] = (),
+    unique_history: bool = False,
 ) -> DataFrame:
     """Append only keys not seen before: history wins over new rows.
 
     Within one source the row least by `tiebreak` stays. NULL keys equal each other.
+    `unique_history` says that history has no key twice, which saves shuffling it.
     """
-    return _merge(history, new, keys, tiebreak, newest_wins=False)
+    merge = _merge_unique if unique_history else _merge_all
+    return merge(history, new, keys, tiebreak, newest_wins=False)
 
 
 def merge_keep_last(
@@ -59,10 +92,12 @@ def merge_keep_last(
     new: DataFrame,
     keys: Sequence[str],
     tiebreak: Sequence[ColumnLike] = (),
+    unique_history: bool = False,
 ) -> DataFrame:
     """Upsert: new rows win over history; within one source the row greatest by
     `tiebreak` stays."""
-    return _merge(history, new, keys, tiebreak, newest_wins=True)
+    merge = _merge_unique if unique_history else _merge_all
+    return merge(history, new, keys, tiebreak, newest_wins=True)
 
 
 def first_load(

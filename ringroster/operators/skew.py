@@ -83,7 +83,10 @@ def split_left_join(
         # pmod(.., 1) is 0 but no constant, so the optimizer keeps it as a join key
         right_part = F.pmod(F.hash(right_key), F.lit(1))
         if hot:
-            salt = F.pmod(F.xxhash64(*right.columns), F.lit(SALTS)).cast("int")
+            right = right.where(F.col(right_key).isNotNull())
+            # copies of one row share a hash, but not the partition they are read in
+            content = F.xxhash64(*right.columns) + F.spark_partition_id()
+            salt = F.pmod(content, F.lit(SALTS)).cast("int")
             right_part = F.when(F.col(right_key).isin(list(hot)), salt).otherwise(right_part)
         right = right.withColumn("_right_part", right_part)
         on = (F.col("_key") == F.col(right_key)) & (F.col("_part") == F.col("_right_part"))

@@ -92,7 +92,9 @@ def _merge_into(new: DataFrame, location: str, policy: Policy) -> int:
             if manifest.unique:
                 parts = _touched(store.load_history(spark, location), new, policy)
             history = store.load_history(spark, location, parts=parts)
-        arranged = _arranged(merge(history, new, policy.keys, policy.tiebreak), policy)
+        unique = manifest is None or manifest.unique
+        merged = merge(history, new, policy.keys, policy.tiebreak, unique)
+        arranged = _arranged(merged, policy)
     return store.land(
         arranged,
         location,

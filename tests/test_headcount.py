@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from conftest import rows
 
+from ringroster.operators.filters import active_in_years
 from ringroster.plans import headcount as h
 from ringroster.plans import workforce
 
@@ -44,6 +45,8 @@ def test_kpis(people):
     assert got.turnover_pct == pytest.approx(200 / 3)
     assert got.early_attrition_pct == 50.0
     assert got.mean_months == pytest.approx((181 + 90 + 1492) / 3 / 30.44)
+    touched = active_in_years(people, [2024], h.HIRE_YEAR, h.EXIT_YEAR)
+    assert rows(touched.select("CD_MATRICULA")) == [("1",), ("2",), ("3",)]
 
 
 def test_years_without_rows_give_zero(people):

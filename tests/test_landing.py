@@ -1,5 +1,6 @@
 """Merge rules, versioned datasets and policies."""
 
+import random
 from datetime import date
 
 import pytest
@@ -31,6 +32,23 @@ def test_keep_first_and_keep_last_are_mirror_images(spark):
     assert rows(last) == sorted([(1, JAN, "new"), (2, JAN, "b"), (None, None, "new")], key=repr)
 
 
+@pytest.mark.parametrize("merge", [merge_keep_first, merge_keep_last])
+def test_unique_history_gives_the_same_rows(spark, merge):
+    rng = random.Random(8)
+
+    def some(n, tag):
+        keys = [rng.choice([None, *range(15)]) for _ in range(n)]
+        days = [rng.choice([None, JAN, FEB]) for _ in range(n)]
+        return [(k, d, f"{tag}{i}") for i, (k, d) in enumerate(zip(keys, days, strict=True))]
+
+    history = {(k, d): (k, d, v) for k, d, v in some(40, "h")}.values()
+    old, new = frame(spark, *history), frame(spark, *some(80, "n"))
+    for keys in (["k", "d"], ["k"]):
+        base = old if len(keys) == 2 else merge(old.where("false"), old, keys)
+        plain = merge(base, new, keys, ["v"])
+        assert rows(merge(base, new, keys, ["v"], unique_history=True)) == rows(plain)
+
+
 @pytest.mark.parametrize("merge", [merge_keep_first, merge_keep_last])
 def test_merging_twice_changes_nothing(spark, merge):
     history = frame(spark, (1, JAN, "x"), (2, JAN, "y"))

@@ -49,6 +49,16 @@ def test_merge_cuts_hot_keys_before_the_shuffle(spark):
     assert "Partial" in plan[shuffle:] and "WindowGroupLimit" in plan[shuffle:]
 
 
+def test_appending_to_unique_history_does_not_shuffle_it(spark, no_broadcast):
+    events = table(spark, FOLDER, "events")
+    plan = plan_of(merge_keep_first(events, events, ["event_id"], ["ts"], unique_history=True))
+    whole = "event_id#\\d+L,ts#\\d+,user_id#\\d+L,event_type#\\d+,value#\\d+,props#\\d+"
+    assert len(re.findall(f"FileScan parquet \\[{whole}\\]", plan)) == 2
+    # of history's two scans the one below a shuffle reads only the key
+    assert len(re.findall(r"FileScan parquet \[event_id#\d+L\]", plan)) == 1
+    assert not re.search(r"^Union\n:- Exchange", plan)
+
+
 def test_first_punches_are_cut_before_the_shuffle(spark):
     lines = table(spark, FOLDER, "lineitem")
     plan = plan_of(with_ordinal(lines, ["l_suppkey"], ["l_partkey"], "n", at_most=8))

@@ -31,6 +31,12 @@ def secs_to_clock(secs: ColumnLike) -> Column:
     return F.pmod(as_column(secs), F.lit(DAY_SECS))
 
 
+def secs_of_day(stamp: ColumnLike) -> Column:
+    """Seconds since midnight of a timestamp, as JDBC drivers deliver a time of day."""
+    t = as_column(stamp)
+    return (F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)).cast("bigint")
+
+
 def whole_secs(secs: ColumnLike) -> Column:
     return F.floor(as_column(secs))
 

@@ -11,6 +11,9 @@ from ringroster.functions import ColumnLike, as_column
 from ringroster.operators.windows import with_cumulative_pct, with_ordinal
 
 
+MAX_LABELS = 10_000
+
+
 def sum_dur(secs: ColumnLike, when: Column | None = None) -> Column:
     """Sum of a duration, 0 if there is none; with `when`, over those rows only."""
     value = as_column(secs)
@@ -56,9 +59,16 @@ def offenders(pareto_df: DataFrame, limit: float = 85) -> DataFrame:
 
 
 def join_values(df: DataFrame, c: str, output: str, sep: str = ", ") -> DataFrame:
-    """One text listing the distinct values in order, for a short list of labels."""
-    return distinct_values(df, c).agg(
-        F.array_join(F.array_sort(F.collect_list(c)), sep).alias(output)
+    """One text listing the distinct values in order.
+
+    For short lists of labels: more than MAX_LABELS values are an error, raised before
+    they are gathered.
+    """
+    labels = distinct_values(df, c).limit(MAX_LABELS + 1)
+    text = F.array_join(F.array_sort(F.collect_list(c)), sep)
+    too_many = F.raise_error(F.lit(f"more than {MAX_LABELS} values of {c} in one text"))
+    return labels.agg(
+        F.when(F.count("*") > MAX_LABELS, too_many.cast("string")).otherwise(text).alias(output)
     )
 
 

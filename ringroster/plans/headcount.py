@@ -124,6 +124,7 @@ def kpi_compare(base: DataFrame, years: Sequence[int]) -> DataFrame:
     kpis = both.select(F.inline(F.array(*rows)))
     diff = F.col("value") - F.col("previous")
     worse = F.when(F.col("rising_is_worse"), diff > 0).otherwise(diff < 0)
+    worse = F.coalesce(worse, F.lit(False))  # an unknown difference is no warning
     return kpis.select(
         "position",
         "kpi",

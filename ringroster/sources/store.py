@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ringroster.period import Period
+
 WHOLE = "all"
 MONTH = "event_month"
 NO_MONTH = "none"
@@ -110,6 +112,19 @@ def load_history(
     return spark.read.schema(known).parquet(*folders)
 
 
+def months_of(period: Period) -> list[str]:
+    """Part names of the months a period touches."""
+    first = period.start.year * 12 + period.start.month - 1
+    last = period.end.year * 12 + period.end.month - 1
+    return [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(first, last + 1)]
+
+
+def load_period(spark: SparkSession, location: str, period: Period) -> DataFrame:
+    """Rows in the months of a period: only the folders of those months are listed and
+    read. Filter the result for exact days."""
+    return load_history(spark, location, parts=months_of(period))
+
+
 def land(
     df: DataFrame,
     location: str,

@@ -251,6 +251,12 @@ def test_intervals(spark):
     assert evaluate(spark, wait, data, "a timestamp_ntz, b timestamp_ntz") == [86401, None, -5]
 
 
+def test_time_of_day(spark):
+    data = [datetime(1970, 1, 1, 8, 20, 5), None]
+    got = evaluate(spark, durations.secs_of_day("t"), data, "t timestamp_ntz")
+    assert got == [30005, None]
+
+
 def test_code_labels(spark):
     status = codes.code_label("c", codes.CALL_STATUS)
     assert evaluate(spark, status, [200, 303, 999, None], "c int") == [

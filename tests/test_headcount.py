@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 
 from ringroster.operators.filters import active_in_years
+from ringroster.period import Period
 from ringroster.plans import headcount as h
 from ringroster.plans import workforce
 
@@ -169,3 +170,45 @@ def test_staff_master_accepts_text_dates_and_times(spark):
         "DIAS_CASA", h.HIRE_YEAR
     )
     assert rows(typed) == rows(shown) == [(152, 2024)]
+
+
+def _answers(spark, *lines):
+    from datetime import datetime
+
+    schema = (
+        "MONITORIA bigint, PERGUNTA string, DATAMONITORIA timestamp_ntz, DATAFEEDBACK timestamp_ntz, "
+        "RESPOSTA string"
+    )
+    at = datetime(2024, 6, 2, 9)
+    df = spark.createDataFrame([(m, q, at, None, r) for m, q, r in lines], schema)
+    rest = ("MONITOR", "MEDIA", "OPERADOR", "DIADALIGACAO", "CLASSIFICACAO", "QUESTIONARIO", "STATUS", "OPERACAO", "PERGUNTAGRUPO")
+    return df.selectExpr("*", *[
+        f"cast(NULL AS {'timestamp_ntz' if c == 'DIADALIGACAO' else 'string'}) AS {c}" for c in rest
+    ])
+
+
+def test_quality_filters_before_it_ranks(spark):
+    from ringroster.plans.quality import quality_evaluations
+
+    period = Period(date(2024, 6, 1), date(2024, 6, 30))
+    answers = _answers(
+        spark,
+        (1, "A macro question", "x"),
+        (1, "MICRO TEMA - B", "y"),
+        (1, "MICRO TEMA - C", "z"),
+        (2, "Arquivo ", "x"),
+        (3, "Arquivo", "x"),
+        (4, "arquivo ", "x"),
+        (5, "MACRO", "x"),
+        (6, None, "x"),
+    )
+    got = quality_evaluations(answers, period)
+    shown = got.select("MONITORIA", "PERGUNTA", "DATAMONITORIA_DIA_SEMANA_NUM", "DATAMONITORIA_MES", "DentroSLA")
+    assert rows(shown) == [
+        (1, "B", 1, "jun", 0),
+        (3, "Arquivo", 1, "jun", 0),
+        (4, "arquivo ", 1, "jun", 0),
+        (5, "MACRO", 1, "jun", 0),
+    ]
+    relaxed = quality_evaluations(answers, period, collation="UTF8_LCASE_RTRIM")
+    assert rows(relaxed.select("MONITORIA")) == [(1,)]

@@ -9,9 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringroster.operators.landing import concat_history, first_load, merge_keep_first, merge_keep_last
+from ringroster.period import Period
 from ringroster.sources.catalog import Catalog, JdbcSplit, Source, jdbc_options, read_nanos
 from ringroster.sources.policies import KEEP_FIRST, KEEP_LAST, SNAPSHOT, Policy, land_with_policy
-from ringroster.sources.store import dataset_exists, land, load_history, read_manifest, replace_snapshot
+from ringroster.sources.store import (
+    dataset_exists,
+    land,
+    load_history,
+    load_period,
+    months_of,
+    read_manifest,
+    replace_snapshot,
+)
 
 SCHEMA = "k int, d date, v string"
 JAN, FEB, MAR = date(2024, 1, 5), date(2024, 2, 5), date(2024, 3, 5)
@@ -138,6 +147,13 @@ def test_append_if_new_by_month(spark, tmp_path):
         [(1, JAN, "a"), (2, FEB, "b"), (3, None, "c"), (4, FEB, "e"), (5, MAR, "f")], key=repr
     )
     assert rows(load_history(spark, where, parts=["2024-03"])) == [(5, MAR, "f")]
+    late = Period(date(2024, 2, 20), date(2024, 3, 1))
+    assert rows(load_period(spark, where, late).select("k")) == [(2,), (4,), (5,)]
+    assert months_of(Period(date(2023, 11, 5), date(2024, 1, 1))) == [
+        "2023-11",
+        "2023-12",
+        "2024-01",
+    ]
 
 
 def test_nothing_new_changes_nothing(spark, tmp_path):

@@ -13,6 +13,7 @@ from ringroster.operators.joins import with_person_name
 from ringroster.operators.landing import merge_keep_first
 from ringroster.operators.windows import with_ordinal
 from ringroster.plans.calls_detail import CONTACT_KINDS, calls_detail, calls_legs
+from ringroster.sources.catalog import Catalog, Source
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -86,6 +87,18 @@ def test_call_detail_without_broadcasts(spark, no_broadcast):
     assert "_queue_leg" not in plan
 
 
+def test_bucketed_tables_are_joined_where_they_lie(spark, no_broadcast):
+    """Detail tables bucketed by call id are not shuffled; the catalog reads them as tables."""
+    sources = call_sources(spark, FOLDER)
+    for name, key in (("ligacaointerna", "idligacao"), ("ligacaodiscador", "idligacao")):
+        writer = sources[name].write.mode("overwrite").bucketBy(8, key).sortBy(key)
+        writer.saveAsTable(f"bucketed_{name}")
+        sources[name] = Catalog({name: Source("table", f"bucketed_{name}")}).read(spark, name)
+    plan = plan_of(calls_legs(sources, PERIOD, CONTACT_KINDS))
+    assert "li_idligacao" in plan and "ld_idligacao" in plan
+    assert not re.search(r"hashpartitioning\(l[id]_idligacao", plan)
+
+
 def test_rows_without_a_key_are_spread(spark, no_broadcast):
     legs = calls_legs(call_sources(spark, FOLDER), PERIOD, CONTACT_KINDS)
     plan = plan_of(legs)

@@ -109,6 +109,12 @@ def test_counts_and_values(spark):
     assert [r.v for r in counts.collect()] == ["b", "a"]
 
 
+def test_a_long_list_is_no_label(spark):
+    with pytest.raises(Exception, match="more than 10000 values"):
+        join_values(spark.range(10_002), "id", "all").collect()
+    assert len(join_values(spark.range(10_000), "id", "all").first()[0].split(", ")) == 10_000
+
+
 def test_pivot_keeps_eight_in_order(spark):
     data = [("p", "d1", m, None) for m in range(9, 0, -1)] + [("q", "d1", 5, "x")]
     df = spark.createDataFrame(data, "who string, day string, m int, gone string")

@@ -49,9 +49,10 @@ def as_text(c: ColumnLike) -> Column:
 
 
 def key_text(c: ColumnLike, fractional: bool = False) -> Column:
-    """Join key as text. A `fractional` number drops its fraction, so 7.0 reads `7`."""
+    """Join key as text. A `fractional` number drops its fraction, so 7.0 reads `7`; one
+    that is no number gives NULL."""
     c = as_column(c)
-    return (c.cast("bigint") if fractional else c).cast("string")
+    return (c.try_cast("bigint") if fractional else c).cast("string")
 
 
 def pct_text(c: ColumnLike, signed: bool = False) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ringroster.functions import ColumnLike, as_column
 from ringroster.functions.text import key_text, norm_upper
-from ringroster.operators.skew import hot_keys, split_left_join
+from ringroster.operators.skew import NO_HOT_KEYS, hot_keys, split_left_join
 
 
 def lookup(
@@ -159,7 +159,7 @@ def join_any_key(
     that is always there; see `split_left_join` for keys that are often NULL.
     """
     exploded = any_key_rows(right, right_keys)
-    hot = hot_keys(exploded, "_any_key") if how == "left" else []
+    hot = hot_keys(exploded, "_any_key") if how == "left" else NO_HOT_KEYS
     if hot:
         return split_left_join(left, [(exploded, "_any_key")], key, [key], left_pred, hot)
     condition = left[key] == exploded["_any_key"]

@@ -8,6 +8,7 @@ found here and their rows dealt out over salts.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,21 @@ from ringroster.functions import ColumnLike, as_column
 
 LARGE_BYTES = 8 << 30
 HOT_SHARE = 0.01
-SALTS = 64
-NULL_SPREAD = 1024
+ROWS_PER_PART = 1_000_000
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys to split, and into how many parts; falsy when there are none."""
+
+    keys: tuple = ()
+    parts: int = 1
+
+    def __bool__(self) -> bool:
+        return bool(self.keys)
+
+
+NO_HOT_KEYS = HotKeys()
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -27,25 +41,32 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def hot_keys(
-    df: DataFrame, key: str, large: int = LARGE_BYTES, share: float = HOT_SHARE
-) -> list:
+    df: DataFrame,
+    key: str,
+    large: int = LARGE_BYTES,
+    share: float = HOT_SHARE,
+    rows_per_part: int = ROWS_PER_PART,
+) -> HotKeys:
     """Keys that each hold at least `share` of the keyed rows: so at most 1 / share keys.
 
     A table estimated below `large` bytes is not looked at, as no key of it can overload a
-    task; one of unknown size is. Otherwise the key column is scanned twice, for candidates and to count them.
-    The answer only decides how a join is split, never what it returns.
+    task; one of unknown size is. Otherwise the key column is scanned twice, for candidates
+    and to count them. The largest key sets the number of parts, about `rows_per_part`
+    each. The answer only decides how a join is split, never what it returns.
     """
     if estimated_bytes(df) < large:
-        return []
+        return NO_HOT_KEYS
     keys = df.select(key).dropna()
     candidates = keys.stat.freqItems([key], share).first()[0]
     if not candidates:
-        return []
-    counts = (
-        keys.groupBy(F.when(F.col(key).isin(candidates), F.col(key)).alias("k")).count().collect()
-    )
+        return NO_HOT_KEYS
+    named = F.when(F.col(key).isin(candidates), F.col(key)).alias("k")
+    counts = keys.groupBy(named).count().collect()  # one row per candidate, one for the rest
     total = sum(r["count"] for r in counts)
-    return sorted(r.k for r in counts if r.k is not None and r["count"] >= share * total)
+    hot = {r.k: r["count"] for r in counts if r.k is not None and r["count"] >= share * total}
+    if not hot:
+        return NO_HOT_KEYS
+    return HotKeys(tuple(sorted(hot)), max(2, -(-max(hot.values()) // rows_per_part)))
 
 
 def split_left_join(
@@ -54,15 +75,15 @@ def split_left_join(
     key: ColumnLike,
     spread_by: Sequence[str] = (),
     left_pred: Column | None = None,
-    hot: Sequence = (),
+    hot: HotKeys = NO_HOT_KEYS,
 ) -> DataFrame:
     """Left outer join on a key and a part of that key.
 
     A left row that can match nothing (its key is NULL or it fails `left_pred`) gets a
     part from a hash of `spread_by`, so such rows do not meet in one task. A right row with
-    a key in `hot` gets one of SALTS parts, and left rows with such a key are repeated once
+    a hot key gets one of several parts, and left rows with such a key are repeated once
     per part; the repeats that meet no row are dropped, which is exact because every hot
-    key occurs on the right. `hot` needs a single right table. `left_pred` acts as in an
+    key occurs on the right. Hot keys need a single right table. `left_pred` acts as in an
     ON clause. Right key columns are dropped.
     """
     if hot and len(rights) > 1:
@@ -70,12 +91,12 @@ def split_left_join(
     key = as_column(key)
     if left_pred is not None:
         key = F.when(left_pred, key)
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD)).cast("int") if spread_by else 0
+    spread = F.hash(*spread_by) if spread_by else F.lit(0)
     part = F.when(key.isNull(), spread).otherwise(0)
     joined = left.withColumns({"_key": key, "_part": part})
     if hot:
-        is_hot = F.coalesce(F.col("_key").isin(list(hot)), F.lit(False))
-        parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        is_hot = F.coalesce(F.col("_key").isin(list(hot.keys)), F.lit(False))
+        parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(hot.parts - 1))).otherwise(
             F.array("_part")
         )
         joined = joined.withColumn("_hot", is_hot).withColumn("_part", F.explode(parts))
@@ -85,9 +106,9 @@ def split_left_join(
         if hot:
             right = right.where(F.col(right_key).isNotNull())
             # copies of one row share a hash, but not the partition they are read in
-            content = F.xxhash64(*right.columns) + F.spark_partition_id()
-            salt = F.pmod(content, F.lit(SALTS)).cast("int")
-            right_part = F.when(F.col(right_key).isin(list(hot)), salt).otherwise(right_part)
+            content = F.pmod(F.xxhash64(*right.columns), F.lit(hot.parts))
+            salt = F.pmod(content + F.spark_partition_id(), F.lit(hot.parts)).cast("int")
+            right_part = F.when(F.col(right_key).isin(list(hot.keys)), salt).otherwise(right_part)
         right = right.withColumn("_right_part", right_part)
         on = (F.col("_key") == F.col(right_key)) & (F.col("_part") == F.col("_right_part"))
         joined = joined.join(right, on, "left")

@@ -66,7 +66,11 @@ def test_concat_is_null_propagating_and_labels_skip_nulls(spark):
 
 
 def test_key_text(spark):
-    assert evaluate(spark, text.key_text("d", True), [7.0, None], "d double") == ["7", None]
+    assert evaluate(spark, text.key_text("d", True), [7.0, None, float("nan")], "d double") == [
+        "7",
+        None,
+        None,
+    ]
     assert evaluate(spark, text.key_text("s"), ["007", None], "s string") == ["007", None]
 
 

@@ -17,14 +17,14 @@ from ringroster.operators.joins import (
     semi_by_keys,
     with_person_name,
 )
-from ringroster.operators.skew import hot_keys, split_left_join
+from ringroster.operators.skew import HotKeys, hot_keys, split_left_join
 
 
 @pytest.fixture(params=["plain", "split"])
 def splitting(request, monkeypatch):
     """Hot keys are looked for in every table, or in none."""
     large = 0 if request.param == "split" else 1 << 80
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (large, 0.05))
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (large, 0.05, 7))
     return request.param
 
 
@@ -42,9 +42,10 @@ def test_hot_keys_are_those_with_a_large_share(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") < 400, 7).when(F.col("id") < 450, None).otherwise(F.col("id")).alias("k")
     )
-    assert hot_keys(df, "k", large=1 << 80) == []
-    assert hot_keys(df, "k", large=0) == [7]
-    assert hot_keys(df.where("false"), "k", large=0) == []
+    assert not hot_keys(df, "k", large=1 << 80)
+    assert hot_keys(df, "k", large=0) == HotKeys((7,), 2)
+    assert hot_keys(df, "k", large=0, rows_per_part=100) == HotKeys((7,), 4)
+    assert not hot_keys(df.where("false"), "k", large=0)
 
 
 def test_any_key_join(spark, splitting):
@@ -94,7 +95,14 @@ def test_left_join_to_two_tables_shares_the_key(spark):
         [(1, 5, "a", None), (1, 5, "b", None), (2, None, None, None), (3, 6, None, "c")], key=repr
     )
     with pytest.raises(ValueError):
-        split_left_join(df, [(a, "ak"), (b, "bk")], "fk", ["id"], hot=[5])
+        split_left_join(df, [(a, "ak"), (b, "bk")], "fk", ["id"], hot=HotKeys((5,), 2))
+
+
+def test_copies_of_one_row_are_split_too(spark):
+    base = spark.createDataFrame([(1,), (2,)], "id bigint")
+    copies = spark.range(0, 900, 1, 9).select(F.lit(1).cast("bigint").alias("k"), F.lit("x").alias("v"))
+    got = split_left_join(base, [(copies, "k")], "id", ["id"], hot=HotKeys((1,), 8))
+    assert rows(got.groupBy("id", "v").count()) == [(1, "x", 900), (2, None, 1)]
 
 
 def test_fan_out(spark, splitting):

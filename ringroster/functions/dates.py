@@ -128,4 +128,6 @@ def tenure_text(start: ColumnLike, end: ColumnLike) -> Column:
     """`X anos Y meses`; NULL without a start."""
     n = tenure_months(start, end)
     years = F.call_function("div", n, F.lit(12))
-    return F.when(n.isNotNull(), F.format_string("%d anos %d meses", years, n % 12))
+    return F.concat(
+        years.cast("string"), F.lit(" anos "), (n % 12).cast("string"), F.lit(" meses")
+    )

@@ -49,8 +49,25 @@ def hms_text(secs: ColumnLike) -> Column:
     """`HH:MM:SS` with total hours; a negative duration keeps its sign."""
     secs = F.floor(as_column(secs))
     size = F.abs(secs)
-    text = F.format_string("%02d:%02d:%02d", _div(size, 3600), _div(size % 3600, 60), size % 60)
-    return F.when(secs < 0, F.concat(F.lit("-"), text)).when(secs >= 0, text)
+    return F.concat(
+        F.when(secs < 0, "-").otherwise(""),
+        _hours(_div(size, 3600)),
+        F.lit(":"),
+        _sixtieth(_div(size, 60) % 60),
+        F.lit(":"),
+        _sixtieth(size % 60),
+    )
+
+
+# Plain padding and concatenation, as a format string costs far more per row.
+def _sixtieth(n: Column) -> Column:
+    """A number below 60 (or an hour of the day) in two digits."""
+    return F.lpad(n.cast("string"), 2, "0")
+
+
+def _hours(n: Column) -> Column:
+    """A number in at least two digits."""
+    return F.concat(F.when(n < 10, "0").otherwise(""), n.cast("string"))
 
 
 def _div(a: Column, b: int) -> Column:
@@ -60,8 +77,12 @@ def _div(a: Column, b: int) -> Column:
 def minutes_to_clock(minutes: ColumnLike) -> Column:
     """Minutes of the day as `HH:MM:00.0000000`."""
     m = as_column(minutes)
-    text = F.format_string("%02d:%02d:00.0000000", _div(m, 60), F.pmod(m, F.lit(60)))
-    return F.when(m.isNotNull(), text)
+    return F.concat(
+        _hours(_div(m, 60)),
+        F.lit(":"),
+        _sixtieth(F.pmod(m, F.lit(60))),
+        F.lit(":00.0000000"),
+    )
 
 
 def clock_to_secs(c: ColumnLike) -> Column:
@@ -81,11 +102,8 @@ def hours_label(secs: ColumnLike, pad: bool = False) -> Column:
     """`8H` or `8H:20`; with `pad`, `08H` or `08H:20`."""
     secs = as_column(secs)
     hours, minutes = _div(secs, 3600), _div(F.pmod(secs, F.lit(3600)), 60)
-    hour_fmt = "%02dH" if pad else "%dH"
-    label = F.when(minutes == 0, F.format_string(hour_fmt, hours)).otherwise(
-        F.format_string(hour_fmt + ":%02d", hours, minutes)
-    )
-    return F.when(secs.isNotNull(), label)
+    rest = F.when(minutes == 0, "").otherwise(F.concat(F.lit(":"), _sixtieth(minutes)))
+    return F.concat(_hours(hours) if pad else hours.cast("string"), F.lit("H"), rest)
 
 
 def shift_label(start: ColumnLike, end: ColumnLike) -> Column:
@@ -96,5 +114,9 @@ def shift_label(start: ColumnLike, end: ColumnLike) -> Column:
 def hm00_text(secs: ColumnLike) -> Column:
     """`HH:MM:00`; whole days and seconds are dropped."""
     clock = secs_to_clock(secs)
-    text = F.format_string("%02d:%02d:00", _div(clock, 3600), _div(clock % 3600, 60))
-    return F.when(clock.isNotNull(), text)
+    return F.concat(
+        _sixtieth(_div(clock, 3600)),
+        F.lit(":"),
+        _sixtieth(_div(clock, 60) % 60),
+        F.lit(":00"),
+    )

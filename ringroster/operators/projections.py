@@ -35,7 +35,3 @@ def select_existing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The listed columns that exist, in the listed order."""
     present = set(df.columns)
     return df.select(*[F.col(f"`{c}`") for c in columns if c in present])
-
-
-def replace_columns(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
-    return df.withColumns(dict(values))

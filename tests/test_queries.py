@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+import checks
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import TABLES, table_of
 
@@ -21,10 +22,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(checks.QUERIES) == set(checks.SQL)
+    assert set(checks.QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(checks.QUERIES))
 def test_query(spark, con, name):
     df = queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -94,7 +94,7 @@ def hash_words(words: list[bytes]) -> np.ndarray:
     try:
         return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
     except KeyError:
-        for w in set(words).difference(memo):
+        for w in {w for w in words if w not in memo}:
             memo[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
 
@@ -152,7 +152,7 @@ def token_bytes(text: str | None, path: str) -> bytes:
     except KeyError:
         if len(memo) > MEMO:
             memo.clear()
-        new = list(set(words).difference(memo))
+        new = list({w for w in words if w not in memo})
         found = _tokenizer(path).encode_batch_fast(
             [w.decode() for w in new], add_special_tokens=False
         )

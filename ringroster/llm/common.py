@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Sequence
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 END_OF_DOCUMENT = 1
 TOKENIZER = "word_bpe_49k.json"
+GROUP = 4 << 20  # characters
 MEMO = 400_000  # entries of a worker's word memo before it starts afresh
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -139,24 +141,38 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
-def token_bytes(text: str | None, path: str) -> bytes:
-    """Ids of a text and the end id, as little-endian unsigned 32-bit integers.
+def token_bytes(texts: Iterable[str | None], path: str) -> Iterator[bytes]:
+    """Ids of each text and the end id, as little-endian unsigned 32-bit integers.
 
     No step of this tokenizer looks across ASCII white space, so words are encoded once
-    and remembered (up to MEMO of them per worker).
+    and remembered (up to about MEMO of them per worker). New words are encoded together,
+    for GROUP characters of text at a time.
     """
+    group: list[list[bytes]] = []
+    size = 0
+    for text in texts:
+        data = (text or "").encode()
+        # the tokenizer lowers case itself, but special tokens are found before that
+        group.append((data if b"<|" in data else data.lower()).split())
+        size += len(text or "")
+        if size > GROUP:
+            yield from _encoded(group, path)
+            group, size = [], 0
+    yield from _encoded(group, path)
+
+
+def _encoded(group: list[list[bytes]], path: str) -> Iterator[bytes]:
     memo = _token_memo.setdefault(path, {})
-    words = (text or "").encode().split()
-    try:
-        ids = b"".join(map(memo.__getitem__, words))
-    except KeyError:
-        if len(memo) > MEMO:
-            memo.clear()
-        new = list({w for w in words if w not in memo})
+    if len(memo) > MEMO:
+        memo.clear()
+    new = list({w for words in group for w in words if w not in memo})
+    for i in range(0, len(new), 10_000):
+        part = new[i : i + 10_000]
         found = _tokenizer(path).encode_batch_fast(
-            [w.decode() for w in new], add_special_tokens=False
+            [w.decode() for w in part], add_special_tokens=False
         )
-        for w, e in zip(new, found, strict=True):
-            memo[w] = np.asarray(e.ids, "<u4").tobytes()
-        ids = b"".join(map(memo.__getitem__, words))
-    return ids + np.uint32(END_OF_DOCUMENT).astype("<u4").tobytes()
+        for w, e in zip(part, found, strict=True):
+            memo[w] = array("I", e.ids).tobytes()
+    end = array("I", [END_OF_DOCUMENT]).tobytes()
+    for words in group:
+        yield b"".join(map(memo.__getitem__, words)) + end

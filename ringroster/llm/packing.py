@@ -43,8 +43,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
             ids_of, texts = batch.column(0).to_pylist(), texts_of(batch.column(1))
             out: list[tuple] = []
             size = 0
-            for doc_id, text in zip(ids_of, texts, strict=True):
-                ids = token_bytes(text, path)
+            for doc_id, ids in zip(ids_of, token_bytes(texts, path), strict=True):
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     part = ids[start * 4 : (start + window) * 4]

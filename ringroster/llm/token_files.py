@@ -48,8 +48,8 @@ def _encoder(path: str):
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-                ids = token_bytes(text, path)
+            encoded = token_bytes(texts_of(batch.column(1)), path)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
                 n = len(ids) // 4
                 rows.append((doc_id, place, before, n))
                 held.append(ids)

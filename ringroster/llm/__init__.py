@@ -1 +1,10 @@
-"""Operators of a training-data pipeline. Nothing else in the library imports them."""
+"""Operators of a training-data pipeline. Nothing else in the library imports them.
+
+Their functions travel to the executors by value, so workers need no copy of the library.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringroster.llm import mixing, packing, sharding, token_files
+from ringroster.llm import mixing, packing, sharding, token_files, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +40,29 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mixing, op3_packing, op4_token_files, op5_sharding)
+    f.__name__: f for f in (op1_mixing, op3_packing, op4_token_files, op5_sharding, op10_topk)
+}
+SQL: dict[str, str] = {
+    "op10_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n
+            FROM scored
+        )
+        SELECT query_id, n::INT AS rank, vec_id, score FROM placed WHERE n <= 5
+    """,
 }
-SQL: dict[str, str] = {}

@@ -64,21 +64,18 @@ def row_tag(df: DataFrame) -> Column:
     return F.xxhash64(*parts)
 
 
-def repeat_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """Each row of `docs` as often as decided.
+def repeat_rows(docs: DataFrame, plan: DataFrame) -> DataFrame:
+    """Each row of `docs` as often as planned.
 
-    `decided` has `_tag` (row_tag of docs) and `_copies`, one row per row of docs. Rows with
-    one tag share the sum of their copies; only such rows, where there is more than one,
-    are brought together.
+    `plan` has one row per row_tag: `_tag`, `_times` (rows of docs with that tag) and
+    `_copies` (rows wanted of them in all). Equal rows are brought together only where their
+    copies cannot be shared evenly.
     """
-    plan = decided.groupBy("_tag").agg(F.sum("_copies").alias("_copies"), F.count("*").alias("_n"))
-    plan = plan.where("_copies > 0").withColumnRenamed("_tag", "_key")
-    tag = row_tag(docs)
-    met = docs.withColumn("_tag", tag).join(plan, F.col("_tag") == F.col("_key")).drop("_key")
-    met = met.withColumn("_even", F.col("_copies") % F.col("_n") == 0)
-    even = met.where("_even").withColumn("_copies", (F.col("_copies") / F.col("_n")).cast("long"))
-    odd = met.where(~F.col("_even")).dropDuplicates(["_tag"])
-    both = even.unionByName(odd)
+    plan = plan.where("_copies > 0").select(F.col("_tag").alias("_key"), "_copies", "_times")
+    met = docs.withColumn("_tag", row_tag(docs)).join(plan, F.col("_tag") == F.col("_key"))
+    even = F.col("_copies") % F.col("_times") == 0
+    each = met.where(even).withColumn("_copies", (F.col("_copies") / F.col("_times")).cast("long"))
+    both = each.unionByName(met.where(~even).dropDuplicates(["_tag"]))
     often = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
     return both.withColumn("_time", often).select(*[F.col(f"`{c}`") for c in docs.columns])
 

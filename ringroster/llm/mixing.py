@@ -174,4 +174,6 @@ def mix(
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that the mix takes, each as often as it takes it."""
-    return repeat_rows(docs, mix(docs, **options).select("_tag", F.col("copies").alias("_copies")))
+    taken = mix(docs, **options).groupBy("_tag")
+    plan = taken.agg(F.sum("copies").alias("_copies"), F.count("*").alias("_times"))
+    return repeat_rows(docs, plan)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringroster.llm import mixing, packing, sharding, token_files, topk
+from ringroster.llm import jaccard_join, mixing, packing, sharding, token_files, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,12 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.linked(_documents(spark, folder), words=4, percent=85).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_documents(spark, folder)).select(
         "doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32",
@@ -45,9 +51,43 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mixing, op3_packing, op4_token_files, op5_sharding, op10_topk)
+    f.__name__: f for f in (op1_mixing, op2_jaccard_join, op3_packing, op4_token_files, op5_sharding, op10_topk)
 }
 SQL: dict[str, str] = {
+    "op2_jaccard_join": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE
+                WHEN len(w) = 0 THEN []
+                WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 2),
+                                                  lambda i: array_to_string(w[i:i + 3], ' ')))
+                END AS s
+            FROM words
+        ), items AS (
+            SELECT doc_id, unnest(s) AS item FROM sets
+        ), shared AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n
+            FROM items AS a JOIN items AS b ON a.item = b.item AND a.doc_id < b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+        ), links AS (
+            SELECT u, v FROM shared JOIN sets AS x ON x.doc_id = u JOIN sets AS y ON y.doc_id = v
+            WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n)
+        ), ways AS (
+            SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT r.doc_id, w.v FROM reach AS r JOIN ways AS w ON w.u = r.other
+        )
+        SELECT sets.doc_id, len(any_value(s)) AS n_shingles, min(other) AS component_id
+        FROM sets JOIN reach ON reach.doc_id = sets.doc_id
+        GROUP BY sets.doc_id
+    """,
     "op10_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w

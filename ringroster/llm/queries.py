@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringroster.llm import jaccard_join, mixing, packing, sharding, token_files, topk
+from ringroster.llm import jaccard_join, language, mixing, packing, quality, sharding, token_files, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,12 +46,20 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(_documents(spark, folder)).drop("_tag")
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identified(_documents(spark, folder)).drop("_tag")
+
+
 def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mixing, op2_jaccard_join, op3_packing, op4_token_files, op5_sharding, op10_topk)
+    f.__name__: f for f in (op1_mixing, op2_jaccard_join, op3_packing, op4_token_files, op5_sharding, op6_quality_rules, op7_language_id, op10_topk)
 }
 SQL: dict[str, str] = {
     "op2_jaccard_join": """

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringroster.llm import jaccard_join, language, mixing, packing, quality, sharding, token_files, topk
+from ringroster.llm import (
+    interpolation,
+    jaccard_join,
+    language,
+    licenses,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    token_files,
+    topk,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,12 +65,20 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(_documents(spark, folder)).drop("_tag")
 
 
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scanned(_documents(spark, folder))
+
+
+def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return interpolation.scored(_documents(spark, folder))
+
+
 def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mixing, op2_jaccard_join, op3_packing, op4_token_files, op5_sharding, op6_quality_rules, op7_language_id, op10_topk)
+    f.__name__: f for f in (op1_mixing, op2_jaccard_join, op3_packing, op4_token_files, op5_sharding, op6_quality_rules, op7_language_id, op8_license_scan, op9_lm_scores, op10_topk)
 }
 SQL: dict[str, str] = {
     "op2_jaccard_join": """

@@ -8,7 +8,6 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +18,6 @@ GROUP = 4 << 20  # characters
 MEMO = 400_000  # entries of a worker's word memo before it starts afresh
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
-_word_memo: dict[bytes, int] = {}
 _token_memo: dict[str, dict[bytes, bytes]] = {}
 _tokenizers: dict[str, object] = {}
 
@@ -80,22 +78,49 @@ def repeat_rows(docs: DataFrame, plan: DataFrame) -> DataFrame:
     return both.withColumn("_time", often).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def split_words(text: str) -> list[bytes]:
-    """Words as bytes, A-Z in lower case; bytes split at exactly the six white characters."""
-    return text.encode().lower().split()
+def _byte_values(lower: bool) -> np.ndarray:
+    values = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+    if lower:
+        values[65:91] = values[97:123]
+    return values
 
 
-def hash_words(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words, with a bounded memo per worker."""
-    memo = _word_memo
-    if len(memo) > MEMO:
-        memo.clear()
-    try:
-        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-    except KeyError:
-        for w in {w for w in words if w not in memo}:
-            memo[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+_WHITE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+ALNUM_GAP = ~np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)])
+_VALUES = {lower: _byte_values(lower) for lower in (True, False)}
+_PLACES = np.random.default_rng(2).integers(1, 1 << 63, 4096, dtype=np.uint64) | np.uint64(1)
+
+
+def word_hashes(
+    text: str | None, lower: bool = True, gaps: np.ndarray = _WHITE, tails: bool = False
+) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of a text, A-Z as a-z if `lower`.
+
+    Words lie between the bytes of `gaps`, by default the six white characters. A word's
+    hash is multilinear in its bytes, then mixed. With `tails` also a hash of the whole word
+    if it has up to four bytes, else of its last two.
+    """
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    at = np.flatnonzero(~gaps[data])
+    if not len(at):
+        none = np.empty(0, np.uint64)
+        return (none, none) if tails else none
+    first = np.ones(len(at), bool)
+    first[1:] = at[1:] != at[:-1] + 1
+    starts = np.flatnonzero(first)
+    lengths = np.diff(np.append(starts, len(at)))
+    place = np.arange(len(at)) - np.repeat(starts, lengths)
+    value = _VALUES[lower][data[at]]
+    if place.max() >= len(_PLACES):
+        weight = _PLACES[place % len(_PLACES)] * (2 * (place // len(_PLACES)) + 1).astype(np.uint64)
+    else:
+        weight = _PLACES[place]
+    h = mixed(np.add.reduceat(value * weight, starts) + lengths.astype(np.uint64) * _MIX)
+    if not tails:
+        return h
+    last = starts + lengths - 1
+    tail = mixed(value[last] * _PLACES[0] + value[last - 1] * _PLACES[1])
+    return h, np.where(lengths > 4, tail, h)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

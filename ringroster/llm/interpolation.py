@@ -21,12 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ringroster.llm.common import hash_words, split_words, texts_of
+from ringroster.llm.common import texts_of, word_hashes
 from ringroster.spool import spooled
 
 CLASSES = 256
@@ -35,27 +34,17 @@ BUCKETS = 16  # of context frequency, by powers of eight
 TURNS = 60
 SCALE = 32  # steps of a power of e in the table of held-out counts
 START = 0  # class of the history at the start of a text
-END = xxhash.xxh3_64_intdigest(b" end ")  # no word holds a blank
+END = 0x656E64206F66  # hash that stands for the end
 CHUNKS = (
     "chunk string, doc_ids array<long>, outs array<boolean>, lengths array<int>, "
     "words binary, classes binary, kept binary, deleted binary, places binary"
 )
-_class_memo: dict[bytes, int] = {}
 
 
-def word_class(word: bytes) -> int:
-    """Class of a history that ends in this word, from 1."""
-    tail = word if len(word) <= 4 else b" " + word[-2:]
-    return 1 + xxhash.xxh3_64_intdigest(tail) % (CLASSES - 1)
-
-
-def _classes_of(words: list[bytes]) -> np.ndarray:
-    memo = _class_memo
-    if len(memo) > 400_000:
-        memo.clear()
-    for w in {w for w in words if w not in memo}:
-        memo[w] = word_class(w)
-    return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+def histories(tails: np.ndarray) -> np.ndarray:
+    """Class, from 1, of the history that ends in each word: short words are told apart by
+    the whole word, others by their last two bytes."""
+    return 1 + (tails % np.uint64(CLASSES - 1)).astype(np.int64)
 
 
 def remainder(docs: DataFrame, divisor: int) -> Column:
@@ -102,9 +91,9 @@ def chunked(docs: DataFrame) -> DataFrame:
         for batch in batches:
             rows = zip(*(batch.column(i).to_pylist() for i in range(3)), texts_of(batch.column(3)), strict=True)
             for doc_id, out, gone, text in rows:
-                own = split_words(text or "")
-                words.append(np.append(hash_words(own), np.uint64(END)))
-                classes.append(np.concatenate(([START], _classes_of(own))))
+                own, tails = word_hashes(text, tails=True)
+                words.append(np.append(own, np.uint64(END)))
+                classes.append(np.concatenate(([START], histories(tails))))
                 docs_of.append((doc_id, out, gone, len(own) + 1))
                 size += len(own) + 1
                 if size >= CHUNK_TOKENS:

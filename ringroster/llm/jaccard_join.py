@@ -25,13 +25,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringroster.llm.common import (
-    hash_words,
     mixed,
     repeat_rows,
     row_tag,
-    split_words,
     texts_of,
     windows_hash,
+    word_hashes,
 )
 from ringroster.llm.components import components
 from ringroster.spool import spooled
@@ -44,16 +43,13 @@ VERIFY = 8.0  # cost of verifying a pair, in postings
 SALT_ROWS = 4096  # postings of one shingle per group
 NODES = "doc_id long, text_hash long, tag long, node long, n int, bin int"
 POSTINGS = "token long, node long, meta long"
-SETS = "node long, items binary"
+SETS = "node long, items binary, bits binary"
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct hashes of the runs of n words; fewer words are one run; none, none."""
-    words = split_words(text) if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    h = hash_words(words)
-    return np.unique(windows_hash(h, min(n, len(h))))
+    h = word_hashes(text)
+    return np.unique(windows_hash(h, min(n, len(h)))) if len(h) else h
 
 
 def node_of(items: np.ndarray) -> int:
@@ -150,6 +146,30 @@ def _rows(parts: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(r) for r in rows], ["token", "node", "meta"])
 
 
+def signature(items: np.ndarray) -> bytes:
+    """Parity of the items in each of 2n to 4n bits. Two sets differ in at least as many
+    items as their signatures, folded to one width, differ in bits."""
+    width = 1 << max(6, int(2 * len(items) - 1).bit_length())
+    odd = np.bincount((items & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, sizes: int, percent: int) -> bool:
+    """False only if two sets, of `sizes` items together, cannot be similar enough."""
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    shared = (sizes - int(np.bitwise_count(a ^ b).sum())) // 2
+    return 100 * shared >= percent * (sizes - shared)
+
+
+def _set_rows(nodes: list[int], held: list[np.ndarray]) -> pa.RecordBatch:
+    items = pa.array([x.astype("<u8").tobytes() for x in held], pa.binary())
+    bits = pa.array([signature(x) for x in held], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), items, bits], ["node", "items", "bits"])
+
+
 def _sets(words: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -160,12 +180,12 @@ def _sets(words: int):
                 if len(items) and (node := node_of(items)) not in seen:
                     seen.add(node)
                     nodes.append(node)
-                    items_of.append(items.astype("<u8").tobytes())
+                    items_of.append(items)
                     size += len(items)
                 if size > 1 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(items_of, pa.binary())], ["node", "items"])
+                    yield _set_rows(nodes, items_of)
                     nodes, items_of, size = [], [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(items_of, pa.binary())], ["node", "items"])
+            yield _set_rows(nodes, items_of)
 
     return scan
 
@@ -179,22 +199,30 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(both) - shared)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) whose sets are similar enough."""
+def _filtered(pairs: DataFrame, sets: DataFrame, column: str, columns: str, keep) -> DataFrame:
+    """Pairs (u, v, sizes) for which `keep` holds of a binary column of both sets."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            keep = [
-                similar(np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8"), percent)
-                for a, b in zip(left, right, strict=True)
+            kept = [
+                keep(np.frombuffer(a.as_buffer(), columns), np.frombuffer(b.as_buffer(), columns), n)
+                for n, a, b in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True)
             ]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            rows = pa.RecordBatch.from_arrays(batch.columns[:3], ["u", "v", "sizes"])
+            yield rows.filter(pa.array(kept, pa.bool_()))
+
+    a = sets.select(F.col("node").alias("v"), F.col(column).alias("b"))
+    b = sets.select(F.col("node").alias("u"), F.col(column).alias("a"))
+    met = pairs.join(a, "v").join(b, "u").select("u", "v", "sizes", "a", "b")
+    return met.mapInArrow(check, "u long, v long, sizes long")
 
-    a = sets.select(F.col("node").alias("v"), F.col("items").alias("v_items"))
-    b = sets.select(F.col("node").alias("u"), F.col("items").alias("u_items"))
-    met = pairs.join(a, "v").join(b, "u").select("u", "v", "u_items", "v_items")
-    return met.mapInArrow(check, "u long, v long")
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) whose sets are similar enough: first by their signatures, which are a
+    small part of the sets and never reject a similar pair, then by the whole sets."""
+    near = _filtered(pairs, sets, "bits", "u1", lambda a, b, n: may_be_similar(a, b, n, percent))
+    near = spooled(near)
+    return _filtered(near, sets, "items", "<u8", lambda a, b, n: similar(a, b, percent)).select("u", "v")
 
 
 def _size(meta: str) -> Column:
@@ -214,9 +242,10 @@ def _stars(postings: DataFrame, percent: int) -> DataFrame:
     tops = salted.withColumn("top", F.min("hub").over(among)).where("hub.node <> top.node")
     tops = tops.select(F.col("hub.node").alias("node"), F.col("hub.meta").alias("meta"), F.col("top.node").alias("h"), F.col("top.meta").alias("hm"))
     pairs = own.unionByName(tops).where(_fits("meta", "hm", percent))
-    counted = pairs.groupBy("node", "h").agg(F.count("*").alias("c"))
-    best = counted.groupBy("node").agg(F.max(F.struct("c", "h")).alias("b"))
-    return best.select(F.col("b.h").alias("u"), F.col("node").alias("v"))
+    sizes = _size("meta") + _size("hm")
+    counted = pairs.groupBy("node", "h").agg(F.count("*").alias("c"), F.first(sizes).alias("sizes"))
+    best = counted.groupBy("node").agg(F.max(F.struct("c", "h", "sizes")).alias("b"))
+    return best.select(F.col("b.h").alias("u"), F.col("node").alias("v"), "b.sizes")
 
 
 def _across(postings: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -236,9 +265,10 @@ def _across(postings: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     met = met.select(
         F.least("a_node", "node").alias("u"), F.greatest("a_node", "node").alias("v"),
         F.least(F.col("a_meta").bitwiseAND(7), F.col("meta").bitwiseAND(7)).alias("reach"),
+        (_size("a_meta") + _size("meta")).alias("sizes"),
     )
-    counted = met.groupBy("u", "v").agg(F.count("*").alias("c"), F.min("reach").alias("reach"))
-    return counted.where("c >= reach").select("u", "v")
+    counted = met.groupBy("u", "v").agg(F.count("*").alias("c"), F.min("reach").alias("reach"), F.first("sizes").alias("sizes"))
+    return counted.where("c >= reach").select("u", "v", "sizes")
 
 
 def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -10,7 +10,6 @@ a shared band follows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringroster.llm.common import hash_words, texts_of, windows_hash
+from ringroster.llm.common import ALNUM_GAP, texts_of, windows_hash, word_hashes
 
 # Public license notices, in natural order.
 TEMPLATES = {
@@ -37,12 +36,11 @@ ROWS = 2
 CONTAINED = 0.8
 SEED = 8
 CHUNK_WORDS = 1 << 17
-_TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 
 def normalised(text: str) -> np.ndarray:
     """Hashes of the words of a text: runs of letters and digits, A-Z lower-cased."""
-    return hash_words(_TOKEN.findall(text.encode().lower()))
+    return word_hashes(text, gaps=ALNUM_GAP)
 
 
 def stride_of(words: int) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -11,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ringroster.spool import checkpoint_folder
+
 WORD = r"[^\x20\x09-\x0D]+"
 END_OF_DOCUMENT = 1
 TOKENIZER = "word_bpe_49k.json"
@@ -53,6 +56,14 @@ def ranked(
     )
 
 
+def compact(df: DataFrame) -> DataFrame:
+    """As `spooled`, for large rows: written with a stronger compression."""
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/spool-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def row_tag(df: DataFrame) -> Column:
     """Hash of a whole row with its nulls; equal rows have equal tags."""
     parts: list[Column] = []

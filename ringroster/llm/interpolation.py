@@ -11,7 +11,7 @@ maximisation on counts of documents that were kept out of the estimates.
 Text is read once, into chunks of a bounded number of tokens that hold their distinct
 (class, word) pairs and, for each token, which pair it is. Pairs are counted over all
 chunks by one shuffle on the word, in which each chunk has at most one row per pair, and
-the counts return to their chunks.
+the counts return to their chunks. A word has at most CLASSES rows of each chunk.
 """
 
 from __future__ import annotations
@@ -25,18 +25,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ringroster.llm.common import texts_of, word_hashes
-from ringroster.spool import spooled
+from ringroster.llm.common import compact, texts_of, word_hashes
 
-CLASSES = 256
-CHUNK_TOKENS = 1 << 20
+CLASSES = 64
+CHUNK_TOKENS = 1 << 21
 BUCKETS = 16  # of context frequency, by powers of eight
 TURNS = 60
 SCALE = 32  # steps of a power of e in the table of held-out counts
 START = 0  # class of the history at the start of a text
 END = 0x656E64206F66  # hash that stands for the end
 CHUNKS = (
-    "chunk string, doc_ids array<long>, outs array<boolean>, lengths array<int>, "
+    "chunk long, doc_ids array<long>, outs array<boolean>, lengths array<int>, "
     "words binary, classes binary, kept binary, deleted binary, places binary"
 )
 
@@ -80,11 +79,11 @@ def chunked(docs: DataFrame) -> DataFrame:
             n = int(new.sum())
             counts = [np.bincount(place[kind == k], minlength=n).astype("<i4") for k in (0, 1)]
             values = [
-                f"{task.partitionId()}-{number}", list(ids), list(outs), list(lengths),
+                task.partitionId() << 16 | number, list(ids), list(outs), list(lengths),
                 ws[new].astype("<u8").tobytes(), cs[new].astype("<i2").tobytes(),
                 counts[0].tobytes(), counts[1].tobytes(), place.astype("<i4").tobytes(),
             ]
-            kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), *[pa.binary()] * 5]
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), *[pa.binary()] * 5]
             names = ["chunk", "doc_ids", "outs", "lengths", "words", "classes", "kept", "deleted", "places"]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
@@ -106,25 +105,27 @@ def chunked(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long"), (remainder(docs, 7) == 2).alias("out"),
         (remainder(docs, 10) == 0).alias("gone"), "text",
     )
-    return spooled(keyed.mapInArrow(scan, CHUNKS))
+    return compact(keyed.mapInArrow(scan, CHUNKS))
 
 
 def pair_rows(chunks: DataFrame) -> DataFrame:
-    """chunk, place, word, class, kept and deleted count of every distinct pair of a chunk."""
+    """at (chunk and place), word, class, kept and deleted count of every distinct pair of a
+    chunk; the last three packed, as these rows are shuffled."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, w, c, kept, gone in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                word, kind = np.frombuffer(w, "<i8"), np.frombuffer(c, "<i2").astype(np.int32)
-                a, b = np.frombuffer(kept, "<i4"), np.frombuffer(gone, "<i4")
+                word, kind = np.frombuffer(w, "<i8"), np.frombuffer(c, "<i2").astype(np.int64)
+                a, b = np.frombuffer(kept, "<i4").astype(np.int64), np.frombuffer(gone, "<i4")
+                at = (chunk << 24) + np.arange(len(word))
+                packed = kind << 48 | a << 24 | b
                 for i in range(0, len(word), 100_000):
                     part = slice(i, i + 100_000)
-                    n = len(word[part])
-                    columns = [pa.array([chunk] * n), pa.array(np.arange(i, i + n, dtype=np.int32)), pa.array(word[part]), pa.array(kind[part]), pa.array(a[part]), pa.array(b[part])]
-                    yield pa.RecordBatch.from_arrays(columns, ["chunk", "place", "word", "class", "kept", "deleted"])
+                    columns = [pa.array(x[part]) for x in (at, word, packed)]
+                    yield pa.RecordBatch.from_arrays(columns, ["at", "word", "packed"])
 
     narrow = chunks.select("chunk", "words", "classes", "kept", "deleted")
-    return narrow.mapInArrow(rows, "chunk string, place int, word long, class int, kept int, deleted int")
+    return narrow.mapInArrow(rows, "at long, word long, packed long")
 
 
 def bucket(seen: np.ndarray) -> np.ndarray:
@@ -166,18 +167,18 @@ def scored(docs: DataFrame) -> DataFrame:
     ignored.
     """
     chunks = chunked(docs)
-    counted = chunks.select("chunk", "words", "classes", "kept", "deleted")
-    pairs = pair_rows(counted)
+    low = (1 << 24) - 1
+    pairs = pair_rows(chunks).withColumns(
+        {"class": F.shiftright("packed", 48).cast("int"), "kept": F.shiftright("packed", 24).bitwiseAND(low), "deleted": F.col("packed").bitwiseAND(low)}
+    ).drop("packed").repartition("word")
     same = Window.partitionBy("word")
     pair = Window.partitionBy("word", "class")
-    # by word first, so that the second window needs no further shuffle
-    totals = pairs.withColumns({"wk": F.sum("kept").over(same), "wd": F.sum("deleted").over(same)})
-    totals = totals.withColumns(
-        {"pk": F.sum("kept").over(pair), "pd": F.sum("deleted").over(pair),
-         "first": F.row_number().over(pair.orderBy("chunk", "place")) == 1,
-         "first_word": F.row_number().over(same.orderBy("class", "chunk", "place")) == 1}
+    totals = pairs.withColumns(
+        {"wk": F.sum("kept").over(same), "wd": F.sum("deleted").over(same), "wa": F.min("at").over(same),
+         "pk": F.sum("kept").over(pair), "pd": F.sum("deleted").over(pair), "pa": F.min("at").over(pair)}
     )
-    totals = spooled(totals.select("chunk", "place", "word", "class", "wk", "wd", "pk", "pd", "first", "first_word"))
+    first, first_word = F.col("at") == F.col("pa"), F.col("at") == F.col("wa")
+    totals = compact(totals.select("at", "class", "wk", "wd", "pk", "pd", first.alias("first"), first_word.alias("first_word")))
 
     seen = np.zeros((2, CLASSES), np.int64)
     by_class = totals.where("first").groupBy("class").agg(F.sum("pk").alias("k"), F.sum("pd").alias("d"))
@@ -206,7 +207,7 @@ def scored(docs: DataFrame) -> DataFrame:
 
     def score(chunk: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         row = chunk.iloc[0]
-        counts = counts.sort_values("place")
+        counts = counts.sort_values("at")
         c1, c2 = counts["c1"].to_numpy(np.float64), counts["c2"].to_numpy(np.float64)
         kind = np.frombuffer(row["classes"], "<i2").astype(int)
         lengths = np.asarray(row["lengths"])
@@ -230,7 +231,7 @@ def scored(docs: DataFrame) -> DataFrame:
             }
         )
 
-    back = totals.select("chunk", "place", (F.col("wk") + F.col("wd")).alias("c1"), (F.col("pk") + F.col("pd")).alias("c2"))
+    back = totals.select("at", F.shiftright("at", 24).alias("chunk"), (F.col("wk") + F.col("wd")).alias("c1"), (F.col("pk") + F.col("pd")).alias("c2"))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     placed = chunks.select("chunk", "doc_ids", "outs", "lengths", "classes", "places")
     return placed.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(score, schema)

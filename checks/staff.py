@@ -568,10 +568,10 @@ _PUNCHES = (
 )
 
 
-def _raw_punches(spark: SparkSession, folder: str, per_day: int | None = None) -> DataFrame:
+def _raw_punches(spark: SparkSession, folder: str) -> DataFrame:
     roster = workforce.operational_roster(roster_days(spark, folder))
     sources = punch_sources(spark, folder)
-    return workforce.punches_raw(sources, roster, date(1996, 1, 1), per_day)
+    return workforce.punches_raw(sources, roster, date(1996, 1, 1))
 
 
 @check(
@@ -608,7 +608,7 @@ def punches_raw(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def punches_wide(spark: SparkSession, folder: str) -> DataFrame:
-    first = _raw_punches(spark, folder, workforce.PUNCHES_PER_DAY)
+    first = _raw_punches(spark, folder)
     return workforce.punches_wide(first)
 
 

@@ -11,8 +11,6 @@ from ringroster.functions import ColumnLike, as_column
 from ringroster.operators.windows import with_cumulative_pct, with_ordinal
 
 
-MAX_LABELS = 10_000
-
 
 def sum_dur(secs: ColumnLike, when: Column | None = None) -> Column:
     """Sum of a duration, 0 if there is none; with `when`, over those rows only."""
@@ -61,15 +59,11 @@ def offenders(pareto_df: DataFrame, limit: float = 85) -> DataFrame:
 def join_values(df: DataFrame, c: str, output: str, sep: str = ", ") -> DataFrame:
     """One text listing the distinct values in order.
 
-    For short lists of labels: more than MAX_LABELS values are an error, raised before
-    they are gathered.
+    For columns whose values are few by what they mean, as the reasons up to a limit of a
+    Pareto; longer lists are better read as rows from `distinct_values`.
     """
-    labels = distinct_values(df, c).limit(MAX_LABELS + 1)
     text = F.array_join(F.array_sort(F.collect_list(c)), sep)
-    too_many = F.raise_error(F.lit(f"more than {MAX_LABELS} values of {c} in one text"))
-    return labels.agg(
-        F.when(F.count("*") > MAX_LABELS, too_many.cast("string")).otherwise(text).alias(output)
-    )
+    return distinct_values(df, c).agg(text.alias(output))
 
 
 def pivot_ordinals(
@@ -88,9 +82,9 @@ def pivot_ordinals(
     positions are cut before the shuffle, and the grouping reuses its partitioning.
     """
     keys = [*group, *others]
-    if drop_null_groups:
-        df = df.dropna(subset=keys)
     numbered = with_ordinal(df, group, order, "_n", at_most=width)
+    if drop_null_groups:  # after numbering: a dropped row leaves its position empty
+        numbered = numbered.dropna(subset=keys)
     cell = as_column(value)
     return numbered.groupBy(*keys).agg(
         *[

@@ -3,7 +3,7 @@
 No broadcast hints: whether a side is broadcast is left to Spark, which compares the
 side's size with `spark.sql.autoBroadcastJoinThreshold` when planning and again, with
 measured sizes, at run time. Sides above it are joined by shuffle, where adaptive skew
-handling splits hot keys; `skew` covers the hot keys which that cannot split.
+handling splits hot keys; `skew` takes apart the left joins which that cannot split.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ringroster.functions import ColumnLike, as_column
 from ringroster.functions.text import key_text, norm_upper
-from ringroster.operators.skew import NO_HOT_KEYS, hot_keys, split_left_join
+from ringroster.operators.skew import exact_left_join, split_left_join
 
 
 def lookup(
@@ -32,11 +32,8 @@ def fan_out(base: DataFrame, rows: DataFrame, key: str, rows_key: str) -> DataFr
     The two tables may both be large, and one base row may own a large part of the detail
     rows, so hot keys of the detail table are split.
     """
-    hot = hot_keys(rows, rows_key)
-    if not hot:
-        return lookup(base, rows, key, rows_key)
     kept = rows.withColumn("_rows_key", F.col(rows_key))
-    return split_left_join(base, [(kept, "_rows_key")], key, [key], hot=hot)
+    return exact_left_join(base, kept, key, "_rows_key", [key])
 
 
 def person_names(
@@ -127,13 +124,8 @@ def link_queue_leg(
             leg_key.alias("_queue_leg"), *[F.col(c).alias(o) for c, o in queue_columns.items()]
         )
     )
-    return split_left_join(
-        legs,
-        [(queue, "_queue_leg")],
-        leg_key,
-        spread_by=[key],
-        left_pred=F.col(kind) == agent_kind,
-        hot=hot_keys(queue, "_queue_leg"),
+    return exact_left_join(
+        legs, queue, leg_key, "_queue_leg", [key], left_pred=F.col(kind) == agent_kind
     )
 
 
@@ -155,13 +147,11 @@ def join_any_key(
     """Join on `key IN (right_keys)`, planned as an equi-join.
 
     A right row is repeated once per distinct key, so a left row meets it at most once, as
-    under the IN condition. `left_pred` belongs to the ON clause. `key` should be an id
-    that is always there; see `split_left_join` for keys that are often NULL.
+    under the IN condition. `left_pred` belongs to the ON clause.
     """
     exploded = any_key_rows(right, right_keys)
-    hot = hot_keys(exploded, "_any_key") if how == "left" else NO_HOT_KEYS
-    if hot:
-        return split_left_join(left, [(exploded, "_any_key")], key, [key], left_pred, hot)
+    if how == "left":
+        return exact_left_join(left, exploded, key, "_any_key", [key], left_pred)
     condition = left[key] == exploded["_any_key"]
     if left_pred is not None:
         condition = condition & left_pred
@@ -172,9 +162,7 @@ def join_on_expr(
     left: DataFrame, right: DataFrame, expr: Column, right_key: str, spread_by: Sequence[str]
 ) -> DataFrame:
     """Left join on a computed key of the left side; the right key column is dropped."""
-    return split_left_join(
-        left, [(right, right_key)], expr, spread_by, hot=hot_keys(right, right_key)
-    )
+    return exact_left_join(left, right, expr, right_key, spread_by)
 
 
 def join_roster(

@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ringroster.functions import ColumnLike, as_column
 from ringroster.operators.ordering import sort_for_landing
@@ -19,13 +20,12 @@ def concat_history(history: DataFrame, new: DataFrame) -> DataFrame:
     return history.unionByName(new, allowMissingColumns=True)
 
 
-def content_hash(df: DataFrame) -> Column:
-    """Hash of a whole row: the last tie-break, so equal inputs give equal results."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-
-
-def _ties(df: DataFrame, tiebreak: Sequence[ColumnLike]) -> list[Column]:
-    return [as_column(t) for t in tiebreak] or [content_hash(df)]
+def total_order(df: DataFrame, first: Sequence[ColumnLike] = ()) -> list[Column]:
+    """The given columns, then every column that can be ordered, so that only rows equal in
+    all of these tie, whatever the order of the input."""
+    kinds = (T.MapType, T.VariantType)
+    rest = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, kinds)]
+    return [*[as_column(c) for c in first], *rest]
 
 
 def _merge_all(
@@ -39,7 +39,7 @@ def _merge_all(
     both = concat_history(
         history.withColumn("_source", F.lit(0)), new.withColumn("_source", F.lit(1))
     )
-    order = [F.col("_source"), *_ties(both.drop("_source"), tiebreak)]
+    order = [F.col("_source"), *total_order(both.drop("_source"), tiebreak)]
     if newest_wins:
         order = [o.desc_nulls_last() for o in order]
     return first_per_key(both, keys, order).drop("_source")
@@ -62,7 +62,7 @@ def _merge_unique(
     """Rank the new rows only and leave out what the other source decides.
 
     To append, history gives its keys to a join and is itself not shuffled."""
-    order = _ties(new, tiebreak)
+    order = total_order(new, tiebreak)
     if newest_wins:
         order = [o.desc_nulls_last() for o in order]
     new = first_per_key(new, keys, order)
@@ -80,7 +80,7 @@ def merge_keep_first(
 ) -> DataFrame:
     """Append only keys not seen before: history wins over new rows.
 
-    Within one source the row least by `tiebreak` stays. NULL keys equal each other.
+    Within one source the row least by `tiebreak`, then by all columns, stays. NULL keys equal each other.
     `unique_history` says that history has no key twice, which saves shuffling it.
     """
     merge = _merge_unique if unique_history else _merge_all
@@ -108,5 +108,5 @@ def first_load(
 ) -> DataFrame:
     """First landing: all rows as they come, duplicates too unless `dedup`."""
     if dedup:
-        df = first_per_key(df, keys, [content_hash(df)])
+        df = first_per_key(df, keys, total_order(df))
     return sort_for_landing(df, sort) if sort else df

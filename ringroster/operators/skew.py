@@ -1,72 +1,58 @@
-"""Hot keys of large join sides.
+"""Left joins of large tables.
 
-At run time Spark splits a hot key on either side of an inner join, and on the left side
-of a left join. It cannot split one on the right side of a left join, so such keys are
-found here and their rows dealt out over salts.
+At run time Spark splits a hot key on either side of an inner join, and on the left side of
+a left join. It cannot split one on the right side of a left join, so such a join is taken
+apart into the inner join and the left rows without a partner.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringroster.functions import ColumnLike, as_column
 
-LARGE_BYTES = 8 << 30
-HOT_SHARE = 0.01
-ROWS_PER_PART = 1_000_000
 
-
-@dataclass(frozen=True)
-class HotKeys:
-    """Keys to split, and into how many parts; falsy when there are none."""
-
-    keys: tuple = ()
-    parts: int = 1
-
-    def __bool__(self) -> bool:
-        return bool(self.keys)
-
-
-NO_HOT_KEYS = HotKeys()
+def _spread(key: Column, spread_by: Sequence[str]) -> Column:
+    """Second key part: 0 for a key, a hash for none, so rows without one do not meet."""
+    spread = F.hash(*spread_by) if spread_by else F.lit(0)
+    return F.when(key.isNull(), spread).otherwise(0)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a DataFrame; it runs no job."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+def _zero(right_key: str) -> Column:
+    # pmod(.., 1) is 0 but no constant, so the optimizer keeps it as a join key
+    return F.pmod(F.hash(right_key), F.lit(1))
 
 
-def hot_keys(
-    df: DataFrame,
-    key: str,
-    large: int = LARGE_BYTES,
-    share: float = HOT_SHARE,
-    rows_per_part: int = ROWS_PER_PART,
-) -> HotKeys:
-    """Keys that each hold at least `share` of the keyed rows: so at most 1 / share keys.
+def exact_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: ColumnLike,
+    right_key: str,
+    spread_by: Sequence[str] = (),
+    left_pred: Column | None = None,
+) -> DataFrame:
+    """Left outer join whose right side may have hot keys; the right key is dropped.
 
-    A table estimated below `large` bytes is not looked at, as no key of it can overload a
-    task; one of unknown size is. Otherwise the key column is scanned twice, for candidates
-    and to count them. The largest key sets the number of parts, about `rows_per_part`
-    each. The answer only decides how a join is split, never what it returns.
+    The inner join can be split on both sides, and so can the join that keeps the left rows
+    whose key is not among the distinct right keys. Which rows come out does not depend on
+    any size or on a look at the keys beforehand. A left row whose key is NULL, or for which
+    `left_pred` fails, is kept without a partner. Both sides must be repeatable, so a live
+    source should be landed first.
     """
-    if estimated_bytes(df) < large:
-        return NO_HOT_KEYS
-    keys = df.select(key).dropna()
-    candidates = keys.stat.freqItems([key], share).first()[0]
-    if not candidates:
-        return NO_HOT_KEYS
-    named = F.when(F.col(key).isin(candidates), F.col(key)).alias("k")
-    counts = keys.groupBy(named).count().collect()  # one row per candidate, one for the rest
-    total = sum(r["count"] for r in counts)
-    hot = {r.k: r["count"] for r in counts if r.k is not None and r["count"] >= share * total}
-    if not hot:
-        return NO_HOT_KEYS
-    return HotKeys(tuple(sorted(hot)), max(2, -(-max(hot.values()) // rows_per_part)))
+    key = as_column(key)
+    if left_pred is not None:
+        key = F.when(left_pred, key)
+    keyed = left.withColumn("_key", key)
+    met = keyed.where(F.col("_key").isNotNull()).join(right, F.col("_key") == F.col(right_key))
+    keys = right.select(F.col(right_key).alias("_other")).dropna().distinct()
+    lonely = keyed.withColumn("_part", _spread(F.col("_key"), spread_by)).join(
+        keys, (F.col("_key") == F.col("_other")) & (F.col("_part") == _zero("_other")), "left_anti"
+    )
+    both = met.unionByName(lonely.drop("_part"), allowMissingColumns=True)
+    return both.drop("_key", right_key)
 
 
 def split_left_join(
@@ -74,45 +60,16 @@ def split_left_join(
     rights: Sequence[tuple[DataFrame, str]],
     key: ColumnLike,
     spread_by: Sequence[str] = (),
-    left_pred: Column | None = None,
-    hot: HotKeys = NO_HOT_KEYS,
 ) -> DataFrame:
-    """Left outer join on a key and a part of that key.
+    """Left outer joins of tables with unique keys on one key, sharing one shuffle.
 
-    A left row that can match nothing (its key is NULL or it fails `left_pred`) gets a
-    part from a hash of `spread_by`, so such rows do not meet in one task. A right row with
-    a hot key gets one of several parts, and left rows with such a key are repeated once
-    per part; the repeats that meet no row are dropped, which is exact because every hot
-    key occurs on the right. Hot keys need a single right table. `left_pred` acts as in an
-    ON clause. Right key columns are dropped.
+    Left rows without a key get a second key part from a hash of `spread_by`, so they do not
+    meet in one task. Right key columns are dropped.
     """
-    if hot and len(rights) > 1:
-        raise ValueError("hot keys can be split for one table at a time")
     key = as_column(key)
-    if left_pred is not None:
-        key = F.when(left_pred, key)
-    spread = F.hash(*spread_by) if spread_by else F.lit(0)
-    part = F.when(key.isNull(), spread).otherwise(0)
-    joined = left.withColumns({"_key": key, "_part": part})
-    if hot:
-        is_hot = F.coalesce(F.col("_key").isin(list(hot.keys)), F.lit(False))
-        parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(hot.parts - 1))).otherwise(
-            F.array("_part")
-        )
-        joined = joined.withColumn("_hot", is_hot).withColumn("_part", F.explode(parts))
+    joined = left.withColumn("_key", key).withColumn("_part", _spread(F.col("_key"), spread_by))
     for right, right_key in rights:
-        # pmod(.., 1) is 0 but no constant, so the optimizer keeps it as a join key
-        right_part = F.pmod(F.hash(right_key), F.lit(1))
-        if hot:
-            right = right.where(F.col(right_key).isNotNull())
-            # copies of one row share a hash, but not the partition they are read in
-            content = F.pmod(F.xxhash64(*right.columns), F.lit(hot.parts))
-            salt = F.pmod(content + F.spark_partition_id(), F.lit(hot.parts)).cast("int")
-            right_part = F.when(F.col(right_key).isin(list(hot.keys)), salt).otherwise(right_part)
-        right = right.withColumn("_right_part", right_part)
+        right = right.withColumn("_right_part", _zero(right_key))
         on = (F.col("_key") == F.col(right_key)) & (F.col("_part") == F.col("_right_part"))
-        joined = joined.join(right, on, "left")
-        if hot:
-            joined = joined.where(~F.col("_hot") | F.col(right_key).isNotNull()).drop("_hot")
-        joined = joined.drop("_right_part", right_key)
+        joined = joined.join(right, on, "left").drop("_right_part", right_key)
     return joined.drop("_key", "_part")

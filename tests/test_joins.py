@@ -1,12 +1,10 @@
-"""Joins against brute force, with the splitting of hot keys off and on."""
+"""Joins against brute force."""
 
 import random
 
-import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from ringroster.operators import skew
 from ringroster.operators.joins import (
     fan_out,
     join_any_key,
@@ -17,15 +15,7 @@ from ringroster.operators.joins import (
     semi_by_keys,
     with_person_name,
 )
-from ringroster.operators.skew import HotKeys, hot_keys, split_left_join
-
-
-@pytest.fixture(params=["plain", "split"])
-def splitting(request, monkeypatch):
-    """Hot keys are looked for in every table, or in none."""
-    large = 0 if request.param == "split" else 1 << 80
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (large, 0.05, 7))
-    return request.param
+from ringroster.operators.skew import exact_left_join, split_left_join
 
 
 def skewed(rng, n, keys):
@@ -38,17 +28,7 @@ def left(spark, rng, n=60):
     return data, spark.createDataFrame(data, "id bigint, fk bigint, kind int")
 
 
-def test_hot_keys_are_those_with_a_large_share(spark):
-    df = spark.range(1000).select(
-        F.when(F.col("id") < 400, 7).when(F.col("id") < 450, None).otherwise(F.col("id")).alias("k")
-    )
-    assert not hot_keys(df, "k", large=1 << 80)
-    assert hot_keys(df, "k", large=0) == HotKeys((7,), 2)
-    assert hot_keys(df, "k", large=0, rows_per_part=100) == HotKeys((7,), 4)
-    assert not hot_keys(df.where("false"), "k", large=0)
-
-
-def test_any_key_join(spark, splitting):
+def test_any_key_join(spark):
     rng = random.Random(1)
     left_rows, df = left(spark, rng)
     a, b = skewed(rng, 150, 60), skewed(rng, 150, 60)
@@ -71,14 +51,12 @@ def test_any_key_join_is_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_left_join_keeps_rows_without_key(spark, splitting):
+def test_left_join_keeps_rows_without_key(spark):
     rng = random.Random(2)
     left_rows, df = left(spark, rng)
     right_rows = [(k, i) for i, k in enumerate(skewed(rng, 200, 25))]
     right = spark.createDataFrame(right_rows, "rk bigint, v bigint")
-    hot = hot_keys(right, "rk")
-    assert bool(hot) == (splitting == "split")
-    got = split_left_join(df, [(right, "rk")], "fk", ["id"], F.col("kind") > 0, hot)
+    got = exact_left_join(df, right, "fk", "rk", ["id"], F.col("kind") > 0)
     want = []
     for row in left_rows:
         hits = [r[1] for r in right_rows if r[0] is not None and r[0] == row[1] and row[2] > 0]
@@ -94,18 +72,26 @@ def test_left_join_to_two_tables_shares_the_key(spark):
     assert rows(got) == sorted(
         [(1, 5, "a", None), (1, 5, "b", None), (2, None, None, None), (3, 6, None, "c")], key=repr
     )
-    with pytest.raises(ValueError):
-        split_left_join(df, [(a, "ak"), (b, "bk")], "fk", ["id"], hot=HotKeys((5,), 2))
 
 
-def test_copies_of_one_row_are_split_too(spark):
+def test_copies_of_one_row_stay(spark):
     base = spark.createDataFrame([(1,), (2,)], "id bigint")
     copies = spark.range(0, 900, 1, 9).select(F.lit(1).cast("bigint").alias("k"), F.lit("x").alias("v"))
-    got = split_left_join(base, [(copies, "k")], "id", ["id"], hot=HotKeys((1,), 8))
+    got = exact_left_join(base, copies, "id", "k", ["id"])
     assert rows(got.groupBy("id", "v").count()) == [(1, "x", 900), (2, None, 1)]
 
 
-def test_fan_out(spark, splitting):
+def test_left_row_stays_without_a_partner(spark):
+    """Nothing about the right side is looked up before the join runs."""
+    base = spark.createDataFrame([(1,), (2,), (None,)], "id bigint")
+    right = spark.createDataFrame([(2, 7), (2, 8), (None, 9)], "k bigint, v bigint")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    got = exact_left_join(base, right, "id", "k", ["id"])
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert rows(got) == sorted([(1, None), (2, 7), (2, 8), (None, None)], key=repr)
+
+
+def test_fan_out(spark):
     rng = random.Random(3)
     left_rows, base = left(spark, rng, 30)
     detail = [(i, k) for i, k in enumerate(skewed(rng, 200, 40))]
@@ -118,7 +104,7 @@ def test_fan_out(spark, splitting):
     assert rows(got) == sorted(want, key=repr)
 
 
-def test_queue_leg(spark, splitting):
+def test_queue_leg(spark):
     rng = random.Random(4)
     kinds = ["fila", "atendimento fila", "ramal"]
     legs = [
@@ -161,7 +147,7 @@ def test_parent_predicate_never_drops_children(spark):
     assert rows(got.select("id", "pid")) == [(1, None), (2, 1), (3, 2), (4, None), (5, None)]
 
 
-def test_computed_key(spark, splitting):
+def test_computed_key(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id bigint, k string")
     right = spark.createDataFrame([("A", 1), ("A", 2), (None, 3)], "rk string, v int")
     got = join_on_expr(df, right, F.upper("k"), "rk", ["id"])

@@ -269,3 +269,16 @@ def test_history_with_nanosecond_stamps(spark, tmp_path):
     assert rows(got.select(F.date_format("t", "yyyy-MM-dd HH:mm:ss.SSSSSS"))) == sorted(
         [("2024-01-01 00:00:01.123456",), (None,), ("1969-12-31 23:59:59.999999",)], key=repr
     )
+
+
+def test_ties_do_not_depend_on_the_order_of_the_input(spark):
+    data = [(1, "t", None, "a"), (1, "t", "a", None), (1, "t", "b", "b"), (2, "t", None, None)]
+    schema = "k int, declared string, x string, y string"
+    history = spark.createDataFrame([], schema)
+    for merge in (merge_keep_first, merge_keep_last):
+        for unique in (False, True):
+            results = [
+                rows(merge(history, spark.createDataFrame(d, schema).coalesce(1), ["k"], ["declared"], unique))
+                for d in (data, data[::-1])
+            ]
+            assert results[0] == results[1]

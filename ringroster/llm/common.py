@@ -81,12 +81,14 @@ def repeat_rows(docs: DataFrame, plan: DataFrame) -> DataFrame:
     copies cannot be shared evenly.
     """
     plan = plan.where("_copies > 0").select(F.col("_tag").alias("_key"), "_copies", "_times")
-    met = docs.withColumn("_tag", row_tag(docs)).join(plan, F.col("_tag") == F.col("_key"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # names cannot clash inside
+    rows = docs.select(whole.alias("_row"), row_tag(docs).alias("_tag"))
+    met = rows.join(plan, F.col("_tag") == F.col("_key"))
     even = F.col("_copies") % F.col("_times") == 0
     each = met.where(even).withColumn("_copies", (F.col("_copies") / F.col("_times")).cast("long"))
     both = each.unionByName(met.where(~even).dropDuplicates(["_tag"]))
     often = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return both.withColumn("_time", often).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return both.withColumn("_time", often).select("_row.*")
 
 
 def _byte_values(lower: bool) -> np.ndarray:

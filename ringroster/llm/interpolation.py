@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ringroster.llm.common import compact, texts_of, word_hashes
 
 CLASSES = 64
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 3 << 19
 BUCKETS = 16  # of context frequency, by powers of eight
 TURNS = 60
 SCALE = 32  # steps of a power of e in the table of held-out counts
@@ -43,7 +43,7 @@ CHUNKS = (
 def histories(tails: np.ndarray) -> np.ndarray:
     """Class, from 1, of the history that ends in each word: short words are told apart by
     the whole word, others by their last two bytes."""
-    return 1 + (tails % np.uint64(CLASSES - 1)).astype(np.int64)
+    return 1 + (tails % np.uint64(CLASSES - 1)).astype(np.int16)
 
 
 def remainder(docs: DataFrame, divisor: int) -> Column:
@@ -51,6 +51,15 @@ def remainder(docs: DataFrame, divisor: int) -> Column:
     return crc % divisor
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte: all lowest bytes, then the next; high bytes are mostly zero."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def chunked(docs: DataFrame) -> DataFrame:
     """Chunks of documents; a text longer than a chunk is a chunk of its own.
 
@@ -75,13 +84,18 @@ def chunked(docs: DataFrame) -> DataFrame:
             new[1:] = (ws[1:] != ws[:-1]) | (cs[1:] != cs[:-1])
             place = np.empty(len(ws), np.int32)
             place[order] = np.cumsum(new) - 1
-            kind = np.repeat(np.where(outs, 2, np.where(gone, 1, 0)), lengths)
+            kind = np.repeat(np.where(outs, 2, np.where(gone, 1, 0)).astype(np.int8), lengths)
             n = int(new.sum())
+            # frequent pairs first, so that most places are small and compress well
+            often = np.argsort(-np.bincount(place, minlength=n), kind="stable")
+            rank = np.empty(n, np.int32)
+            rank[often] = np.arange(n, dtype=np.int32)
+            place = rank[place]
             counts = [np.bincount(place[kind == k], minlength=n).astype("<i4") for k in (0, 1)]
             values = [
                 task.partitionId() << 16 | number, list(ids), list(outs), list(lengths),
-                ws[new].astype("<u8").tobytes(), cs[new].astype("<i2").tobytes(),
-                counts[0].tobytes(), counts[1].tobytes(), place.astype("<i4").tobytes(),
+                ws[new][often].astype("<u8").tobytes(), cs[new][often].astype("<i2").tobytes(),
+                counts[0].tobytes(), counts[1].tobytes(), planes(place),
             ]
             kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), *[pa.binary()] * 5]
             names = ["chunk", "doc_ids", "outs", "lengths", "words", "classes", "kept", "deleted", "places"]
@@ -92,7 +106,7 @@ def chunked(docs: DataFrame) -> DataFrame:
             for doc_id, out, gone, text in rows:
                 own, tails = word_hashes(text, tails=True)
                 words.append(np.append(own, np.uint64(END)))
-                classes.append(np.concatenate(([START], histories(tails))))
+                classes.append(np.concatenate((np.array([START], np.int16), histories(tails))))
                 docs_of.append((doc_id, out, gone, len(own) + 1))
                 size += len(own) + 1
                 if size >= CHUNK_TOKENS:
@@ -211,7 +225,7 @@ def scored(docs: DataFrame) -> DataFrame:
         c1, c2 = counts["c1"].to_numpy(np.float64), counts["c2"].to_numpy(np.float64)
         kind = np.frombuffer(row["classes"], "<i2").astype(int)
         lengths = np.asarray(row["lengths"])
-        place = np.frombuffer(row["places"], "<i4")
+        place = from_planes(row["places"])
         p = mix[kind, 0] * c2 / np.maximum(all_seen[kind], 1) + mix[kind, 1] * c1 / max(n_all, 1) + mix[kind, 2] / (v + 1)
         ends = np.cumsum(lengths)
         starts = ends - lengths

@@ -17,7 +17,7 @@ near copies costs rows in proportion to its size.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +41,9 @@ BINS = 1 << 14  # of the table of estimated frequencies
 REACH = 4  # longest multi-match considered
 VERIFY = 8.0  # cost of verifying a pair, in postings
 SALT_ROWS = 4096  # postings of one shingle per group
-NODES = "doc_id long, text_hash long, tag long, node long, n int, bin int"
+NODES = "doc_id long, text_hash long, tag long, node long, n int, bin int, bits binary"
 POSTINGS = "token long, node long, meta long"
-SETS = "node long, items binary, bits binary"
+SETS = "node long, items binary"
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -90,22 +90,24 @@ def prefix(items: np.ndarray, extra: np.ndarray, percent: int) -> tuple[np.ndarr
 def _nodes(words: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = np.zeros(BINS, np.int64)
+        names = ["doc_id", "text_hash", "tag", "node", "n", "bin", "bits"]
         for batch in batches:
-            nodes, sizes = [], []
+            nodes, sizes, bits = [], [], []
             for text in texts_of(batch.column(3)):
                 items = shingles(text, words)
                 sizes.append(len(items))
                 nodes.append(node_of(items) if len(items) else None)
+                bits.append(signature(items) if len(items) else None)
                 bins += np.bincount(_bin(items), minlength=BINS) if len(items) > BINS else 0
                 if len(items) <= BINS:
                     np.add.at(bins, _bin(items), 1)
             none = pa.nulls(len(nodes), pa.int32())
-            columns = [*batch.columns[:3], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), none]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "tag", "node", "n", "bin"])
+            columns = [*batch.columns[:3], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), none, pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names)
         used = np.flatnonzero(bins)
         none = pa.nulls(len(used), pa.int64())
         columns = [none, none, none, pa.array(bins[used]), pa.nulls(len(used), pa.int32()), pa.array(used, pa.int32())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "tag", "node", "n", "bin"])
+        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(used), pa.binary())], names)
 
     return scan
 
@@ -166,8 +168,7 @@ def may_be_similar(a: np.ndarray, b: np.ndarray, sizes: int, percent: int) -> bo
 
 def _set_rows(nodes: list[int], held: list[np.ndarray]) -> pa.RecordBatch:
     items = pa.array([x.astype("<u8").tobytes() for x in held], pa.binary())
-    bits = pa.array([signature(x) for x in held], pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), items, bits], ["node", "items", "bits"])
+    return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), items], ["node", "items"])
 
 
 def _sets(words: int):
@@ -217,11 +218,15 @@ def _filtered(pairs: DataFrame, sets: DataFrame, column: str, columns: str, keep
     return met.mapInArrow(check, "u long, v long, sizes long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(
+    pairs: DataFrame, signatures: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int
+) -> DataFrame:
     """Pairs (u, v) whose sets are similar enough: first by their signatures, which are a
-    small part of the sets and never reject a similar pair, then by the whole sets."""
-    near = _filtered(pairs, sets, "bits", "u1", lambda a, b, n: may_be_similar(a, b, n, percent))
+    small part of the sets and never reject a similar pair, then by the whole sets, which are
+    built only for the nodes of the pairs that are left."""
+    near = _filtered(pairs, signatures, "bits", "u1", lambda a, b, n: may_be_similar(a, b, n, percent))
     near = spooled(near)
+    sets = sets_of(near.select(F.col("u").alias("node")).union(near.select("v")).distinct())
     return _filtered(near, sets, "items", "<u8", lambda a, b, n: similar(a, b, percent)).select("u", "v")
 
 
@@ -292,22 +297,28 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     extra = np.maximum(0.0, counts - usual - 5 * np.sqrt(usual + 1))
 
     postings = docs.select("text").mapInArrow(_postings(words, percent, extra), POSTINGS)
-    together = Window.partitionBy("token", F.shiftright("meta", 4).bitwiseAND(0xFFFFF))
-    shared = postings.withColumns({"hub": F.min(F.struct("node", "meta")).over(together), "_most": F.max("node").over(together)})
+    salted = postings.withColumn("_salt", F.shiftright("meta", 4).bitwiseAND(0xFFFFF))
+    together = Window.partitionBy("token", "_salt")
+    shared = salted.withColumns({"hub": F.min(F.struct("node", "meta")).over(together), "_most": F.max("node").over(together)})
     shared = shared.where((F.col("hub.node") != F.col("_most")) | (F.col("meta").bitwiseAND(8) != 0))
-    shared = spooled(shared.drop("_most").dropDuplicates(["token", "node"]))
+    # token and node fix the salt; with it the rows need not be shuffled again
+    shared = spooled(shared.dropDuplicates(["token", "_salt", "node"]).drop("_most", "_salt"))
 
-    wanted = shared.select("node").distinct()
+    signatures = spooled(members.where("node is not null").select("node", "bits").dropDuplicates(["node"]))
     id_key = F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))
-    source = members.join(wanted, "node").groupBy("node").agg(F.min(F.struct("text_hash", id_key.alias("id"))).alias("s"))
-    source = source.select("s.text_hash", F.col("s.id").alias("_id")).distinct()
     texts = docs.select("text", F.xxhash64("text").alias("text_hash"), id_key.alias("_id"))
-    found = texts.join(source, ["text_hash", "_id"], "left_semi").select("text")
-    sets = spooled(found.mapInArrow(_sets(words), SETS))
 
-    first = spooled(_verified(_stars(shared, percent), sets, percent))
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """The sets of some nodes, each from one of its texts. The list of these texts is
+        written first, so Spark knows its size when it chooses how to join."""
+        source = members.join(nodes, "node").groupBy("node").agg(F.min(F.struct("text_hash", id_key.alias("id"))).alias("s"))
+        source = spooled(source.select("s.text_hash", F.col("s.id").alias("_id")).distinct())
+        found = texts.join(source, ["text_hash", "_id"], "left_semi").select("text")
+        return spooled(found.mapInArrow(_sets(words), SETS).dropDuplicates(["node"]))
+
+    first = spooled(_verified(_stars(shared, percent), signatures, sets_of, percent))
     pairs = _across(shared, components(first), percent)
-    second = spooled(_verified(pairs, sets, percent))
+    second = spooled(_verified(pairs, signatures, sets_of, percent))
     roots = components(first.unionByName(second))
 
     nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("d"))

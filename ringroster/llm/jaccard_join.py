@@ -7,12 +7,17 @@ candidates falls, and two documents become a candidate pair only when they share
 prefix shingles as the shorter-reaching of the two asks for. Candidates are verified on
 their whole sets.
 
+A shared shingle counts only where both documents have it early enough: two sets of known
+sizes that are similar enough have their first k shared shingles within prefixes that are,
+for sets of one size, about half as long as those that partners of any size ask for.
+
 Only connected groups are asked for, so pairs within a group need not all be met. Equal
 sets count once. Each document is first verified against one other, the least document of
-the prefix shingles they share; what links joins into groups. After that all candidate
-pairs that still lie in different groups are met: of a shingle's documents, those outside
-its largest group meet the rest. No link between two groups is lost, and a large group of
-near copies costs rows in proportion to its size.
+the prefix shingles they share; what links joins into groups. Then, in a few rounds, the
+documents of a shingle are verified against some drawn from them. After that all candidate pairs that still lie in different groups are met: of a shingle's
+documents, those outside its largest group meet the rest. No link between two groups is
+lost. A large group of near copies costs rows in proportion to its size, and copies too
+far from each other to be linked are told apart by small sketches within the join.
 """
 
 from __future__ import annotations
@@ -41,7 +46,11 @@ BINS = 1 << 14  # of the table of estimated frequencies
 REACH = 4  # longest multi-match considered
 VERIFY = 8.0  # cost of verifying a pair, in postings
 SALT_ROWS = 4096  # postings of one shingle per group
-NODES = "doc_id long, text_hash long, tag long, node long, n int, bin int, bits binary"
+ROUNDS = 2  # in which documents meet some others of a shingle; the rest is met in any case
+DRAWN = 4  # documents of each shingle in a round
+SKETCH = 4  # 64-bit words of parities
+SKETCHES = [f"s{i}" for i in range(SKETCH)]
+NODES = "doc_id long, text_hash long, tag long, node long, n int, bin int, bits binary, " + ", ".join(f"{s} long" for s in SKETCHES)
 POSTINGS = "token long, node long, meta long"
 SETS = "node long, items binary"
 
@@ -90,31 +99,34 @@ def prefix(items: np.ndarray, extra: np.ndarray, percent: int) -> tuple[np.ndarr
 def _nodes(words: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = np.zeros(BINS, np.int64)
-        names = ["doc_id", "text_hash", "tag", "node", "n", "bin", "bits"]
+        names = ["doc_id", "text_hash", "tag", "node", "n", "bin", "bits", *SKETCHES]
         for batch in batches:
-            nodes, sizes, bits = [], [], []
+            nodes, sizes, bits, sketches = [], [], [], []
             for text in texts_of(batch.column(3)):
                 items = shingles(text, words)
                 sizes.append(len(items))
                 nodes.append(node_of(items) if len(items) else None)
                 bits.append(signature(items) if len(items) else None)
+                sketches.append(sketch(items))
                 bins += np.bincount(_bin(items), minlength=BINS) if len(items) > BINS else 0
                 if len(items) <= BINS:
                     np.add.at(bins, _bin(items), 1)
             none = pa.nulls(len(nodes), pa.int32())
             columns = [*batch.columns[:3], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), none, pa.array(bits, pa.binary())]
+            columns += [pa.array(x) for x in np.array(sketches, np.int64).reshape(-1, SKETCH).T]
             yield pa.RecordBatch.from_arrays(columns, names)
         used = np.flatnonzero(bins)
         none = pa.nulls(len(used), pa.int64())
         columns = [none, none, none, pa.array(bins[used]), pa.nulls(len(used), pa.int32()), pa.array(used, pa.int32())]
-        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(used), pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(used), pa.binary()), *[none] * SKETCH], names)
 
     return scan
 
 
 def _postings(words: int, percent: int, extra: np.ndarray):
-    """Prefix shingles; meta holds the set's size, a salt for very common shingles, whether
-    there is one, and the reach."""
+    """Prefix shingles; meta holds the set's size, the shingle's place in the prefix (in
+    256ths, rounded down), a salt for very common shingles, whether there is one, and the
+    reach."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -129,7 +141,8 @@ def _postings(words: int, percent: int, extra: np.ndarray):
                 first, reach = prefix(items, extra, percent)
                 salts = (extra[_bin(first)] // SALT_ROWS).astype(np.int64) + 1
                 salt = (node & 0xFFFFF) % np.minimum(salts, 1 << 19)
-                meta = len(items) << 24 | salt << 4 | (salts > 1).astype(np.int64) << 3 | reach
+                place = np.arange(len(first)) * 256 // len(first)
+                meta = len(items) << 32 | place << 24 | salt << 4 | (salts > 1).astype(np.int64) << 3 | reach
                 rows = np.empty((3, len(first)), np.int64)
                 rows[0], rows[1], rows[2] = first.view(np.int64), node, meta
                 parts.append(rows)
@@ -156,6 +169,13 @@ def signature(items: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def sketch(items: np.ndarray) -> np.ndarray:
+    """Parity of the items in each of 64 * SKETCH bits, as a few integers."""
+    width = 64 * SKETCH
+    odd = np.bincount((items % np.uint64(width)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def may_be_similar(a: np.ndarray, b: np.ndarray, sizes: int, percent: int) -> bool:
     """False only if two sets, of `sizes` items together, cannot be similar enough."""
     while len(a) > len(b):
@@ -231,7 +251,17 @@ def _verified(
 
 
 def _size(meta: str) -> Column:
-    return F.shiftright(meta, 24)
+    return F.shiftright(meta, 32)
+
+
+def _reach(meta: str) -> Column:
+    return F.col(meta).bitwiseAND(7)
+
+
+def _place(meta: str, percent: int) -> Column:
+    """A shingle's place in its set's order, from 0; never more than the true one."""
+    length = _size(meta) - F.ceil(_size(meta) * percent / 100) + _reach(meta)
+    return F.shiftright(F.shiftright(meta, 24).bitwiseAND(255) * length + 255, 8)
 
 
 def _fits(a: str, b: str, percent: int) -> Column:
@@ -239,6 +269,24 @@ def _fits(a: str, b: str, percent: int) -> Column:
     return small * 100 >= large * percent
 
 
+def _counts(a: str, b: str, percent: int) -> Column:
+    """Whether a shared shingle may be one of the first k that a similar pair shares, k being
+    the lesser reach. With an overlap of at least `least`, a set has at most its size less
+    `least` shingles of its own, so no more of them come before."""
+    least = F.ceil((_size(a) + _size(b)) * percent / (100 + percent))
+    k = F.least(_reach(a), _reach(b))
+    early = [_place(x, percent) < _size(x) - least + k for x in (a, b)]
+    return _fits(a, b, percent) & early[0] & early[1]
+
+
+def _near(a: str, b: str, percent: int, own: str = "", other: str = "") -> Column:
+    """False only if two sets differ in more bits of their sketches, hence in more items,
+    than similar sets of these sizes can."""
+    sizes = _size(a) + _size(b)
+    bits = sum((F.bit_count(F.col(own + s).bitwiseXOR(F.col(other + s))) for s in SKETCHES), F.lit(0))
+    return bits <= sizes - 2 * F.ceil(sizes * percent / (100 + percent))
+
+
 def _stars(postings: DataFrame, percent: int) -> DataFrame:
     """For each node the one hub, fitting in size, that it shares most shingles with."""
     own = postings.where("node <> hub.node").select("node", "meta", F.col("hub.node").alias("h"), F.col("hub.meta").alias("hm"))
@@ -246,36 +294,71 @@ def _stars(postings: DataFrame, percent: int) -> DataFrame:
     among = Window.partitionBy("token")
     tops = salted.withColumn("top", F.min("hub").over(among)).where("hub.node <> top.node")
     tops = tops.select(F.col("hub.node").alias("node"), F.col("hub.meta").alias("meta"), F.col("top.node").alias("h"), F.col("top.meta").alias("hm"))
-    pairs = own.unionByName(tops).where(_fits("meta", "hm", percent))
+    pairs = own.where(_counts("meta", "hm", percent)).unionByName(tops.where(_fits("meta", "hm", percent)))
     sizes = _size("meta") + _size("hm")
     counted = pairs.groupBy("node", "h").agg(F.count("*").alias("c"), F.first(sizes).alias("sizes"))
     best = counted.groupBy("node").agg(F.max(F.struct("c", "h", "sizes")).alias("b"))
     return best.select(F.col("b.h").alias("u"), F.col("node").alias("v"), "b.sizes")
 
 
-def _across(postings: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different groups that share as many prefix shingles as asked."""
-    placed = postings.select("token", "node", "meta").join(groups, "node", "left")
-    placed = spooled(placed.withColumn("root", F.coalesce("root", "node")))
+def _opened(placed: DataFrame) -> DataFrame:
+    """Postings (token, node, meta, root) of shingles in two groups or more, with the largest
+    of them as `main`."""
     sizes = placed.groupBy("token", "root").agg(F.count("*").alias("c"))
     main = sizes.groupBy("token").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("k")).where("k > 1")
-    main = main.select("token", F.col("m.root").alias("main"))
-    open_ = placed.join(main, "token")
-    few = open_.where("root <> main").select("token", *[F.col(c).alias(f"a_{c}") for c in ("node", "meta", "root")])
-    met = few.join(open_, "token").where(
-        (F.col("a_root") != F.col("root"))
-        & ((F.col("root") == F.col("main")) | (F.col("a_node") < F.col("node")))
-        & _fits("a_meta", "meta", percent)
-    )
+    return placed.join(main.select("token", F.col("m.root").alias("main")), "token")
+
+
+def _regrouped(opened: DataFrame, groups: DataFrame) -> DataFrame:
+    """Open postings after further links."""
+    return spooled(_opened(_placed(opened.drop("root", "main"), groups)))
+
+
+def _placed(postings: DataFrame, groups: DataFrame) -> DataFrame:
+    return postings.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _candidates(met: DataFrame, a: str, am: str, b: str, bm: str) -> DataFrame:
+    """Pairs that share as many shingles as asked, from their shared shingles."""
     met = met.select(
-        F.least("a_node", "node").alias("u"), F.greatest("a_node", "node").alias("v"),
-        F.least(F.col("a_meta").bitwiseAND(7), F.col("meta").bitwiseAND(7)).alias("reach"),
-        (_size("a_meta") + _size("meta")).alias("sizes"),
+        F.least(a, b).alias("u"), F.greatest(a, b).alias("v"),
+        F.least(_reach(am), _reach(bm)).alias("reach"), (_size(am) + _size(bm)).alias("sizes"),
     )
     counted = met.groupBy("u", "v").agg(F.count("*").alias("c"), F.min("reach").alias("reach"), F.first("sizes").alias("sizes"))
     return counted.where("c >= reach").select("u", "v", "sizes")
 
 
+def _drawn(opened: DataFrame, percent: int, seed: int) -> DataFrame:
+    """Pairs of a shingle's documents with DRAWN of them, of other groups. These are few, so
+    they are verified without asking for further shared shingles."""
+    columns = ["node", "meta", "root", *SKETCHES]
+    picks = [
+        F.min(F.struct(F.xxhash64("node", "token", F.lit(seed * DRAWN + i)).alias("h"), *columns)).alias(f"p{i}")
+        for i in range(DRAWN)
+    ]
+    hubs = opened.groupBy("token").agg(*picks)
+    each = F.array_distinct(F.array(*[F.struct(*[f"p{i}.{c}" for c in columns]) for i in range(DRAWN)]))
+    hubs = hubs.select("token", F.explode(each).alias("_hub"))
+    hubs = hubs.select("token", *[F.col(f"_hub.{c}").alias(f"h_{c}") for c in columns])
+    met = opened.join(hubs, "token").where(
+        (F.col("root") != F.col("h_root")) & _counts("meta", "h_meta", percent) & _near("meta", "h_meta", percent, "", "h_")
+    )
+    sizes = (_size("meta") + _size("h_meta")).alias("sizes")
+    return met.select(F.least("node", "h_node").alias("u"), F.greatest("node", "h_node").alias("v"), sizes).distinct()
+
+
+def _across(opened: DataFrame, percent: int) -> DataFrame:
+    """All candidate pairs of different groups."""
+    few = opened.where("root <> main").select("token", *[F.col(c).alias(f"a_{c}") for c in ("node", "meta", "root", *SKETCHES)])
+    met = few.join(opened, "token").where(
+        (F.col("a_root") != F.col("root"))
+        & ((F.col("root") == F.col("main")) | (F.col("a_node") < F.col("node")))
+        & _counts("a_meta", "meta", percent)
+        & _near("a_meta", "meta", percent, "a_", "")
+    )
+    return _candidates(met, "a_node", "a_meta", "node", "meta")
+
+
 def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, root (null
     without words) and `_tag`.
@@ -316,10 +399,16 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
         found = texts.join(source, ["text_hash", "_id"], "left_semi").select("text")
         return spooled(found.mapInArrow(_sets(words), SETS).dropDuplicates(["node"]))
 
-    first = spooled(_verified(_stars(shared, percent), signatures, sets_of, percent))
-    pairs = _across(shared, components(first), percent)
-    second = spooled(_verified(pairs, signatures, sets_of, percent))
-    roots = components(first.unionByName(second))
+    links = spooled(_verified(_stars(shared, percent), signatures, sets_of, percent))
+    opened = _opened(spooled(_placed(shared.select("token", "node", "meta"), components(links))))
+    sketches = members.where("node is not null").select("node", *SKETCHES).dropDuplicates(["node"])
+    opened = spooled(opened.join(sketches, "node"))
+    for seed in range(ROUNDS):
+        found = spooled(_verified(_drawn(opened, percent, seed), signatures, sets_of, percent))
+        links = links.unionByName(found)
+        opened = _regrouped(opened, components(links))
+    rest = spooled(_verified(_across(opened, percent), signatures, sets_of, percent))
+    roots = components(links.unionByName(rest))
 
     nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("d"))
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

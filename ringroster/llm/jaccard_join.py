@@ -46,8 +46,8 @@ BINS = 1 << 14  # of the table of estimated frequencies
 REACH = 4  # longest multi-match considered
 VERIFY = 8.0  # cost of verifying a pair, in postings
 SALT_ROWS = 4096  # postings of one shingle per group
-ROUNDS = 2  # in which documents meet some others of a shingle; the rest is met in any case
-DRAWN = 4  # documents of each shingle in a round
+ROUNDS = 1  # in which documents meet some others of a shingle; the rest is met in any case
+DRAWN = 8  # documents of each shingle in a round
 SKETCH = 4  # 64-bit words of parities
 SKETCHES = [f"s{i}" for i in range(SKETCH)]
 NODES = "doc_id long, text_hash long, tag long, node long, n int, bin int, bits binary, " + ", ".join(f"{s} long" for s in SKETCHES)

@@ -165,6 +165,33 @@ def test_signatures_never_reject_similar_sets():
             assert jaccard_join.may_be_similar(x, y, len(a) + len(b), 80)
 
 
+def test_sketches_differ_no_more_than_sets():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        a, b = (np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 400)), dtype=np.uint64)) for _ in range(2))
+        b = np.union1d(b[: int(rng.integers(1, 40))], a[rng.random(len(a)) < 0.9])
+        x, y = jaccard_join.sketch(a), jaccard_join.sketch(b)
+        assert x.shape == (jaccard_join.SKETCH,)
+        assert int(np.bitwise_count((x ^ y).view("u8")).sum()) <= len(np.setxor1d(a, b))
+    assert not jaccard_join.sketch(np.empty(0, np.uint64)).any()
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85])
+def test_places_are_never_beyond_the_true_ones(spark, percent):
+    rows = []
+    for n in (1, 2, 7, 100, 140, 5000, 70_000):
+        t = jaccard_join.needed(n, percent)
+        for reach in range(1, min(jaccard_join.REACH, t) + 1):
+            length = n - t + reach
+            for place in {0, length // 3, length // 2, length - 1}:
+                rows.append((n << 32 | place * 256 // length << 24 | 5 << 4 | 8 | reach, place, length))
+    frame = spark.createDataFrame(rows, "meta long, place int, length int")
+    got = frame.select("place", "length", jaccard_join._place("meta", percent).alias("p")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert 0 <= r.p <= r.place and (r.p == r.place or r.length > 256)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = components.components(spark.createDataFrame(links, "u long, v long")).collect()

@@ -1,17 +1,17 @@
 """Language-model scores by deleted interpolation.
 
 Tokens are words, lower-cased A-Z, and one end per document. A token's probability mixes
-maximum-likelihood estimates of three orders: the token after the class of the token
-before, the token alone, and the uniform share of a vocabulary with one unseen word. The
-classes are fixed equivalence classes of histories (short words are told apart, longer ones
-by their last letters), so counts cover all documents without a table of all word pairs.
-The weights depend on how often the class was seen, and are learned by expectation
-maximisation on counts of documents that were kept out of the estimates.
-
-Text is read once, into chunks of a bounded number of tokens that hold their distinct
-(class, word) pairs and, for each token, which pair it is. Pairs are counted over all
-chunks by one shuffle on the word, in which each chunk has at most one row per pair, and
-the counts return to their chunks. A word has at most CLASSES rows of each chunk.
+maximum-likelihood estimates of three orders: the token after the token before it, the token
+alone, and the uniform share of a vocabulary with one unseen word. A text begins after an
+end. The weights depend on how often the token before was seen, and are learned by
+expectation maximisation on counts of documents that were kept out of the estimates.
+
+Text is read once, into chunks of a bounded number of tokens, kept as places in the chunk's
+list of words. The distinct pairs of neighbours and the distinct words of each chunk are
+counted over all chunks by one shuffle: their 64-bit hashes are cut into ranges, as many as
+the input needs, and a chunk sends each range one row of hashes with its own counts. The
+totals return to their chunks in the same order. As each chunk sends a pair once at most,
+no pair or word makes a range larger than others.
 """
 
 from __future__ import annotations
@@ -22,42 +22,36 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringroster.llm.common import compact, texts_of, word_hashes
+from ringroster.llm.common import compact, mixed, part_count, texts_of, word_hashes
 
-CLASSES = 64
 CHUNK_TOKENS = 3 << 19
-BUCKETS = 16  # of context frequency, by powers of eight
+RANGE_KEYS = 2_000_000  # hashes of all chunks in one range, about
+BUCKETS = 24  # of context frequency, by powers of four
 TURNS = 60
 SCALE = 32  # steps of a power of e in the table of held-out counts
-START = 0  # class of the history at the start of a text
 END = 0x656E64206F66  # hash that stands for the end
+PAIR, WORD = 0, 1
 CHUNKS = (
-    "chunk long, doc_ids array<long>, outs array<boolean>, lengths array<int>, "
-    "words binary, classes binary, kept binary, deleted binary, places binary"
+    "chunk long, doc_ids array<long>, outs array<boolean>, gone array<boolean>, lengths array<int>, "
+    "words binary, tokens binary"
 )
 
 
-def histories(tails: np.ndarray) -> np.ndarray:
-    """Class, from 1, of the history that ends in each word: short words are told apart by
-    the whole word, others by their last two bytes."""
-    return 1 + (tails % np.uint64(CLASSES - 1)).astype(np.int16)
-
-
 def remainder(docs: DataFrame, divisor: int) -> Column:
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     return crc % divisor
 
 
-def planes(numbers: np.ndarray) -> bytes:
+def planes(numbers: np.ndarray, width: int = 4) -> bytes:
     """Numbers byte by byte: all lowest bytes, then the next; high bytes are mostly zero."""
-    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return np.ascontiguousarray(numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
 
 
-def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def from_planes(data: bytes, width: int = 4) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel()
 
 
 def chunked(docs: DataFrame) -> DataFrame:
@@ -72,46 +66,33 @@ def chunked(docs: DataFrame) -> DataFrame:
         number = 0
         docs_of: list[tuple] = []
         words: list[np.ndarray] = []
-        classes: list[np.ndarray] = []
         size = 0
 
         def chunk() -> pa.RecordBatch:
-            w, c = np.concatenate(words), np.concatenate(classes)
             ids, outs, gone, lengths = zip(*docs_of, strict=True)
-            order = np.lexsort((c, w))
-            ws, cs = w[order], c[order]
-            new = np.ones(len(ws), bool)
-            new[1:] = (ws[1:] != ws[:-1]) | (cs[1:] != cs[:-1])
-            place = np.empty(len(ws), np.int32)
-            place[order] = np.cumsum(new) - 1
-            kind = np.repeat(np.where(outs, 2, np.where(gone, 1, 0)).astype(np.int8), lengths)
-            n = int(new.sum())
-            # frequent pairs first, so that most places are small and compress well
-            often = np.argsort(-np.bincount(place, minlength=n), kind="stable")
-            rank = np.empty(n, np.int32)
-            rank[often] = np.arange(n, dtype=np.int32)
-            place = rank[place]
-            counts = [np.bincount(place[kind == k], minlength=n).astype("<i4") for k in (0, 1)]
+            own, place, times = np.unique(np.concatenate(words), return_inverse=True, return_counts=True)
+            # frequent words first, so that most places are small and compress well
+            often = np.argsort(-times, kind="stable")
+            rank = np.empty(len(own), np.int64)
+            rank[often] = np.arange(len(own))
             values = [
-                task.partitionId() << 16 | number, list(ids), list(outs), list(lengths),
-                ws[new][often].astype("<u8").tobytes(), cs[new][often].astype("<i2").tobytes(),
-                counts[0].tobytes(), counts[1].tobytes(), planes(place),
+                task.partitionId() << 16 | number, list(ids), list(outs), list(gone), list(lengths),
+                own[often].astype("<u8").tobytes(), planes(rank[place]),
             ]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), *[pa.binary()] * 5]
-            names = ["chunk", "doc_ids", "outs", "lengths", "words", "classes", "kept", "deleted", "places"]
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.list_(pa.int32()), *[pa.binary()] * 2]
+            names = ["chunk", "doc_ids", "outs", "gone", "lengths", "words", "tokens"]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
         for batch in batches:
             rows = zip(*(batch.column(i).to_pylist() for i in range(3)), texts_of(batch.column(3)), strict=True)
             for doc_id, out, gone, text in rows:
-                own, tails = word_hashes(text, tails=True)
+                own = word_hashes(text)
                 words.append(np.append(own, np.uint64(END)))
-                classes.append(np.concatenate((np.array([START], np.int16), histories(tails))))
                 docs_of.append((doc_id, out, gone, len(own) + 1))
                 size += len(own) + 1
                 if size >= CHUNK_TOKENS:
                     yield chunk()
-                    docs_of, words, classes, size, number = [], [], [], 0, number + 1
+                    docs_of, words, size, number = [], [], 0, number + 1
         if docs_of:
             yield chunk()
 
@@ -122,36 +103,104 @@ def chunked(docs: DataFrame) -> DataFrame:
     return compact(keyed.mapInArrow(scan, CHUNKS))
 
 
-def pair_rows(chunks: DataFrame) -> DataFrame:
-    """at (chunk and place), word, class, kept and deleted count of every distinct pair of a
-    chunk; the last three packed, as these rows are shuffled."""
+class Chunk:
+    """Tokens of a chunk with its distinct words and pairs, both in the order of their keys.
+
+    The last token of a chunk is an end, and so is what stands before its first token."""
+
+    def __init__(self, words: bytes, tokens: bytes, outs: list, gone: list, lengths: list):
+        own = np.frombuffer(words, "<u8")
+        order = np.argsort(own)
+        rank = np.empty(len(own), np.int64)
+        rank[order] = np.arange(len(own))
+        self.words = own[order]
+        self.tokens = rank[from_planes(tokens)]
+        code = np.roll(self.tokens, 1) * len(own) + self.tokens
+        code, place = np.unique(code, return_inverse=True)
+        before, last = code // len(own), code % len(own)
+        keys = mixed(mixed(self.words[before]) + self.words[last])
+        order = np.argsort(keys)
+        rank = np.empty(len(keys), np.int64)
+        rank[order] = np.arange(len(keys))
+        self.pairs, self.before, self.last, self.places = keys[order], before[order], last[order], rank[place]
+        outs, gone = np.asarray(outs, bool), np.asarray(gone, bool)
+        self.kind = np.repeat(np.where(outs, 2, np.where(gone, 1, 0)).astype(np.int8), lengths)
+
+    def keys(self, kind: int) -> np.ndarray:
+        return self.words if kind == WORD else self.pairs
+
+    def counts(self, kind: int, of: int) -> np.ndarray:
+        """How often each word or pair is in documents that are kept (0) or deleted (1)."""
+        at = self.tokens if kind == WORD else self.places
+        return np.bincount(at[self.kind == of], minlength=len(self.keys(kind)))
+
+
+def sent(chunks: DataFrame, ranges: int) -> DataFrame:
+    """kind, range, chunk, keys (differences of rising hashes), kept and deleted counts."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, w, c, kept, gone in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                word, kind = np.frombuffer(w, "<i8"), np.frombuffer(c, "<i2").astype(np.int64)
-                a, b = np.frombuffer(kept, "<i4").astype(np.int64), np.frombuffer(gone, "<i4")
-                at = (chunk << 24) + np.arange(len(word))
-                packed = kind << 48 | a << 24 | b
-                for i in range(0, len(word), 100_000):
-                    part = slice(i, i + 100_000)
-                    columns = [pa.array(x[part]) for x in (at, word, packed)]
-                    yield pa.RecordBatch.from_arrays(columns, ["at", "word", "packed"])
-
-    narrow = chunks.select("chunk", "words", "classes", "kept", "deleted")
-    return narrow.mapInArrow(rows, "at long, word long, packed long")
+            for chunk, *values in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                own = Chunk(*values)
+                for kind in (PAIR, WORD):
+                    keys, kept, gone = own.keys(kind), own.counts(kind, 0), own.counts(kind, 1)
+                    part = ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+                    used, at = np.unique(part, return_index=True)
+                    cuts = [slice(a, b) for a, b in zip(at, [*at[1:], len(keys)], strict=True)]
+                    columns = [
+                        pa.array([kind] * len(used), pa.int32()), pa.array(used, pa.int64()), pa.array([chunk] * len(used), pa.int64()),
+                        pa.array([planes(np.diff(keys[x], prepend=np.uint64(0)), 8) for x in cuts], pa.binary()),
+                        pa.array([planes(kept[x]) for x in cuts], pa.binary()), pa.array([planes(gone[x]) for x in cuts], pa.binary()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["kind", "range", "chunk", "keys", "kept", "gone"])
+
+    narrow = chunks.select("chunk", "words", "tokens", "outs", "gone", "lengths")
+    return narrow.mapInArrow(rows, "kind int, range long, chunk long, keys binary, kept binary, gone binary")
+
+
+def added(rows: pd.DataFrame) -> pd.DataFrame:
+    """Totals over all chunks of the keys of one kind and range, for each chunk in its order;
+    the first row says how many keys are kept, and kept or deleted, anywhere."""
+    every = [np.cumsum(from_planes(x, 8), dtype=np.uint64) for x in rows["keys"]]
+    found, at = np.unique(np.concatenate(every), return_inverse=True)
+    kept, gone = (
+        np.bincount(at, np.concatenate([from_planes(x) for x in rows[c]]), len(found)).astype(np.int64) for c in ("kept", "gone")
+    )
+    ends = np.cumsum([len(x) for x in every])[:-1]
+    out = rows[["kind", "range", "chunk"]].copy()
+    for name, total in (("kept", kept), ("gone", gone)):
+        out[name] = [planes(x, 8) for x in np.split(total[at], ends)]
+    first = np.arange(len(rows)) == 0
+    out["n_kept"] = np.where(first, (kept > 0).sum(), 0)
+    out["n_seen"] = np.where(first, (kept + gone > 0).sum(), 0)
+    return out
+
+
+def returned(chunk: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
+    """A chunk with the totals of its words and pairs, and the vocabulary sizes it was told."""
+    out = chunk.iloc[:1].copy()
+    totals = totals.sort_values(["kind", "range"])
+    for kind, name in ((PAIR, "pair"), (WORD, "word")):
+        own = totals[totals["kind"] == kind]
+        for column in ("kept", "gone"):
+            numbers = [from_planes(x, 8) for x in own[column]]
+            out[f"{name}_{column}"] = [planes(np.concatenate(numbers), 8)]
+    own = totals[totals["kind"] == WORD]
+    out["n_kept"], out["n_seen"] = int(own["n_kept"].sum()), int(own["n_seen"].sum())
+    return out
 
 
 def bucket(seen: np.ndarray) -> np.ndarray:
     """Bucket of a context by how often it was seen; 0 for never."""
-    return np.minimum(np.ceil(np.log2(seen + 1.0) / 3), BUCKETS - 1).astype(int)
+    return np.minimum(np.ceil(np.log2(seen + 1.0) / 2), BUCKETS - 1).astype(int)
 
 
 def learned_weights(rows: pd.DataFrame) -> np.ndarray:
     """Weights of (pair, word, uniform) per bucket by expectation maximisation.
 
     Each row has a bucket, three probabilities and how often the held-out documents have
-    it. A bucket without held-out counts takes the weights of all together."""
+    it. A bucket without held-out counts takes the weights of all together; contexts never
+    seen have no pairs, so their weight of pairs goes to the others."""
     p = rows[["p2", "p1", "p0"]].to_numpy()
     n, b = rows["n"].to_numpy(np.float64), rows["bucket"].to_numpy(int)
 
@@ -167,7 +216,14 @@ def learned_weights(rows: pd.DataFrame) -> np.ndarray:
         return np.maximum(weights, 1e-6) / np.maximum(weights, 1e-6).sum()
 
     every = fit(np.ones(len(n), bool))
-    return np.stack([fit(b == i) if n[b == i].sum() else every for i in range(BUCKETS)])
+    found = np.stack([fit(b == i) if n[b == i].sum() else every for i in range(BUCKETS)])
+    found[0, 0] = 0
+    found[0] /= found[0].sum()
+    return found
+
+
+OPENED = ["words", "tokens", "outs", "gone", "lengths"]
+TOTALS = ["pair_kept", "pair_gone", "word_kept", "word_gone"]
 
 
 def scored(docs: DataFrame) -> DataFrame:
@@ -181,71 +237,69 @@ def scored(docs: DataFrame) -> DataFrame:
     ignored.
     """
     chunks = chunked(docs)
-    low = (1 << 24) - 1
-    pairs = pair_rows(chunks).withColumns(
-        {"class": F.shiftright("packed", 48).cast("int"), "kept": F.shiftright("packed", 24).bitwiseAND(low), "deleted": F.col("packed").bitwiseAND(low)}
-    ).drop("packed").repartition("word")
-    same = Window.partitionBy("word")
-    pair = Window.partitionBy("word", "class")
-    totals = pairs.withColumns(
-        {"wk": F.sum("kept").over(same), "wd": F.sum("deleted").over(same), "wa": F.min("at").over(same),
-         "pk": F.sum("kept").over(pair), "pd": F.sum("deleted").over(pair), "pa": F.min("at").over(pair)}
-    )
-    first, first_word = F.col("at") == F.col("pa"), F.col("at") == F.col("wa")
-    totals = compact(totals.select("at", "class", "wk", "wd", "pk", "pd", first.alias("first"), first_word.alias("first_word")))
-
-    seen = np.zeros((2, CLASSES), np.int64)
-    by_class = totals.where("first").groupBy("class").agg(F.sum("pk").alias("k"), F.sum("pd").alias("d"))
-    for r in by_class.collect():  # CLASSES rows at most
-        seen[0, r["class"]], seen[1, r["class"]] = r["k"], r["d"]
-    v, kept_words = totals.where("first_word and wk + wd > 0").agg(F.count("*"), F.count(F.when(F.col("wk") > 0, 1))).first()
-    n_kept, n_all = int(seen[0].sum()), int(seen.sum())
-
-    by_bucket = bucket(seen[0])
-    lookup = lambda values: F.element_at(F.array(*[F.lit(x) for x in values.tolist()]), F.col("class") + 1)
-    held = totals.where("first and pd > 0").select(
-        lookup(by_bucket).alias("bucket"), F.col("pd").alias("n"),
-        (F.col("pk") / F.greatest(lookup(seen[0]), F.lit(1))).alias("p2"),
-        (F.col("wk") / F.lit(max(n_kept, 1))).alias("p1"),
-    )
-    # held-out counts by rounded probabilities: a table bounded by its steps
-    step = lambda c: F.when(F.col(c) > 0, F.round(F.log(c) * SCALE)).otherwise(F.lit(-1e9)).cast("long")
-    table = held.groupBy("bucket", step("p2").alias("s2"), step("p1").alias("s1")).agg(
-        F.sum("n").alias("n"), F.avg("p2").alias("p2"), F.avg("p1").alias("p1")
+    each = F.transform(F.arrays_zip("outs", "gone", "lengths"), lambda x: F.when(x["outs"], 0).otherwise(x["lengths"]).cast("long"))
+    add = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, b: a + b)
+    kept_each = F.transform(F.arrays_zip("outs", "gone", "lengths"), lambda x: F.when(x["outs"] | x["gone"], 0).otherwise(x["lengths"]).cast("long"))
+    sizes = chunks.agg(
+        F.sum(add(F.transform("lengths", lambda x: x.cast("long")))), F.sum(add(each)), F.sum(add(kept_each))
+    ).first()
+    size, n_all, n_kept = (int(x or 0) for x in sizes)
+
+    ranges = max(2 * part_count(docs.sparkSession), size // RANGE_KEYS)
+    totals = sent(chunks, ranges).groupBy("kind", "range").applyInPandas(
+        added, "kind int, range long, chunk long, kept binary, gone binary, n_kept long, n_seen long"
+    )
+    schema = CHUNKS + ", pair_kept binary, pair_gone binary, word_kept binary, word_gone binary, n_kept long, n_seen long"
+    counted = compact(chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInPandas(returned, schema))
+    kept_words, v = (int(x or 0) for x in counted.agg(F.sum("n_kept"), F.sum("n_seen")).first())
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Held-out counts by rounded probabilities: a table bounded by its steps."""
+        step = lambda p: np.where(p > 0, np.rint(np.log(np.maximum(p, 1e-300)) * SCALE), -1e9).astype(np.int64)
+        for batch in batches:
+            for *opened, pair, word in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                own = Chunk(*opened)
+                n = own.counts(PAIR, 1)
+                some = np.flatnonzero(n)
+                pair, word = from_planes(pair, 8).astype(np.float64), from_planes(word, 8).astype(np.float64)
+                seen = word[own.before[some]]
+                p2, p1 = pair[some] / np.maximum(seen, 1), word[own.last[some]] / max(n_kept, 1)
+                keys = np.stack([bucket(seen), step(p2), step(p1)], 1)
+                keys, at = np.unique(keys, axis=0, return_inverse=True)
+                at = at.ravel()
+                sums = [np.bincount(at, w * n[some], len(keys)) for w in (np.ones(len(some)), p2, p1)]
+                columns = [*(pa.array(keys[:, i], pa.int64()) for i in range(3)), *(pa.array(x, pa.float64()) for x in sums)]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "s2", "s1", "n", "p2", "p1"])
+
+    steps = counted.select(*OPENED, "pair_kept", "word_kept").mapInArrow(
+        held, "bucket long, s2 long, s1 long, n double, p2 double, p1 double"
     )
-    rows = table.toPandas()
+    rows = steps.groupBy("bucket", "s2", "s1").agg(
+        F.sum("n").alias("n"), (F.sum("p2") / F.sum("n")).alias("p2"), (F.sum("p1") / F.sum("n")).alias("p1")
+    ).toPandas()
+    rows = rows.sort_values(["bucket", "s2", "s1"])
     rows["p0"] = 1.0 / (kept_words + 1)
     weights = learned_weights(rows)
-    all_seen = seen.sum(0)
-    mix = weights[bucket(all_seen)]
-
-    def score(chunk: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        row = chunk.iloc[0]
-        counts = counts.sort_values("at")
-        c1, c2 = counts["c1"].to_numpy(np.float64), counts["c2"].to_numpy(np.float64)
-        kind = np.frombuffer(row["classes"], "<i2").astype(int)
-        lengths = np.asarray(row["lengths"])
-        place = from_planes(row["places"])
-        p = mix[kind, 0] * c2 / np.maximum(all_seen[kind], 1) + mix[kind, 1] * c1 / max(n_all, 1) + mix[kind, 2] / (v + 1)
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-
-        def total(values: np.ndarray) -> np.ndarray:
-            return np.add.reduceat(values[place], starts)
-
-        return pd.DataFrame(
-            {
-                "doc_id": pd.array(row["doc_ids"], dtype="Int64") if len(starts) else [],
-                "held_out": np.asarray(row["outs"], bool),
-                "n_tokens": lengths.astype(np.int64),
-                "n_known": total((c1 > 0).astype(np.int64)),
-                "train_tokens": n_all,
-                "base_score": total(np.log10(c1 + 1)) - lengths * np.log10(n_all + v + 1.0),
-                "score": total(np.log10(p)),
-            }
-        )
-
-    back = totals.select("at", F.shiftright("at", 24).alias("chunk"), (F.col("wk") + F.col("wd")).alias("c1"), (F.col("pk") + F.col("pd")).alias("c2"))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, *opened, pair_kept, pair_gone, word_kept, word_gone in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                own = Chunk(*opened)
+                c2 = (from_planes(pair_kept, 8) + from_planes(pair_gone, 8)).astype(np.float64)
+                c1 = (from_planes(word_kept, 8) + from_planes(word_gone, 8)).astype(np.float64)
+                seen = c1[own.before]
+                mix = weights[bucket(seen)]
+                p = mix[:, 0] * c2 / np.maximum(seen, 1) + mix[:, 1] * c1[own.last] / max(n_all, 1) + mix[:, 2] / (v + 1)
+                outs, lengths = np.asarray(opened[2], bool), np.asarray(opened[4], np.int64)
+                starts = np.cumsum(lengths) - lengths
+                columns = [
+                    pa.array(ids, pa.int64()), pa.array(outs), pa.array(lengths),
+                    pa.array(np.add.reduceat((c1 > 0).astype(np.int64)[own.tokens], starts)),
+                    pa.array(np.full(len(ids), n_all, np.int64)),
+                    pa.array(np.add.reduceat(np.log10(c1 + 1)[own.tokens], starts) - lengths * np.log10(n_all + v + 1.0)),
+                    pa.array(np.add.reduceat(np.log10(p)[own.places], starts)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    placed = chunks.select("chunk", "doc_ids", "outs", "lengths", "classes", "places")
-    return placed.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(score, schema)
+    return counted.select("doc_ids", *OPENED, *TOTALS).mapInArrow(score, schema)

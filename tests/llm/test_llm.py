@@ -385,3 +385,26 @@ def test_pipeline(spark, docs, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == now.count()
     ends = now.where("start + length = doc_tokens").count()
     assert ends == spark.read.parquet(str(tmp_path / "source_mix")).count()
+
+
+def test_lm_scores_use_the_true_word_before(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    ring = [f"w{k}" for k in rng.permutation(300)]  # each word has one successor
+    rows = [(i, " ".join((ring * 3)[k : k + 400])) for i, k in enumerate(rng.integers(0, 300, 60))]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    each = [r.score / 400 for r in interpolation.scored(table).collect() if r.held_out]
+    assert each and min(each) > -0.1
+    # with fixed weights, the score is that of a plain count of all pairs, over several chunks
+    monkeypatch.setattr(interpolation, "learned_weights", lambda rows: np.full((interpolation.BUCKETS, 3), 1 / 3))
+    one, two, context = Counter(), Counter(), Counter()
+    tokens = {i: [*t.split(), None] for i, t in rows}
+    for i, t in tokens.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            one.update(t)
+            context.update([None, *t[:-1]])
+            two.update(zip([None, *t], t))
+    n = sum(one.values())
+    for r in interpolation.scored(table).collect():
+        t = tokens[r.doc_id]
+        p = [(two[a, b] / max(context[a], 1) + one[b] / n + 1 / (len(one) + 1)) / 3 for a, b in zip([None, *t], t)]
+        assert r.score == pytest.approx(sum(map(math.log10, p)))

@@ -11,6 +11,7 @@ from ringroster.llm import (
     interpolation,
     jaccard_join,
     language,
+    lexical,
     licenses,
     mixing,
     packing,
@@ -77,8 +78,13 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return lexical.ranked_documents(_documents(spark, folder), items)
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mixing, op2_jaccard_join, op3_packing, op4_token_files, op5_sharding, op6_quality_rules, op7_language_id, op8_license_scan, op9_lm_scores, op10_topk)
+    f.__name__: f for f in (op1_mixing, op2_jaccard_join, op3_packing, op4_token_files, op5_sharding, op6_quality_rules, op7_language_id, op8_license_scan, op9_lm_scores, op10_topk, op11_lexical_search)
 }
 SQL: dict[str, str] = {
     "op2_jaccard_join": """
@@ -132,4 +138,41 @@ SQL: dict[str, str] = {
         )
         SELECT query_id, n::INT AS rank, vec_id, score FROM placed WHERE n <= 5
     """,
+    "op11_lexical_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), sizes AS (
+            SELECT r, doc_id, len(w)::BIGINT AS n FROM d WHERE len(w) > 0
+        ), total AS (
+            SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM sizes
+        ), items AS (
+            SELECT item_id, row_number() OVER () AS i, unnest(list_distinct(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+            FROM (SELECT DISTINCT item_id, text FROM benchmark)
+        ), words AS (
+            SELECT r, unnest(w) AS term FROM d
+        ), postings AS (
+            SELECT r, term, count(*)::BIGINT AS tf FROM words
+            WHERE term IN (SELECT term FROM items) GROUP BY r, term
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+            FROM postings, total GROUP BY term
+        ), parts AS (
+            SELECT p.r, doc_id, term,
+                   (1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words)) AS part
+            FROM postings AS p JOIN sizes USING (r), total
+        ), scored AS (
+            SELECT i, item_id, r, doc_id, sum(weight * part)::BIGINT AS score
+            FROM items JOIN weights USING (term) JOIN parts USING (term)
+            GROUP BY i, item_id, r, doc_id
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS n
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, n::INT AS rank, doc_id, score FROM placed WHERE n <= 10
+    """,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringroster.llm import (
+    centroids,
     interpolation,
     jaccard_join,
     language,
@@ -83,8 +84,52 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.ranked_documents(_documents(spark, folder), items)
 
 
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.clustered(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def _centroid_sql(rounds: int = centroids.ROUNDS, k: int = centroids.K) -> str:
+    """One step of SQL per round."""
+    nearest = """
+        SELECT i, vec_id, w, c, d FROM (
+            SELECT v.i, v.vec_id, v.w, m.c, row_number() OVER (PARTITION BY v.i ORDER BY d, m.c) AS n, d
+            FROM v, {centres} AS m, LATERAL (SELECT list_sum(list_transform(
+                list_zip(v.w, m.w), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d)
+        ) WHERE n = 1"""
+    steps = [f"""
+        v AS MATERIALIZED (
+            SELECT row_number() OVER () AS i, vec_id,
+                   list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS w
+            FROM embeddings
+            WHERE len(embedding) = 64
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), m0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h, w) - 1 AS c, w
+            FROM (SELECT sha256('3:' || vec_id) AS h, w FROM v) ORDER BY h, w LIMIT {k}
+        )"""]
+    for n in range(rounds):
+        steps.append(f"""
+        a{n} AS MATERIALIZED ({nearest.format(centres=f"m{n}")}
+        ), s{n} AS MATERIALIZED (
+            SELECT c, list(x ORDER BY j) AS w FROM (
+                SELECT c, j, floor(sum(x) / count(*))::BIGINT AS x
+                FROM (SELECT c, unnest(w) AS x, generate_subscripts(w, 1) AS j FROM a{n}) GROUP BY c, j
+            ) GROUP BY c
+        ), m{n + 1} AS MATERIALIZED (
+            SELECT m{n}.c, coalesce(s{n}.w, m{n}.w) AS w FROM m{n} LEFT JOIN s{n} USING (c)
+        )""")
+    return f"""
+        WITH {",".join(steps)}, f AS MATERIALIZED ({nearest.format(centres=f"m{rounds}")})
+        SELECT vec_id, f.c::INT AS cluster, d AS distance,
+               (sum(d) OVER (PARTITION BY f.c))::BIGINT AS cluster_inertia,
+               (sum(d) OVER ())::BIGINT AS inertia,
+               sha256(array_to_string(m.w, ',')) AS centroid_sha256
+        FROM f JOIN m{rounds} AS m ON m.c = f.c
+    """
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mixing, op2_jaccard_join, op3_packing, op4_token_files, op5_sharding, op6_quality_rules, op7_language_id, op8_license_scan, op9_lm_scores, op10_topk, op11_lexical_search)
+    f.__name__: f for f in (op1_mixing, op2_jaccard_join, op3_packing, op4_token_files, op5_sharding, op6_quality_rules, op7_language_id, op8_license_scan, op9_lm_scores, op10_topk, op11_lexical_search, op13_centroids)
 }
 SQL: dict[str, str] = {
     "op2_jaccard_join": """
@@ -175,4 +220,5 @@ SQL: dict[str, str] = {
         )
         SELECT item_id, n::INT AS rank, doc_id, score FROM placed WHERE n <= 10
     """,
+    "op13_centroids": _centroid_sql(),
 }

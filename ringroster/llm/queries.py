@@ -16,6 +16,7 @@ from ringroster.llm import (
     licenses,
     mixing,
     packing,
+    preference,
     quality,
     sharding,
     token_files,
@@ -84,6 +85,11 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.ranked_documents(_documents(spark, folder), items)
 
 
+def op12_preference(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return preference.scored(_documents(spark, folder), labels)
+
+
 def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.clustered(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
@@ -129,7 +135,7 @@ def _centroid_sql(rounds: int = centroids.ROUNDS, k: int = centroids.K) -> str:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mixing, op2_jaccard_join, op3_packing, op4_token_files, op5_sharding, op6_quality_rules, op7_language_id, op8_license_scan, op9_lm_scores, op10_topk, op11_lexical_search, op13_centroids)
+    f.__name__: f for f in (op1_mixing, op2_jaccard_join, op3_packing, op4_token_files, op5_sharding, op6_quality_rules, op7_language_id, op8_license_scan, op9_lm_scores, op10_topk, op11_lexical_search, op12_preference, op13_centroids)
 }
 SQL: dict[str, str] = {
     "op2_jaccard_join": """

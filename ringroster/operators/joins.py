@@ -16,14 +16,34 @@ from pyspark.sql import types as T
 
 from ringroster.functions import ColumnLike, as_column
 from ringroster.functions.text import key_text, norm_upper
-from ringroster.operators.skew import exact_left_join, split_left_join
+from ringroster.operators.skew import (
+    exact_left_join,
+    spread_part,
+    split_left_join,
+    zero_part,
+)
 
 
 def lookup(
-    df: DataFrame, dim: DataFrame, key: ColumnLike, dim_key: str, how: str = "left"
+    df: DataFrame,
+    dim: DataFrame,
+    key: ColumnLike,
+    dim_key: str,
+    how: str = "left",
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Join a table on one key. Column names of the two sides must not clash."""
-    return df.join(dim, as_column(key) == dim[dim_key], how)
+    """Join a table on one key. Column names of the two sides must not clash.
+
+    Where the key of a left join may be NULL, `spread_by` names columns that tell the rows
+    apart; rows without a key are dealt out by them and do not meet in one task.
+    """
+    key = as_column(key)
+    if not spread_by or how != "left":
+        return df.join(dim, key == dim[dim_key], how)
+    parted = df.withColumn("_part", spread_part(key, spread_by))
+    dim = dim.withColumn("_dim_part", zero_part(dim_key))
+    on = (key == dim[dim_key]) & (F.col("_part") == F.col("_dim_part"))
+    return parted.join(dim, on, "left").drop("_part", "_dim_part")
 
 
 def fan_out(base: DataFrame, rows: DataFrame, key: str, rows_key: str) -> DataFrame:
@@ -59,15 +79,16 @@ def with_person_name(
     fk: ColumnLike,
     output: str,
     how: str = "left",
+    spread_by: Sequence[str] = (),
     **names: str,
 ) -> DataFrame:
     """Resolve fact -> user -> person into one name column.
 
     The two small tables are joined to each other first, so the fact table takes part in
-    one join and is shuffled at most once.
+    one join and is shuffled at most once. `spread_by` is that of `lookup`.
     """
     resolved = person_names(users, people, **names)
-    joined = df.join(resolved, as_column(fk) == resolved._user, how)
+    joined = lookup(df, resolved, fk, "_user", how, spread_by)
     if how == "inner":
         joined = joined.where(F.col("_user_name").isNotNull())
     return joined.withColumnRenamed("_user_name", output).drop("_user")

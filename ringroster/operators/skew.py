@@ -1,31 +1,117 @@
 """Left joins of large tables.
 
 At run time Spark splits a hot key on either side of an inner join, and on the left side of
-a left join. It cannot split one on the right side of a left join, so such a join is taken
-apart into the inner join and the left rows without a partner.
+a left join, where both sides come from a shuffle of their own. It cannot split one on the
+right side of a left join, nor on the left of joins that share one shuffle. The joins here are
+put so that it can, and read their left side once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ringroster.functions import ColumnLike, as_column
 
+LONERS = 1024  # groups that left rows without a partner are dealt to
 
-def _spread(key: Column, spread_by: Sequence[str]) -> Column:
+Right = tuple[DataFrame, str] | tuple[DataFrame, str, Column | None]
+
+
+def spread_part(key: Column, spread_by: Sequence[str]) -> Column:
     """Second key part: 0 for a key, a hash for none, so rows without one do not meet."""
     spread = F.hash(*spread_by) if spread_by else F.lit(0)
     return F.when(key.isNull(), spread).otherwise(0)
 
 
-def _zero(right_key: str) -> Column:
+def zero_part(right_key: str) -> Column:
+    """The part of a right key, which is never spread."""
     # pmod(.., 1) is 0 but no constant, so the optimizer keeps it as a join key
     return F.pmod(F.hash(right_key), F.lit(1))
 
 
+def _any_value(kind: T.DataType) -> Column:
+    """Some value of a type, for rows whose key does not matter."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.lit("").cast(kind)
+    if isinstance(kind, T.DateType | T.TimestampType | T.TimestampNTZType):
+        return F.lit("1970-01-01").cast(kind)
+    return F.lit(0).cast(kind)
+
+
+def _meet(
+    joined: DataFrame, right: DataFrame, right_key: str, key: Column, met: Column, spread: Column
+) -> DataFrame:
+    """Each left row with its right rows or, where `met` does not hold, with none.
+
+    Left rows without a partner meet one of LONERS rows of nulls that are added to the right
+    side, so the join is an inner one, which can be split on both sides.
+    """
+    spark = right.sparkSession
+    kind = right.schema[right_key].dataType
+    value = _any_value(kind)
+    own = right.columns
+    loner = F.pmod(spread, F.lit(LONERS)) + 1
+    left = joined.withColumns(
+        {
+            "_at": F.when(met, key.cast(kind)).otherwise(value),
+            "_lone": F.when(met, F.lit(0)).otherwise(loner),
+        }
+    )
+    rows = right.where(F.col(right_key).isNotNull()).withColumns(
+        {"_at_right": F.col(right_key), "_lone_right": zero_part(right_key)}
+    )
+    nulls = spark.range(1, LONERS + 1, 1, 1).select(
+        *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in own],
+        value.alias("_at_right"),
+        F.col("id").cast("int").alias("_lone_right"),
+    )
+    on = (F.col("_at") == F.col("_at_right")) & (F.col("_lone") == F.col("_lone_right"))
+    return left.join(rows.union(nulls), on).drop("_at", "_lone", "_at_right", "_lone_right", right_key)
+
+
+def exact_left_joins(
+    left: DataFrame, rights: Sequence[Right], key: ColumnLike, spread_by: Sequence[str] = ()
+) -> DataFrame:
+    """Left outer joins on one key to tables that may have hot keys; right keys are dropped.
+
+    First the left rows are marked that have a partner, by left joins to the distinct keys of
+    each right side, which share one shuffle. Then each right side is met by an inner join, to
+    which rows of nulls are added for left rows without a partner. The left side is read once,
+    and which rows come out does not depend on any size or on a look at the keys beforehand.
+    A right side is read twice, so it must be repeatable.
+
+    A third item of a right side is a condition on the left row, part of the ON clause. With
+    `spread_by`, columns that tell left rows apart, the key may be null or hot on the left.
+    """
+    key = as_column(key)
+    joined, own = left, left.columns
+    parted = bool(spread_by)
+    spread = F.hash(*spread_by) if parted else F.hash(key)
+    if parted:
+        joined = joined.withColumn("_key", key)
+        key = F.col("_key")
+        joined = joined.withColumn("_part", spread_part(key, spread_by))
+    for i, (right, right_key, *_) in enumerate(rights):
+        keys = right.select(F.col(right_key).alias(f"_other{i}")).dropna().distinct()
+        on = key == F.col(f"_other{i}")
+        if parted:
+            keys = keys.withColumn("_zero", zero_part(f"_other{i}"))
+            on = on & (F.col("_part") == F.col("_zero"))
+        joined = joined.join(keys, on, "left").drop("_zero")
+    for i, (right, right_key, *pred) in enumerate(rights):
+        met = F.col(f"_other{i}").isNotNull()
+        if pred and pred[0] is not None:
+            met = met & F.coalesce(pred[0], F.lit(False))
+        joined = _meet(joined, right, right_key, F.col(f"_other{i}"), met, spread)
+        own = own + [c for c in right.columns if c != right_key]
+    return joined.select(*own)
+
+
 def exact_left_join(
     left: DataFrame,
     right: DataFrame,
@@ -34,25 +120,9 @@ def exact_left_join(
     spread_by: Sequence[str] = (),
     left_pred: Column | None = None,
 ) -> DataFrame:
-    """Left outer join whose right side may have hot keys; the right key is dropped.
-
-    The inner join can be split on both sides, and so can the join that keeps the left rows
-    whose key is not among the distinct right keys. Which rows come out does not depend on
-    any size or on a look at the keys beforehand. A left row whose key is NULL, or for which
-    `left_pred` fails, is kept without a partner. Both sides must be repeatable, so a live
-    source should be landed first.
-    """
-    key = as_column(key)
-    if left_pred is not None:
-        key = F.when(left_pred, key)
-    keyed = left.withColumn("_key", key)
-    met = keyed.where(F.col("_key").isNotNull()).join(right, F.col("_key") == F.col(right_key))
-    keys = right.select(F.col(right_key).alias("_other")).dropna().distinct()
-    lonely = keyed.withColumn("_part", _spread(F.col("_key"), spread_by)).join(
-        keys, (F.col("_key") == F.col("_other")) & (F.col("_part") == _zero("_other")), "left_anti"
-    )
-    both = met.unionByName(lonely.drop("_part"), allowMissingColumns=True)
-    return both.drop("_key", right_key)
+    """One of `exact_left_joins`. A left row whose key is NULL, or for which `left_pred`
+    fails, is kept without a partner."""
+    return exact_left_joins(left, [(right, right_key, left_pred)], key, spread_by)
 
 
 def split_left_join(
@@ -60,16 +130,27 @@ def split_left_join(
     rights: Sequence[tuple[DataFrame, str]],
     key: ColumnLike,
     spread_by: Sequence[str] = (),
+    keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Left outer joins of tables with unique keys on one key, sharing one shuffle.
+    """Left outer joins of tables with unique keys on one key that may be hot on the left.
 
-    Left rows without a key get a second key part from a hash of `spread_by`, so they do not
-    meet in one task. Right key columns are dropped.
+    Several tables are first joined to each other along the distinct keys, sharing one
+    shuffle in which no key is hot; the left side then takes part in one join, which can be
+    split. `keys` is a one-column table with at least all keys of `left`, if one can be had
+    for less than reading `left` again. Left rows without a key get a second key part from a
+    hash of `spread_by`, so they do not meet in one task. Right key columns are dropped.
     """
     key = as_column(key)
-    joined = left.withColumn("_key", key).withColumn("_part", _spread(F.col("_key"), spread_by))
-    for right, right_key in rights:
-        right = right.withColumn("_right_part", _zero(right_key))
-        on = (F.col("_key") == F.col(right_key)) & (F.col("_part") == F.col("_right_part"))
-        joined = joined.join(right, on, "left").drop("_right_part", right_key)
-    return joined.drop("_key", "_part")
+    joined = left.withColumn("_key", key).withColumn("_part", spread_part(F.col("_key"), spread_by))
+    if len(rights) == 1:
+        right, right_key = rights[0]
+        right = right.withColumnRenamed(right_key, "_right_key")
+    else:
+        source = left.select(key) if keys is None else keys
+        right = source.toDF("_right_key").dropna().distinct()
+        right = reduce(
+            lambda found, r: found.join(r[0], F.col("_right_key") == F.col(r[1]), "left").drop(r[1]), rights, right
+        )
+    right = right.withColumn("_right_part", zero_part("_right_key"))
+    on = (F.col("_key") == F.col("_right_key")) & (F.col("_part") == F.col("_right_part"))
+    return joined.join(right, on, "left").drop("_key", "_part", "_right_key", "_right_part")

@@ -48,12 +48,12 @@ from ringroster.functions.text import (
 from ringroster.operators.aggregates import avg_dur, sum_dur
 from ringroster.operators.filters import in_period_instants
 from ringroster.operators.joins import (
-    join_any_key,
+    any_key_rows,
     join_on_expr,
     link_queue_leg,
     lookup,
 )
-from ringroster.operators.skew import split_left_join
+from ringroster.operators.skew import exact_left_joins, split_left_join
 from ringroster.period import Period
 from ringroster.sources.policies import KEEP_FIRST, Policy
 
@@ -139,7 +139,6 @@ def _with_call_tables(calls: DataFrame, sources: Mapping[str, DataFrame]) -> Dat
             **{f"campo{i}": f"t_campo{i}" for i in range(1, 7)},
         },
     )
-    calls = join_any_key(calls, tabulation, "id", ["t_agente", "t_fila"])
     survey = _named(
         sources["pesquisasatisfacao"],
         {
@@ -155,12 +154,17 @@ def _with_call_tables(calls: DataFrame, sources: Mapping[str, DataFrame]) -> Dat
         & F.col("idtemplateps").isNotNull()
         & F.col("pesquisasatisfacao")
     )
-    calls = join_any_key(calls, survey, "id", ["ps_agente", "ps_fila"], left_pred=surveyed)
+    # call ids are unique and never null, so the three tables share one shuffle by them
+    rights = [
+        (any_key_rows(tabulation, ["t_agente", "t_fila"], "_t_key"), "_t_key"),
+        (any_key_rows(survey, ["ps_agente", "ps_fila"], "_ps_key"), "_ps_key", surveyed),
+    ]
+    calls = exact_left_joins(calls, rights, "id")
     return calls.drop("t_agente", "t_fila", "ps_agente", "ps_fila")
 
 
 def _with_related_calls(
-    legs: DataFrame, sources: Mapping[str, DataFrame], kinds: Sequence[str]
+    legs: DataFrame, sources: Mapping[str, DataFrame], period: Period, kinds: Sequence[str]
 ) -> DataFrame:
     """External leg, voice-assistant leg and hang-up record; agent legs find theirs through
     the queue leg of the contact."""
@@ -190,6 +194,7 @@ def _with_related_calls(
         [(external, "x_id"), (billing, "lt_id"), (trunk, "le_id")],
         "idligextprincipal",
         spread_by=["id"],
+        keys=_legs_of(sources, period, kinds).select("idligextprincipal"),
     )
     assistant = _named(
         calls.where(F.col("tipo") == VOICE_ASSISTANT),
@@ -217,11 +222,11 @@ def _with_names(legs: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
         ("subtabulacaocampanha", "t_idsubtipocampanha", "sc_nome"),
     ):
         names = _named(sources[table], {"id": "_id", "nome": output})
-        legs = lookup(legs, names, key, "_id").drop("_id", key)
+        legs = lookup(legs, names, key, "_id", spread_by=["id"]).drop("_id", key)
     users = _named(
         sources["usuario"], {"id": "usr_id", "matricula": "matricula", "nome": "usuario"}
     )
-    legs = lookup(legs, users, "idusuario", "usr_id").drop("usr_id")
+    legs = lookup(legs, users, "idusuario", "usr_id", spread_by=["id"]).drop("usr_id")
     template = _named(
         sources["templateps"],
         {
@@ -234,13 +239,21 @@ def _with_names(legs: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
             **{f"respemzero{i}": f"tps_zero{i}" for i in QUESTIONS},
         },
     )
-    legs = lookup(legs, template, "idtemplateps", "pesquisafila")
+    legs = lookup(legs, template, "idtemplateps", "pesquisafila", spread_by=["id"])
     channel = _named(sources["contatocanal"], {"id": "conc_id", "idcontato": "conc_contato"})
     contact = _named(sources["contato"], {"id": "c_id", "nome": "nomecontato"})
     contact = lookup(channel, contact, "conc_contato", "c_id").select("conc_id", "nomecontato")
     return split_left_join(legs, [(contact, "conc_id")], "idcontatocanal", spread_by=["id"])
 
 
+def _legs_of(
+    sources: Mapping[str, DataFrame], period: Period, kinds: Sequence[str]
+) -> DataFrame:
+    """Legs of the period and kinds, before any join."""
+    legs = in_period_instants(sources["ligacao"], "datahora", period)
+    return legs.where(F.col("tipo").isin(list(kinds)))
+
+
 def contact_legs(
     sources: Mapping[str, DataFrame], period: Period, kinds: Sequence[str] = LEG_KINDS
 ) -> DataFrame:
@@ -256,9 +269,7 @@ def contact_legs(
             **{f"campotab{i}": f"f_campotab{i}" for i in range(1, 7)},
         },
     )
-    legs = in_period_instants(sources["ligacao"], "datahora", period).where(
-        F.col("tipo").isin(list(kinds))
-    )
+    legs = _legs_of(sources, period, kinds)
     legs = lookup(legs, cost_centre, "idcentrocusto", "cc_id", "inner").drop("cc_id")
     legs = lookup(legs, queue, "idfila", "f_id", "inner").drop("f_id")
     wait = secs_between("datahora", "datahorafimespera")
@@ -281,7 +292,7 @@ def calls_legs(
     A leg is repeated for each dialer, tabulation, survey or hang-up row that it has.
     """
     legs = _with_call_tables(contact_legs(sources, period, kinds), sources)
-    legs = _with_names(_with_related_calls(legs, sources, kinds), sources)
+    legs = _with_names(_with_related_calls(legs, sources, period, kinds), sources)
     return legs.withColumns(
         {
             "tipofila": code_label("f_tipofila", QUEUE_TYPES, QUEUE_TYPE_OTHER),

@@ -69,6 +69,7 @@ def tabulation(
 ) -> DataFrame:
     """Build one job's dataset. The day window applies where the job has a day column."""
     tab = with_prefix(sources[job.table], TAB)
+    spread_by = [f"{TAB}Id"] if job.base is None else [f"{BASE}Id", f"{TAB}Id"]
     if job.base is None:
         rows = _windowed(job, tab, period)
     else:
@@ -76,7 +77,7 @@ def tabulation(
         rows = fan_out(base, tab, f"{BASE}Id", f"{TAB}{job.base_fk}")
         if job.issuer is not None:
             issuers = with_prefix(sources[job.issuer], ISSUER, ["Id", "DsEmissor"])
-            rows = lookup(rows, issuers, f"{BASE}FkTipoEmissor", f"{ISSUER}Id")
+            rows = lookup(rows, issuers, f"{BASE}FkTipoEmissor", f"{ISSUER}Id", spread_by=spread_by)
     rows = with_person_name(
         rows,
         sources[USERS],
@@ -84,6 +85,7 @@ def tabulation(
         f"{TAB}{OPERATOR_FK}",
         PERSON,
         how="inner" if job.person_required else "left",
+        spread_by=spread_by,
     )
     return rows.select(
         F.lit(job.label).alias(LABEL_COLUMN),

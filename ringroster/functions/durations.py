@@ -1,13 +1,56 @@
-"""Durations and times of day, held as whole seconds (BIGINT)."""
+"""Durations and times of day.
+
+Measured durations are day-time intervals, exact to the microsecond, so sums and averages lose
+nothing; they stay so through Parquet. Labels and texts start from seconds.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ringroster.functions import ColumnLike, as_column
 
 DAY_SECS = 86400
+NO_TIME = "INTERVAL '0' SECOND"
+
+
+def time_between(start: ColumnLike, end: ColumnLike) -> Column:
+    """Exact day-time interval from `start` to `end`; negative if `end` comes first."""
+    return as_column(end) - as_column(start)
+
+
+def secs_interval(secs: ColumnLike) -> Column:
+    """Seconds, whole or not, as a day-time interval."""
+    return F.make_dt_interval(secs=as_column(secs).cast("decimal(18,6)"))
+
+
+def as_intervals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns in seconds become day-time intervals; those that are intervals stay."""
+    numbers = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+    return df.withColumns({c: secs_interval(c) for c in numbers})
+
+
+def exact_secs(interval: ColumnLike) -> Column:
+    """Seconds of a day-time interval with their fraction."""
+    return as_column(interval).cast("interval second").cast("decimal(20,6)")
+
+
+def micros(interval: ColumnLike) -> Column:
+    """Microseconds of a day-time interval."""
+    return (exact_secs(interval) * 1_000_000).cast("bigint")
+
+
+def time_of_day(interval: ColumnLike) -> Column:
+    """What remains of a day-time interval without its whole days."""
+    return secs_interval(F.pmod(exact_secs(interval), F.lit(DAY_SECS)))
+
+
+def no_time_if_null(interval: ColumnLike) -> Column:
+    return F.coalesce(as_column(interval), F.expr(NO_TIME))
 
 
 def secs_between(start: ColumnLike, end: ColumnLike) -> Column:

@@ -8,19 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringroster.functions import ColumnLike, as_column
+from ringroster.functions.durations import no_time_if_null
 from ringroster.operators.windows import with_cumulative_pct, with_ordinal
 
 
+def sum_dur(interval: ColumnLike, when: Column | None = None) -> Column:
+    """Exact sum of a day-time interval, none at all if there is none; with `when`, over those
+    rows only."""
+    value = as_column(interval)
+    return no_time_if_null(F.sum(value if when is None else F.when(when, value)))
 
-def sum_dur(secs: ColumnLike, when: Column | None = None) -> Column:
-    """Sum of a duration, 0 if there is none; with `when`, over those rows only."""
-    value = as_column(secs)
-    return F.coalesce(F.sum(value if when is None else F.when(when, value)), F.lit(0))
 
-
-def avg_dur(secs: ColumnLike, when: Column | None = None) -> Column:
-    value = as_column(secs)
-    return F.coalesce(F.avg(value if when is None else F.when(when, value)), F.lit(0.0))
+def avg_dur(interval: ColumnLike, when: Column | None = None) -> Column:
+    """Average of a day-time interval to the microsecond, as `sum_dur`."""
+    value = as_column(interval)
+    return no_time_if_null(F.avg(value if when is None else F.when(when, value)))
 
 
 def ratio_pct(part: ColumnLike, whole: ColumnLike) -> Column:

@@ -30,11 +30,12 @@ from ringroster.functions.codes import (
 )
 from ringroster.functions.dates import stamp_text
 from ringroster.functions.durations import (
+    as_intervals,
+    epoch_secs,
     hms_text,
-    secs_between,
-    secs_to_clock,
-    whole_secs,
-    zero_if_null,
+    no_time_if_null,
+    time_between,
+    time_of_day,
 )
 from ringroster.functions.jsonx import transfer_text
 from ringroster.functions.scores import score_label, shifted_score
@@ -57,6 +58,8 @@ from ringroster.operators.skew import exact_left_joins, split_left_join
 from ringroster.period import Period
 from ringroster.sources.policies import KEEP_FIRST, Policy
 
+CALL_TIMES = ("tempototal", "tempoatendimento")  # seconds or intervals, as the source has them
+
 # Source tables, kinds of legs and of queues.
 SOURCES = (
     "ligacao", "custo", "ligacaointerna", "ligacaointernafila", "fila", "ligacaodiscador",
@@ -104,6 +107,8 @@ def _with_internal_leg(calls: DataFrame, sources: Mapping[str, DataFrame]) -> Da
             "pesquisasatisfacao": "pesquisasatisfacao",
         },
     )
+    times = ["nivelservico", "tempototalhold", "tempototalmudo"]
+    queue_data = as_intervals(queue_data, times)
     calls = lookup(calls, internal, "id", "li_idligacao", "inner")
     calls = lookup(calls, queue_data, "li_id", "lif_id", "inner")
     return calls.drop("li_id", "lif_id", "li_idligacao")
@@ -139,6 +144,7 @@ def _with_call_tables(calls: DataFrame, sources: Mapping[str, DataFrame]) -> Dat
             **{f"campo{i}": f"t_campo{i}" for i in range(1, 7)},
         },
     )
+    tabulation = as_intervals(tabulation, ["tempotabulando"])
     survey = _named(
         sources["pesquisasatisfacao"],
         {
@@ -174,7 +180,7 @@ def _with_related_calls(
         ended_leg = F.when(F.col("tipo") == AGENT_KIND, F.col("fila_uniqueid")).otherwise(
             ended_leg
         )
-    calls = sources["ligacao"]
+    calls = as_intervals(sources["ligacao"], CALL_TIMES)
     spans = ("datahora", "datahoraatende", "datahorafim", "tempototal", "tempoatendimento")
     external = _named(calls, {"id": "x_id", **{c: f"externo_{c}" for c in spans}})
     billing = _named(
@@ -185,6 +191,7 @@ def _with_related_calls(
             "valor": "externo_valor",
         },
     )
+    billing = as_intervals(billing, ["externo_tempotarifado"])
     trunk = _named(sources["ligacaoexterna"], {"idligacao": "le_id", "idtronco": "le_tronco"})
     trunk = lookup(
         trunk, _named(sources["tronco"], {"id": "tr_id", "nome": "externo_tronco"}), "le_tronco", "tr_id"
@@ -269,17 +276,18 @@ def contact_legs(
             **{f"campotab{i}": f"f_campotab{i}" for i in range(1, 7)},
         },
     )
-    legs = _legs_of(sources, period, kinds)
+    queue = as_intervals(queue, ["f_servicelevel"])
+    legs = as_intervals(_legs_of(sources, period, kinds), CALL_TIMES)
     legs = lookup(legs, cost_centre, "idcentrocusto", "cc_id", "inner").drop("cc_id")
     legs = lookup(legs, queue, "idfila", "f_id", "inner").drop("f_id")
-    wait = secs_between("datahora", "datahorafimespera")
+    wait = time_between("datahora", "datahorafimespera")
     return _with_internal_leg(legs, sources).withColumns(
         {
             "tempoespera": wait,
             "tempoesperafila": F.when(F.col("tipo") == "fila", wait),
             "tempoduracao": F.col("tempototal"),
-            "hold_tempo_total": secs_to_clock("tempototalhold"),
-            "mudo_tempo_total": secs_to_clock("tempototalmudo"),
+            "hold_tempo_total": time_of_day("tempototalhold"),
+            "mudo_tempo_total": time_of_day("tempototalmudo"),
         }
     )
 
@@ -298,7 +306,7 @@ def calls_legs(
             "tipofila": code_label("f_tipofila", QUEUE_TYPES, QUEUE_TYPE_OTHER),
             "status": code_label("idstatus", CALL_STATUS),
             "statusfinal": code_label("idstatusfinal", FINAL_STATUS, DASH),
-            "nivelservicofila": secs_to_clock("f_servicelevel"),
+            "nivelservicofila": time_of_day("f_servicelevel"),
             "textoextra": transfer_text("extra", "idstatusfinal"),
             "campostabulacao": labelled_fields(
                 [(f"f_campotab{i}", f"t_campo{i}") for i in range(1, 7)]
@@ -339,7 +347,7 @@ def _detail_columns(currency: str) -> dict[str, Column]:
         return dash_if_null(stamp_text(c)) if dashed else stamp_text(c)
 
     def clock(c: str) -> Column:
-        return hms_text(zero_if_null(c))
+        return hms_text(epoch_secs(no_time_if_null(c)))
 
     def dashed_text(c: str) -> Column:
         return dash_if_null(as_text(c))
@@ -378,9 +386,9 @@ def _detail_columns(currency: str) -> dict[str, Column]:
         "tempoespera": clock("tempoespera"),
         "hold_tempo_total": clock("hold_tempo_total"),
         "mudo_tempo_total": clock("mudo_tempo_total"),
-        "nivelservico": hms_text(service_level),
+        "nivelservico": hms_text(epoch_secs(service_level)),
         "datahoratabulacao": stamp("datahoratabulacao", True),
-        "tempotabulando": dash_if_null(hms_text(whole_secs("tempotabulando"))),
+        "tempotabulando": dash_if_null(hms_text(epoch_secs("tempotabulando"))),
         "tabulacao": dash_if_null("tf_nome"),
         "subtabulacao": dash_if_null("s_nome"),
         "tabulacaocampanha": dash_if_null("tbc_nome"),
@@ -436,7 +444,7 @@ def calls_detail(
 
 
 def queue_kpis(legs: DataFrame, group: Sequence[str | Column]) -> DataFrame:
-    """Volumes, durations and waits (in seconds) per group, in one aggregation.
+    """Volumes, durations and waits (exact intervals) per group, in one aggregation.
 
     Meant for `contact_legs`, where each leg is one row, so that nothing counts twice.
     """

@@ -52,6 +52,16 @@ def _without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataF
     return df.join(seen, same, "left_anti")
 
 
+def one_per_key(
+    df: DataFrame, keys: Sequence[str], tiebreak: Sequence[ColumnLike], newest_wins: bool
+) -> DataFrame:
+    """The row of each key that a merge takes from one source."""
+    order = total_order(df, tiebreak)
+    if newest_wins:
+        order = [o.desc_nulls_last() for o in order]
+    return first_per_key(df, keys, order)
+
+
 def _merge_unique(
     history: DataFrame,
     new: DataFrame,
@@ -62,10 +72,7 @@ def _merge_unique(
     """Rank the new rows only and leave out what the other source decides.
 
     To append, history gives its keys to a join and is itself not shuffled."""
-    order = total_order(new, tiebreak)
-    if newest_wins:
-        order = [o.desc_nulls_last() for o in order]
-    new = first_per_key(new, keys, order)
+    new = one_per_key(new, keys, tiebreak, newest_wins)
     if newest_wins:
         return concat_history(_without_keys(history, new, keys), new)
     return concat_history(history, _without_keys(new, history, keys))

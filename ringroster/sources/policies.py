@@ -7,10 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringroster.operators.joins import semi_by_keys
-from ringroster.operators.landing import first_load, merge_keep_first, merge_keep_last
+from ringroster.operators.landing import (
+    first_load,
+    merge_keep_first,
+    merge_keep_last,
+    one_per_key,
+)
 from ringroster.operators.ordering import sort_for_landing
-from ringroster.sources import store
+from ringroster.sources import keyindex, store
 from ringroster.spool import spooling
 
 KEEP_FIRST = "keep_first"
@@ -21,7 +25,8 @@ SNAPSHOT = "snapshot"
 @dataclass(frozen=True)
 class Policy:
     """`month_column` cuts the dataset into months, so that a run rewrites only the months
-    it changes; rows of one key may lie in different months."""
+    it changes; rows of one key may lie in different months. `keep_versions` has superseded
+    versions removed after each landing (default: all stay)."""
 
     kind: str
     keys: tuple[str, ...] = ()
@@ -30,6 +35,7 @@ class Policy:
     month_column: str | None = None
     dedup_first_load: bool = False
     guard_empty: bool = True
+    keep_versions: int | None = None
 
 
 def _parts_of(df: DataFrame, month_column: str | None) -> set[str]:
@@ -40,17 +46,35 @@ def _parts_of(df: DataFrame, month_column: str | None) -> set[str]:
     return {r.part for r in rows}
 
 
-def _touched(history: DataFrame, new: DataFrame, policy: Policy) -> set[str]:
-    """Parts a merge can change: those of the new rows, and those where history already
-    has one of the new keys."""
+def _in_months(policy: Policy) -> bool:
+    """Whether a key may lie in any month, so that an index has to say in which."""
+    return policy.month_column is not None and policy.month_column not in policy.keys
+
+
+def _touched(new: DataFrame, location: str, manifest: store.Manifest, policy: Policy) -> tuple[set[str], dict | None]:
+    """Parts a merge into a unique dataset can change, which are those of the new rows and
+    those that hold one of the new keys, and the index of the keys after it.
+
+    Only the index's buckets of the new keys are read. A dataset without an index gets one
+    from a scan of its keys.
+    """
     parts = _parts_of(new, policy.month_column)
-    if policy.month_column is None or policy.month_column in policy.keys:
-        return parts
-    key = F.struct(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in policy.keys])
-    seen = semi_by_keys(
-        history.withColumn("_touch", key), new.select(key.alias("_touch")), "_touch", "_touch"
-    )
-    return parts | _parts_of(seen, policy.month_column)
+    if not _in_months(policy):
+        return parts, None
+    spark, keys, month = new.sparkSession, list(policy.keys), policy.month_column
+    newest_wins = policy.kind == KEEP_LAST
+    chosen = keyindex.entries(one_per_key(new, keys, policy.tiebreak, newest_wins), keys, month)
+    index = manifest.index
+    if index is None or index["keys"] != keys:
+        index, buckets = None, keyindex.BUCKETS
+        known = keyindex.entries(store.load_history(spark, location), keys, month)
+    else:
+        buckets = index["buckets"]
+        wanted = keyindex.buckets_of(new, keys, buckets)
+        known = keyindex.read(spark, location, index, chosen, wanted)
+    parts |= keyindex.parts_with(known, new, keys)
+    after = keyindex.updated(known, chosen, keys, newest_wins)
+    return parts, keyindex.write(after, location, keys, index, buckets)
 
 
 def _arranged(df: DataFrame, policy: Policy, then_by: tuple[str, ...] = ()) -> DataFrame:
@@ -66,7 +90,10 @@ def _arranged(df: DataFrame, policy: Policy, then_by: tuple[str, ...] = ()) -> D
 def land_with_policy(new: DataFrame, location: str, policy: Policy) -> int:
     """Land one run's rows and return the row count of the dataset."""
     if policy.kind == SNAPSHOT:
-        return store.land(_arranged(new, policy), location, guard_empty=policy.guard_empty)
+        rows = store.land(_arranged(new, policy), location, guard_empty=policy.guard_empty)
+        if policy.keep_versions is not None:
+            store.expire(new.sparkSession, location, policy.keep_versions)
+        return rows
     # the extract is read from its source once, whatever is rerun afterwards
     with spooling(new) as extract:
         if policy.guard_empty and extract.isEmpty():
@@ -80,6 +107,7 @@ def _merge_into(new: DataFrame, location: str, policy: Policy) -> int:
     manifest = store.read_manifest(spark, location)
     merge = merge_keep_first if policy.kind == KEEP_FIRST else merge_keep_last
     parts: set[str] = set()
+    index = None
     if manifest is None and not policy.dedup_first_load:
         # copies of one row stay, so their place in the spooled files cuts runs of them
         rows = first_load(new.withColumn("_place", F.col("_metadata.row_index")))
@@ -90,16 +118,22 @@ def _merge_into(new: DataFrame, location: str, policy: Policy) -> int:
             # until one merge has gone over all parts, any of them may hold duplicates
             parts = set(manifest.parts)
             if manifest.unique:
-                parts = _touched(store.load_history(spark, location), new, policy)
+                parts, index = _touched(new, location, manifest, policy)
             history = store.load_history(spark, location, parts=parts)
         unique = manifest is None or manifest.unique
         merged = merge(history, new, policy.keys, policy.tiebreak, unique)
         arranged = _arranged(merged, policy)
-    return store.land(
+    months = None if policy.month_column is None else parts | _parts_of(new, policy.month_column)
+    rows = store.land(
         arranged,
         location,
         policy.month_column,
         replace=parts,
         unique=manifest is not None or policy.dedup_first_load,
         guard_empty=policy.guard_empty,
+        months=months,
+        index=index,
     )
+    if policy.keep_versions is not None:
+        store.expire(spark, location, policy.keep_versions)
+    return rows

@@ -282,3 +282,105 @@ def test_ties_do_not_depend_on_the_order_of_the_input(spark):
                 for d in (data, data[::-1])
             ]
             assert results[0] == results[1]
+
+
+def part_files(where, part):
+    import pathlib
+
+    return sorted(pathlib.Path(where, read_manifest_dir(where, part)).rglob("*.parquet"))
+
+
+def read_manifest_dir(where, part):
+    import json
+    import pathlib
+
+    newest = max(pathlib.Path(where, "manifests").glob("0*.json"))
+    return json.loads(newest.read_text())["parts"][part]["dir"]
+
+
+@pytest.mark.parametrize("kind", [KEEP_FIRST, KEEP_LAST])
+def test_a_landing_reads_only_the_parts_of_its_keys(spark, tmp_path, kind):
+    where = str(tmp_path / "indexed")
+    policy = Policy(kind, keys=("k",), month_column="d", dedup_first_load=True)
+    data = [(i, (JAN, FEB, MAR, None)[i % 4], "a") for i in range(40)] + [(None, JAN, "n")]
+    land_with_policy(frame(spark, *data), where, policy)
+    assert read_manifest(spark, where).index is None
+    # the first merge scans the keys once and leaves an index
+    land_with_policy(frame(spark, (1, FEB, "b")), where, policy)
+    index = read_manifest(spark, where).index
+    assert index["keys"] == ["k"] and len(index["dirs"]) > 10
+    # from then on, parts and buckets without one of the new keys cannot even be read
+    for part in ("2024-03", "none"):
+        for file in part_files(where, part):
+            file.write_bytes(b"not parquet")
+    moved = frame(spark, (0, FEB, "moved"), (None, JAN, "N"), (100, FEB, "new"))
+    assert land_with_policy(moved, where, policy) == 42
+    got = {r.k: (r.d, r.v) for r in load_history(spark, where, parts=["2024-01", "2024-02"]).collect()}
+    wins = kind == KEEP_LAST
+    assert got[0] == ((FEB, "moved") if wins else (JAN, "a"))
+    assert got[None] == (JAN, "N" if wins else "n") and got[100] == (FEB, "new")
+    after = read_manifest(spark, where).index["dirs"]
+    assert 0 < sum(after[b] != index["dirs"].get(b) for b in after) <= 3
+    # and what moved is found where it lies now
+    land_with_policy(frame(spark, (0, JAN, "back"), (100, JAN, "back")), where, policy)
+    got = {r.k: (r.d, r.v) for r in load_history(spark, where, parts=["2024-01", "2024-02"]).collect()}
+    assert (got[0], got[100]) == (((JAN, "back"),) * 2 if wins else ((JAN, "a"), (FEB, "new")))
+
+
+@pytest.mark.parametrize("kind", [KEEP_FIRST, KEEP_LAST])
+def test_landings_agree_with_one_merge_of_all(spark, tmp_path, kind):
+    rng = random.Random(12)
+    where = str(tmp_path / "many")
+    policy = Policy(kind, keys=("k", "v"), month_column="d", tiebreak=("d",), dedup_first_load=True)
+    want = {}
+    for n in range(5):
+        data = [(rng.choice([None, *range(12)]), rng.choice([JAN, FEB, MAR, None]), rng.choice("ab")) for _ in range(15)]
+        per_key = {}
+        for k, d, v in sorted(data, key=lambda r: (r[1] is None, r[1] or JAN)):
+            per_key.setdefault((k, v), []).append(d)
+        for key, days in per_key.items():
+            known = [d for d in days if d is not None]
+            best = (max(known) if known else None) if kind == KEEP_LAST else (None if None in days else min(known))
+            if kind == KEEP_LAST or key not in want:
+                want[key] = best
+        assert land_with_policy(frame(spark, *data), where, policy) == len(want)
+    assert rows(load_history(spark, where)) == sorted([(k, d, v) for (k, v), d in want.items()], key=repr)
+
+
+def test_rows_are_counted_as_they_are_written(spark, tmp_path):
+    where = str(tmp_path / "counted")
+    policy = Policy(KEEP_LAST, keys=("k",), month_column="d", dedup_first_load=True)
+    data = [(i, (JAN, FEB, None)[i % 3], "a") for i in range(30)]
+    land_with_policy(frame(spark, *data), where, policy)
+    parts = read_manifest(spark, where).parts
+    assert {m: p["rows"] for m, p in parts.items()} == {"2024-01": 10, "2024-02": 10, "none": 10}
+    # months nobody named are counted from their files
+    land(frame(spark, *data), where, "d")
+    assert {m: p["rows"] for m, p in read_manifest(spark, where).parts.items()} == {"2024-01": 10, "2024-02": 10, "none": 10}
+
+
+def test_nothing_is_left_of_an_empty_landing(spark, tmp_path):
+    where = tmp_path / "empty"
+    replace_snapshot(frame(spark, (1, JAN, "x")), str(where))
+    before = sorted(p.name for p in where.iterdir())
+    assert replace_snapshot(frame(spark, (1, JAN, "x")).where("k > 1"), str(where)) == 1
+    assert sorted(p.name for p in where.iterdir()) == before
+
+
+def test_superseded_versions_can_be_removed(spark, tmp_path):
+    from ringroster.sources.store import expire
+
+    where = tmp_path / "old"
+    assert expire(spark, str(where)) == []
+    policy = Policy(KEEP_LAST, keys=("k",), month_column="d", dedup_first_load=True)
+    for n in range(4):
+        land_with_policy(frame(spark, (1, JAN, f"a{n}"), (2 + n, FEB, "b")), str(where), policy)
+    (where / "v0000000009-dead").mkdir()
+    want = rows(load_history(spark, str(where)))
+    gone = expire(spark, str(where), keep=2)
+    assert "v0000000009-dead" in gone and rows(load_history(spark, str(where))) == want
+    assert len([p for p in (where / "manifests").glob("0*.json")]) == 2
+    kept = Policy(KEEP_LAST, keys=("k",), month_column="d", keep_versions=1)
+    land_with_policy(frame(spark, (1, MAR, "z")), str(where), kept)
+    assert len([p for p in (where / "manifests").glob("0*.json")]) == 1
+    assert rows(load_history(spark, str(where))) == sorted([r for r in want if r[0] != 1] + [(1, MAR, "z")], key=repr)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ringroster.functions import ColumnLike, as_column
 from ringroster.spool import spooled
@@ -49,37 +52,60 @@ def with_ordinal(
     return numbered if at_most is None else numbered.where(F.col(output) <= at_most)
 
 
-def _ranged(df: DataFrame, order: Sequence[ColumnLike]) -> DataFrame:
-    """Rows range-partitioned and sorted, each with its partition and position in it.
+def _ranged(df: DataFrame, order: Sequence[ColumnLike], running: str | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted, each with its partition and position in it and, if
+    asked for, the running sum of a column within the partition.
 
-    The positions are written out, so a rerun task cannot number rows differently.
+    They are written out, so a rerun task cannot number rows differently.
     """
     order = _columns(order)
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return spooled(placed.withColumn("_place", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_place", F.monotonically_increasing_id())
+    if running is not None:
+        placed = placed.withColumn("_running", _running_sum(df, running))
+    return spooled(placed)
 
 
-def _part() -> Column:
-    return F.shiftright(F.col("_place"), ROW_BITS)
+def _running_sum(df: DataFrame, c: str) -> Column:
+    """Sum of a column over the rows of a partition so far, none counting as 0.
+
+    Only this column passes through Python, in batches; a window would need another shuffle.
+    """
+    kind = df.schema[c].dataType
+    if isinstance(kind, T.IntegralType):
+        kind, zero = T.LongType(), F.lit(0)
+    elif isinstance(kind, T.DecimalType):
+        kind, zero = T.DecimalType(38, kind.scale), F.lit(0)
+    else:
+        kind, zero = T.DoubleType(), F.lit(0.0)
+
+    @F.pandas_udf(kind)
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        total = None
+        for part in parts:
+            sums = part.cumsum() if total is None else part.cumsum() + total
+            if len(sums):
+                total = sums.iloc[-1]
+            yield sums
+
+    return run.asNondeterministic()(F.coalesce(F.col(c).cast(kind), zero.cast(kind)))
+
 
+def _part() -> Column:
+    return F.shiftright(F.col("_place"), ROW_BITS).cast("int")
 
-def _offsets(ranged: DataFrame, measure: Column) -> DataFrame:
-    """Sum of `measure` before each partition, and over all: one row per partition."""
-    parts = ranged.groupBy(_part().alias("_offset_part")).agg(measure.alias("_sum"))
-    before = Window.orderBy("_offset_part").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.select(
-        "_offset_part",
-        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"),
-        F.sum("_sum").over(Window.partitionBy()).alias("_total"),
-    )
 
+def _offsets(ranged: DataFrame, measure: Column) -> tuple[Column, list]:
+    """Sum of `measure` before the partition of a row, and the sums of all partitions.
 
-def _with_offsets(ranged: DataFrame, measure: Column) -> DataFrame:
-    # bounded: never more rows than the range shuffle has partitions
-    offsets = F.broadcast(_offsets(ranged, measure))
-    return ranged.withColumn("_row_part", _part()).join(
-        offsets, F.col("_row_part") == F.col("_offset_part")
-    )
+    One number for each partition of the range shuffle comes to the driver, which bounds them.
+    """
+    sums = {r["p"]: r["s"] for r in ranged.groupBy(_part().alias("p")).agg(measure.alias("s")).collect()}
+    known = [sums.get(p) or 0 for p in range(max(sums, default=-1) + 1)]
+    if not known:
+        return F.lit(0), known
+    before = list(accumulate(known[:-1], initial=type(known[-1])(0)))
+    return F.element_at(F.array(*map(F.lit, before)), _part() + 1), known
 
 
 def with_global_row_number(
@@ -87,10 +113,9 @@ def with_global_row_number(
 ) -> DataFrame:
     """Number all rows from 1 in a total order, without moving them to one task."""
     ranged = _ranged(df, order)
+    before, _ = _offsets(ranged, F.count(F.lit(1)))
     inside = F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    return _with_offsets(ranged, F.count(F.lit(1))).select(
-        *df.columns, (F.col("_before") + inside + 1).alias(output)
-    )
+    return ranged.select(*df.columns, (before + inside + 1).alias(output))
 
 
 def row_number_over_agg(
@@ -104,14 +129,13 @@ def row_number_over_agg(
 def with_cumulative_pct(
     df: DataFrame, qty: str, order: Sequence[ColumnLike], output: str
 ) -> DataFrame:
-    """Running share of `qty` in percent, in a total order over all rows."""
-    joined = _with_offsets(_ranged(df, order), F.sum(qty))
-    running = F.sum(qty).over(
-        Window.partitionBy("_row_part")
-        .orderBy("_place")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return joined.withColumn("_running", running).select(
-        *df.columns,
-        ((F.col("_before") + F.col("_running")) / F.col("_total") * 100).alias(output),
-    )
+    """Running share of `qty` in percent, in a total order over all rows; NULL if all is 0.
+
+    Two levels: sums within the partitions of one range shuffle, and the sums before each
+    partition.
+    """
+    ranged = _ranged(df, order, qty)
+    before, sums = _offsets(ranged, F.sum(qty))
+    total = F.nullif(F.lit(float(sum(sums))), F.lit(0.0))
+    share = (before + F.col("_running")).cast("double") / total * 100
+    return ranged.select(*df.columns, share.alias(output))

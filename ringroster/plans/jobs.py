@@ -22,6 +22,7 @@ from ringroster.plans.calls_outcome import Flows
 from ringroster.sources.catalog import Catalog
 from ringroster.sources.policies import Policy, land_with_policy
 from ringroster.sources.store import load_history, replace_snapshot
+from ringroster.spool import spool_scope
 
 Sources = Mapping[str, DataFrame]
 
@@ -163,8 +164,9 @@ def run_job(
     settings: Settings | None = None,
 ) -> int:
     """Build one job and land it; return the row count of its dataset."""
-    rows = build_job(spark, name, catalog, period, settings)
-    return land_with_policy(rows, location, JOBS[name].policy)
+    with spool_scope(spark):
+        rows = build_job(spark, name, catalog, period, settings)
+        return land_with_policy(rows, location, JOBS[name].policy)
 
 
 def run_staff_master(

@@ -10,11 +10,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+_written: ContextVar[list[str] | None] = ContextVar("spooled", default=None)
+
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """Folder named by `spark.checkpoint.dir`.
@@ -35,13 +38,22 @@ def _write(df: DataFrame) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/spool-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    within = _written.get()
+    if within is not None:
+        within.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spooled(df: DataFrame) -> DataFrame:
     """The rows of `df`, written once and read back; later plans start from there.
 
-    The result is lazy, so the files stay for as long as the folder keeps them.
+    The result is lazy, so the files stay for as long as the folder keeps them, or to the end
+    of an enclosing `spool_scope`.
     """
     return _write(df)[0]
 
@@ -53,6 +65,17 @@ def spooling(df: DataFrame) -> Iterator[DataFrame]:
     try:
         yield rows
     finally:
-        spark = df.sparkSession
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(df.sparkSession, path)
+
+
+@contextmanager
+def spool_scope(spark: SparkSession) -> Iterator[None]:
+    """A block at whose end everything spooled in it is deleted, so results that rest on it
+    must have been written by then."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        for path in _written.get():
+            _delete(spark, path)
+        _written.reset(token)

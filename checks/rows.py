@@ -44,8 +44,9 @@ from ringroster.operators.filters import (
     in_instants,
     latest_snapshot,
     none_of,
+    one_of,
 )
-from ringroster.operators.joins import join_any_key, join_on_expr, semi_by_keys
+from ringroster.operators.joins import join_any_key, join_on_expr, join_roster, semi_by_keys
 from ringroster.operators.landing import first_load, merge_keep_first, merge_keep_last
 from ringroster.operators.ordering import sort_for_landing
 from ringroster.operators.projections import select_as
@@ -272,6 +273,44 @@ def latest(spark: SparkSession, folder: str) -> DataFrame:
     return newest.select(date_text("latest", "yyyy-MM-dd").alias("latest"))
 
 
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
+@check(
+    "collated_texts",
+    """
+    WITH p AS (
+        SELECT p_partkey, p_type, CASE p_partkey % 4 WHEN 0 THEN upper(p_brand) WHEN 1 THEN lower(p_brand) || '  '
+               WHEN 2 THEN p_brand || ' ' ELSE p_brand END AS brand FROM part
+    ), o AS (
+        SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN lower('Brand#' || c_custkey % 30)
+               ELSE 'BRAND#' || c_custkey % 30 || ' ' END AS wanted FROM customer
+    )
+    SELECT p_partkey, brand, c_custkey, replace(upper(p_type), 'STEEL', '') AS metal
+    FROM p JOIN o ON lower(rtrim(brand)) = lower(rtrim(wanted))
+    WHERE lower(rtrim(brand)) IN ('brand#1', 'brand#7', 'brand#12', 'brand#25')
+      AND lower(rtrim(brand)) <> 'brand#7'
+    """,
+)
+def collated_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Membership, inequality, replacement and a join that see neither case nor trailing blanks."""
+    written = """CASE p_partkey % 4 WHEN 0 THEN upper(p_brand) WHEN 1 THEN concat(lower(p_brand), '  ')
+                 WHEN 2 THEN concat(p_brand, ' ') ELSE p_brand END AS brand"""
+    parts = table(spark, folder, "part").selectExpr("p_partkey", "p_type", written)
+    parts = parts.where(
+        one_of("brand", ["BRAND#1", "brand#7 ", "Brand#12", "bRAND#25"], COLLATION)
+        & none_of("brand", ["BRAND#7  "], COLLATION)
+    )
+    wanted = """CASE c_custkey % 3 WHEN 0 THEN lower(concat('Brand#', c_custkey % 30))
+                ELSE concat('BRAND#', c_custkey % 30, ' ') END AS wanted"""
+    people = table(spark, folder, "customer").selectExpr("c_custkey", wanted)
+    joined = join_roster(parts, people, "brand", "wanted", COLLATION)
+    return joined.select(
+        "p_partkey", "brand", "c_custkey",
+        F.upper(remove_literal("p_type", "Steel", "UTF8_LCASE")).alias("metal"),
+    )
+
+
 @check(
     "exclude_lists",
     """

@@ -303,6 +303,30 @@ def headcount_kpis(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+SELECTIONS = {
+    "two years": headcount.Selection([2000, 2001]),
+    "one year": headcount.Selection([1999]),
+    "company": headcount.Selection([2000, 2001], "EMPRESA"),
+    "never": headcount.Selection([1900]),
+}
+
+
+@check(
+    "kpi_selections",
+    _STAFF
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS selection, {_kpis_sql(', '.join(map(str, chosen.years)))} FROM staff"
+        + (f" WHERE ORIGEM_DESLIGAMENTO = '{chosen.origin}'" if chosen.origin else "")
+        for name, chosen in SELECTIONS.items()
+    ),
+)
+def kpi_selections(spark: SparkSession, folder: str) -> DataFrame:
+    kpis = headcount.kpi_selections(headcount.cohort_cube(base(spark, folder)), SELECTIONS)
+    return kpis.withColumns(
+        {c: F.round(c, 6) for c in ("turnover_pct", "early_attrition_pct", "mean_months")}
+    )
+
+
 _COMPARED = (
     _STAFF
     + f"""

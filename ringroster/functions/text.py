@@ -18,8 +18,10 @@ def scrub_upper(c: ColumnLike) -> Column:
     return F.upper(F.trim(F.translate(as_column(c), "\u00a0\t\r\n", " ")))
 
 
-def remove_literal(c: ColumnLike, piece: str) -> Column:
-    return F.replace(as_column(c), F.lit(piece), F.lit(""))
+def remove_literal(c: ColumnLike, piece: str, collation: str | None = None) -> Column:
+    """Text without a piece, wherever it stands; under a collation in any case it allows."""
+    text = F.replace(collated(c, collation), F.lit(piece), F.lit(""))
+    return F.collate(text, "UTF8_BINARY") if collation else text
 
 
 def left_chars(c: ColumnLike, n: int) -> Column:
@@ -86,7 +88,8 @@ def null_if(c: ColumnLike, value: object) -> Column:
 
 
 def collated(c: ColumnLike, collation: str | None) -> Column:
-    """The column under a collation, for sources that compare case-insensitively."""
+    """The column under a collation, for sources that compare without regard to case or
+    trailing blanks. All comparisons with the column follow it."""
     c = as_column(c)
     return F.collate(c, collation) if collation else c
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringroster.functions import ColumnLike, as_column
+from ringroster.functions.text import collated
 from ringroster.period import Period
 
 
@@ -40,9 +41,15 @@ def from_day(df: DataFrame, c: ColumnLike, start: date) -> DataFrame:
     return df.where(as_column(c) >= F.lit(start))
 
 
-def none_of(c: ColumnLike, values: Iterable) -> Column:
+def one_of(c: ColumnLike, values: Iterable, collation: str | None = None) -> Column:
+    """IN, as the source compares: `UTF8_LCASE_RTRIM`, say, for neither case nor trailing
+    blanks."""
+    return collated(c, collation).isin(list(values))
+
+
+def none_of(c: ColumnLike, values: Iterable, collation: str | None = None) -> Column:
     """NOT IN: false for members, NULL for NULL."""
-    return ~as_column(c).isin(list(values))
+    return ~one_of(c, values, collation)
 
 
 def latest_snapshot(df: DataFrame, date_col: str) -> DataFrame:

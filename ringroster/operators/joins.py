@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringroster.functions import ColumnLike, as_column
-from ringroster.functions.text import key_text, norm_upper
+from ringroster.functions.text import collated, key_text, norm_upper
 from ringroster.operators.skew import (
     exact_left_join,
     spread_part,
@@ -187,7 +187,11 @@ def join_on_expr(
 
 
 def join_roster(
-    roster: DataFrame, register: DataFrame, roster_key: str, register_key: str
+    roster: DataFrame,
+    register: DataFrame,
+    roster_key: str,
+    register_key: str,
+    collation: str | None = None,
 ) -> DataFrame:
     """Inner join on both keys as text; both keys stay, a NULL key matches nothing."""
 
@@ -197,7 +201,8 @@ def join_roster(
         return df.withColumn(name, key_text(name, fractional))
 
     left, right = as_text(roster, roster_key), as_text(register, register_key)
-    return left.join(right, left[roster_key] == right[register_key], "inner")
+    same = collated(left[roster_key], collation) == collated(right[register_key], collation)
+    return left.join(right, same, "inner")
 
 
 def semi_by_keys(df: DataFrame, keys: DataFrame, key: str, keys_col: str) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringroster.operators.filters import in_days
+from ringroster.functions.text import collated
+from ringroster.operators.filters import in_days, one_of
 from ringroster.period import Period
 from ringroster.sources.policies import KEEP_FIRST, Policy
 
@@ -76,17 +77,22 @@ def general_calls(
     sources: Mapping[str, DataFrame],
     period: Period,
     operations: Sequence[str] = OPERATIONS,
+    calls_collation: str | None = None,
+    facts_collation: str | None = None,
 ) -> DataFrame:
-    """Calls of the period with facts of the chosen operations, 110 columns."""
+    """Calls of the period with facts of the chosen operations, 110 columns. Collations are
+    those by which the two sources compare texts."""
     calls = in_days(sources[CALLS], "DataHora", period.start, period.end).select(
         *[
             F.col(f"`{CALL_SOURCE_NAMES.get(c, c)}`").alias(f"t_{c}")
             for c in CALL_COLUMNS
         ]
     )
-    facts = sources[FACTS].where(F.col("OP").isin(list(operations)))
+    facts = sources[FACTS].where(one_of("OP", operations, facts_collation))
     facts = facts.select(
         *[F.col(f"`{FACT_SOURCE_NAMES.get(c, c)}`").alias(fact_output(c)) for c in FACT_COLUMNS]
     )
     # a condition on the facts removes calls without facts, so the join is inner
-    return calls.join(facts, calls.t_uniqueid == facts.d_linkedid, "inner")
+    collation = calls_collation or facts_collation
+    same = collated(calls.t_uniqueid, collation) == collated(facts.d_linkedid, collation)
+    return calls.join(facts, same, "inner")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,8 @@ from ringroster.operators.projections import select_existing, upper_columns
 
 HIRE_YEAR = "DT_ADMISSAO_ANO"
 EXIT_YEAR = "DT_DESLIGAMENTO_ANO"
+ORIGIN = "ORIGEM_DESLIGAMENTO"
+CUBE_KEYS = (HIRE_YEAR, EXIT_YEAR, ORIGIN)
 # Situations that count as active, the word that marks an exit, limits.
 ACTIVE_SITUATIONS = ("TRABALHANDO", "FÉRIAS", "ATESTADO MÉDICO INTEGRAL")
 EXIT_WORD = "DEMISSÃO"
@@ -49,6 +52,14 @@ DETAIL_COLUMNS = (
 )
 
 
+@dataclass(frozen=True)
+class Selection:
+    """Years, and the origin of exits if only one is wanted."""
+
+    years: Sequence[int]
+    origin: str | None = None
+
+
 def headcount_base(master: DataFrame, as_of: date | None = None) -> DataFrame:
     """The staff master with upper-case names, days and months of tenure and the years of
     hire and exit. Dates may be typed or day-first text."""
@@ -74,30 +85,60 @@ def headcount_base(master: DataFrame, as_of: date | None = None) -> DataFrame:
     )
 
 
-def _kpi_columns(years: Sequence[int], prefix: str = "") -> list[Column]:
-    """Aggregates of the people hired or leaving in `years`.
+def cohort_cube(base: DataFrame) -> DataFrame:
+    """People by year of hire, year of exit and origin of the exit: all that the KPIs of any
+    years and any origin need, in some thousand rows that may be landed.
 
     Exits are told by the situation text, not by the exit date.
     """
+    left = icontains("DS_SITUACAO", EXIT_WORD)
+    return base.groupBy(*CUBE_KEYS).agg(
+        F.count(F.lit(1)).alias("people"),
+        F.count_if(upper_in("DS_SITUACAO", ACTIVE_SITUATIONS)).alias("active"),
+        F.count_if(left).alias("exits"),
+        F.count_if(left & (F.col("DIAS_CASA") <= EARLY_DAYS)).alias("early_exits"),
+        F.sum("MESES_CASA").alias("months"),
+        F.count("MESES_CASA").alias("months_known"),
+    )
+
+
+def _kpi_columns(years: Sequence[int], prefix: str = "", origin: str | None = None) -> list[Column]:
+    """Aggregates over a cube, of the people hired or leaving in `years`."""
     inside = touches_years(years, HIRE_YEAR, EXIT_YEAR)
-    left = inside & icontains("DS_SITUACAO", EXIT_WORD)
-    volume, exits = F.count_if(inside), F.count_if(left)
-    early = F.count_if(left & (F.col("DIAS_CASA") <= EARLY_DAYS))
-    mean = F.when(volume > 0, F.avg(F.when(inside, F.col("MESES_CASA")))).otherwise(F.lit(0.0))
+    if origin is not None:
+        inside = inside & (F.col(ORIGIN) == origin)
+
+    def total(c: str) -> Column:
+        return F.coalesce(F.sum(F.when(inside, F.col(c))), F.lit(0))
+
+    volume, exits = total("people"), total("exits")
+    mean = total("months") / F.nullif(total("months_known"), F.lit(0))
     values = {
         "volume": volume,
-        "active": F.count_if(inside & upper_in("DS_SITUACAO", ACTIVE_SITUATIONS)),
+        "active": total("active"),
         "exits": exits,
         "turnover_pct": ratio_pct(exits, volume),
-        "early_attrition_pct": ratio_pct(early, exits),
-        "mean_months": mean,
+        "early_attrition_pct": ratio_pct(total("early_exits"), exits),
+        "mean_months": F.when(volume > 0, mean).otherwise(F.lit(0.0)),
     }
     return [value.alias(prefix + name) for name, value in values.items()]
 
 
 def headcount_kpis(base: DataFrame, years: Sequence[int]) -> DataFrame:
     """The six KPIs of the chosen years, in one row."""
-    return base.agg(*_kpi_columns(years))
+    return cohort_cube(base).agg(*_kpi_columns(years))
+
+
+def kpi_selections(cube: DataFrame, selections: Mapping[str, Selection]) -> DataFrame:
+    """The KPIs of several selections of years, each of one origin or of all, one row for each
+    by its name; the cube is read once."""
+    picked = cube.agg(
+        *[
+            F.struct(F.lit(name).alias("selection"), *_kpi_columns(chosen.years, "", chosen.origin)).alias(f"s{i}")
+            for i, (name, chosen) in enumerate(selections.items())
+        ]
+    )
+    return picked.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(selections))])))
 
 
 def previous_years(years: Sequence[int]) -> list[int]:
@@ -106,8 +147,8 @@ def previous_years(years: Sequence[int]) -> list[int]:
 
 
 def kpi_compare(base: DataFrame, years: Sequence[int]) -> DataFrame:
-    """Each KPI beside its value in the previous years; both come from one pass."""
-    both = base.agg(
+    """Each KPI beside its value in the previous years; both come from one cube."""
+    both = cohort_cube(base).agg(
         *_kpi_columns(years, "now_"), *_kpi_columns(previous_years(years), "before_")
     )
     rows = [

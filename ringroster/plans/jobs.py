@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 from functools import partial
 
@@ -29,7 +29,11 @@ Sources = Mapping[str, DataFrame]
 
 @dataclass(frozen=True)
 class Settings:
-    """What differs between installations: names of clients, operations and IVR flows."""
+    """What differs between installations: names of clients, operations and IVR flows.
+
+    `collations` says by which collation a source compares texts, by its name in the catalog;
+    `collation` is that of all others.
+    """
 
     outcome_cost_prefix: str = ""
     outcome_flows: Flows = Flows("", "")
@@ -37,8 +41,12 @@ class Settings:
     register_operations: tuple[str, ...] = ()
     currency: str = "R$"
     collation: str | None = None
+    collations: Mapping[str, str | None] = field(default_factory=dict)
     roster_location: str | None = None
 
+    def collation_of(self, source: str) -> str | None:
+        return self.collations.get(source, self.collation)
+
 
 @dataclass(frozen=True)
 class Job:
@@ -62,7 +70,7 @@ def _outcome(sources: Sources, period: Period, settings: Settings) -> DataFrame:
         period,
         settings.outcome_cost_prefix,
         settings.outcome_flows,
-        settings.collation,
+        settings.collation_of(calls_outcome.SOURCES[0]),
     )
 
 
@@ -70,7 +78,7 @@ def _detail(sources: Sources, period: Period, settings: Settings) -> DataFrame:
     # agent legs never land, so neither they nor their queue legs are looked up
     legs = calls_detail.calls_legs(sources, period, calls_detail.CONTACT_KINDS)
     return calls_detail.calls_detail(
-        legs, settings.detail_cost_contains, settings.currency, settings.collation
+        legs, settings.detail_cost_contains, settings.currency, settings.collation_of("custo")
     )
 
 
@@ -79,7 +87,9 @@ def _punches(sources: Sources, period: Period, settings: Settings) -> DataFrame:
         spark = sources[workforce.PUNCHES].sparkSession
         roster = load_history(spark, settings.roster_location)
     elif workforce.ROSTER in sources:
-        roster = workforce.operational_roster(sources[workforce.ROSTER])
+        roster = workforce.operational_roster(
+            sources[workforce.ROSTER], collation=settings.collation_of(workforce.ROSTER)
+        )
     else:
         raise KeyError("punches need the roster's source or its landed dataset")
     return workforce.punches_raw(sources, roster, period.start)
@@ -91,7 +101,12 @@ JOBS: dict[str, Job] = {
         Job(
             "calls_general",
             (calls_general.CALLS, calls_general.FACTS),
-            lambda s, p, _: calls_general.general_calls(s, p),
+            lambda s, p, o: calls_general.general_calls(
+                s,
+                p,
+                calls_collation=o.collation_of(calls_general.CALLS),
+                facts_collation=o.collation_of(calls_general.FACTS),
+            ),
             calls_general.POLICY,
         ),
         Job("calls_outcome", calls_outcome.SOURCES, _outcome, calls_outcome.POLICY),
@@ -101,21 +116,25 @@ JOBS: dict[str, Job] = {
             "quality",
             (quality.SOURCE,),
             lambda s, p, o: quality.quality_evaluations(
-                s[quality.SOURCE], p, collation=o.collation
+                s[quality.SOURCE], p, collation=o.collation_of(quality.SOURCE)
             ),
             quality.POLICY,
         ),
         Job(
             "roster",
             (workforce.ROSTER,),
-            lambda s, p, _: workforce.operational_roster(s[workforce.ROSTER]),
+            lambda s, p, o: workforce.operational_roster(
+                s[workforce.ROSTER], collation=o.collation_of(workforce.ROSTER)
+            ),
             workforce.SNAPSHOT_POLICY,
         ),
         Job(
             "register",
             (workforce.REGISTER,),
             lambda s, p, o: workforce.hr_register(
-                s[workforce.REGISTER], o.register_operations
+                s[workforce.REGISTER],
+                o.register_operations,
+                collation=o.collation_of(workforce.REGISTER),
             ),
             workforce.SNAPSHOT_POLICY,
         ),
@@ -151,8 +170,9 @@ def build_job(
     if missing:
         raise KeyError(f"job {name} lacks the sources {missing}")
     wanted = [*job.sources, *[s for s in job.optional if s in catalog]]
-    sources = {s: catalog.read(spark, s) for s in wanted}
-    return job.build(sources, period or month_to_date(), settings or Settings())
+    period = period or month_to_date()
+    sources = {s: catalog.read(spark, s, period) for s in wanted}
+    return job.build(sources, period, settings or Settings())
 
 
 def run_job(

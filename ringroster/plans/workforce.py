@@ -30,7 +30,7 @@ from ringroster.functions.durations import (
 )
 from ringroster.functions.text import norm_upper
 from ringroster.operators.aggregates import pivot_ordinals
-from ringroster.operators.filters import from_day, in_days, latest_snapshot, none_of
+from ringroster.operators.filters import from_day, in_days, latest_snapshot, none_of, one_of
 from ringroster.operators.joins import join_roster, semi_by_keys
 from ringroster.operators.ordering import order_desc, preview
 from ringroster.period import Period
@@ -103,6 +103,7 @@ def operational_roster(
     roster: DataFrame,
     excluded_titles: Sequence[str] = EXCLUDED_TITLES,
     excluded_tax_ids: Sequence[int] = EXCLUDED_TAX_IDS,
+    collation: str | None = None,
 ) -> DataFrame:
     """Newest roster day without excluded titles and placeholder tax ids, distinct.
 
@@ -110,7 +111,7 @@ def operational_roster(
     before normalisation; a NULL title or tax id is left out.
     """
     staff = latest_snapshot(roster, "dt_quadro_dia").where(
-        none_of("cd_cpf", excluded_tax_ids) & none_of("tx_cargo", excluded_titles)
+        none_of("cd_cpf", excluded_tax_ids) & none_of("tx_cargo", excluded_titles, collation)
     )
     return staff.select(
         *[norm_upper(c).alias(c) if c in ROSTER_NORMALISED else F.col(c) for c in ROSTER_COLUMNS]
@@ -121,10 +122,12 @@ def hr_register(
     register: DataFrame,
     operations: Sequence[str],
     excluded_title: str = EXCLUDED_REGISTER_TITLE,
+    collation: str | None = None,
 ) -> DataFrame:
     """Register entries of the operations, without one job title."""
     staff = register.where(
-        F.col("DS_OPERACAO").isin(list(operations)) & (F.col("DS_FUNCAO") != excluded_title)
+        one_of("DS_OPERACAO", operations, collation)
+        & none_of("DS_FUNCAO", [excluded_title], collation)
     )
     return staff.select(
         *[F.upper(c).alias(c) if c in REGISTER_UPPER else F.col(c) for c in REGISTER_COLUMNS],

@@ -17,11 +17,15 @@ from ringroster.spool import checkpoint_folder
 WORD = r"[^\x20\x09-\x0D]+"
 END_OF_DOCUMENT = 1
 TOKENIZER = "word_bpe_49k.json"
-GROUP = 4 << 20  # characters
-MEMO = 400_000  # entries of a worker's word memo before it starts afresh
+GROUP = 8 << 20  # characters
+MEMO = 400_000  # newest pieces that a worker remembers, and as many of before
+LINE = 200  # words encoded as one text
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
-_token_memo: dict[str, dict[bytes, bytes]] = {}
+_token_memo: dict[str, Memo] = {}
+_ends: dict[str, np.ndarray] = {}
+# ASCII marks that never join what stands before them; an apostrophe may
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 _tokenizers: dict[str, object] = {}
 
 
@@ -99,6 +103,8 @@ def _byte_values(lower: bool) -> np.ndarray:
 
 
 _WHITE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_MARK = np.isin(np.arange(256), list(_MARKS))
+_ASCII_LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
 ALNUM_GAP = ~np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)])
 _VALUES = {lower: _byte_values(lower) for lower in (True, False)}
 _PLACES = np.random.default_rng(2).integers(1, 1 << 63, 4096, dtype=np.uint64) | np.uint64(1)
@@ -179,35 +185,140 @@ def _tokenizer(path: str):
 def token_bytes(texts: Iterable[str | None], path: str) -> Iterator[bytes]:
     """Ids of each text and the end id, as little-endian unsigned 32-bit integers.
 
-    No step of this tokenizer looks across ASCII white space, so words are encoded once
-    and remembered (up to about MEMO of them per worker). New words are encoded together,
-    for GROUP characters of text at a time.
+    No step of this tokenizer looks across ASCII white space, so words are encoded apart. For
+    GROUP characters of text at a time their different words are found, encoded or remembered,
+    and the ids gathered from these, so nothing is done word by word for all words of a text.
     """
-    group: list[list[bytes]] = []
+    group: list[bytes] = []
     size = 0
     for text in texts:
         data = (text or "").encode()
         # the tokenizer lowers case itself, but special tokens are found before that
-        group.append((data if b"<|" in data else data.lower()).split())
+        group.append(data if b"<|" in data else data.lower())
         size += len(text or "")
         if size > GROUP:
             yield from _encoded(group, path)
             group, size = [], 0
-    yield from _encoded(group, path)
-
-
-def _encoded(group: list[list[bytes]], path: str) -> Iterator[bytes]:
-    memo = _token_memo.setdefault(path, {})
-    if len(memo) > MEMO:
-        memo.clear()
-    new = list({w for words in group for w in words if w not in memo})
-    for i in range(0, len(new), 10_000):
-        part = new[i : i + 10_000]
-        found = _tokenizer(path).encode_batch_fast(
-            [w.decode() for w in part], add_special_tokens=False
-        )
-        for w, e in zip(part, found, strict=True):
-            memo[w] = array("I", e.ids).tobytes()
+    if group:
+        yield from _encoded(group, path)
+
+
+def _encoded(group: list[bytes], path: str) -> Iterator[bytes]:
+    """Pieces of the words of a group of texts, encoded, and the ids of each text.
+
+    ASCII letters and the ASCII marks after them are pieces of their own, as the tokenizer
+    never joins them, so a word is remembered once whatever stands after it. Other words stay
+    whole, as a mark in them may belong to a contraction or a special token.
+    """
+    data = np.frombuffer(b"\n".join([*group, b""]), np.uint8)
+    gap = np.concatenate(([True], _WHITE[data]))
+    first = np.flatnonzero(gap[:-1] & ~gap[1:])
+    last = np.flatnonzero(~gap[:-1] & gap[1:])
+    kept = np.ascontiguousarray(data[~gap[1:]])
+    bounds = np.concatenate(([0], np.cumsum(last - first)))
+    if len(first):
+        place = np.arange(1, len(kept) + 1)
+        cut = np.maximum(np.maximum.reduceat(np.where(_MARK[kept], 0, place), bounds[:-1]), bounds[:-1])
+        odd = np.concatenate(([0], np.cumsum(~_ASCII_LETTER[kept])))
+        parted = (cut > bounds[:-1]) & (cut < bounds[1:]) & (odd[cut] == odd[bounds[:-1]])
+    else:
+        cut, parted = first, np.empty(0, bool)
+    bounds = np.sort(np.concatenate([bounds, cut[parted]])).astype("<i8")
+    buffers = [None, pa.py_buffer(bounds), pa.py_buffer(kept)]
+    words = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).dictionary_encode()
+    memo = _token_memo.setdefault(path, Memo())
+    ids = pa.array(memo.ids_of(words.dictionary.to_pylist(), path), pa.large_binary()).take(words.indices)
+    _, ends, found = ids.buffers()
+    ends = np.frombuffer(ends, "<i8")[ids.offset : ids.offset + len(ids) + 1]
+    found = memoryview(found) if found is not None else memoryview(b"")
+    stops = np.cumsum([len(t) + 1 for t in group])  # of the texts in the data
+    n = np.concatenate(([0], np.searchsorted(first, stops)))
+    at = ends[n + np.concatenate(([0], np.cumsum(parted)))[n]]
     end = array("I", [END_OF_DOCUMENT]).tobytes()
-    for words in group:
-        yield b"".join(map(memo.__getitem__, words)) + end
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        yield bytes(found[a:b]) + end
+
+
+def _letters(piece: bytes) -> bool:
+    """Whether a piece, in lower case too, has letters only."""
+    return piece.isalpha() or (not piece.isascii() and piece.decode().lower().isalpha())
+
+
+class Memo(dict):
+    """Ids of pieces of text, at most twice MEMO of them: the newest and those of before.
+
+    When there are MEMO new ones, those of before are forgotten; what is met again is kept.
+    """
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.before: dict[bytes, bytes] = {}
+
+    def ids_of(self, pieces: list[bytes], path: str) -> list[bytes]:
+        """Ids of each of different pieces."""
+        out = list(map(self.get, pieces))
+        missing = [p for p, ids in zip(pieces, out, strict=True) if ids is None]
+        if not missing:
+            return out
+        if len(self) > MEMO:
+            self.before = dict(self)
+            self.clear()
+        self._learn(missing, path)
+        return [self[p] if ids is None else ids for p, ids in zip(pieces, out, strict=True)]
+
+    def _learn(self, pieces: list[bytes], path: str) -> None:
+        letters, others, parted = [], [], []
+        for piece in pieces:
+            known = self.before.get(piece)
+            if known is not None:
+                self[piece] = known
+            elif _letters(piece):
+                letters.append(piece)
+            elif piece.isascii() or b"<|" in piece:
+                others.append(piece)
+            else:  # letters beyond ASCII, and marks after them
+                core = piece.rstrip(_MARKS)
+                if len(core) < len(piece) and core and _letters(core):
+                    parted.append((piece, core, piece[len(core) :]))
+                else:
+                    others.append(piece)
+        if parted:
+            ends = list({x for _, *part in parted for x in part if x not in self})
+            self._learn(ends, path)
+            for piece, core, tail in parted:
+                self[piece] = self[core] + self[tail]
+        letters = [p for p in letters if p not in self]
+        for i in range(0, len(letters), LINE * 50):
+            lines = [letters[j : j + LINE] for j in range(i, min(i + LINE * 50, len(letters)), LINE)]
+            texts = [b" ".join(line).decode() for line in lines]
+            for line, found in zip(lines, _batch(texts, path), strict=True):
+                self._split(line, np.array(found, "<u4"), path)
+        for i in range(0, len(others), 10_000):
+            part = others[i : i + 10_000]
+            for piece, found in zip(part, _batch([p.decode() for p in part], path), strict=True):
+                self[piece] = array("I", found).tobytes()
+
+    def _split(self, line: list[bytes], ids: np.ndarray, path: str) -> None:
+        """Ids of a line of words; a word ends with a token that is marked so."""
+        stops = np.flatnonzero(_word_ends(path)[ids]) + 1
+        if len(stops) == len(line) and stops[-1] == len(ids):
+            data, a = ids.tobytes(), 0
+            for piece, b in zip(line, (4 * stops).tolist(), strict=True):
+                self[piece] = data[a:b]
+                a = b
+        else:  # a letter that becomes several characters in lower case
+            for piece, found in zip(line, _batch([p.decode() for p in line], path), strict=True):
+                self[piece] = array("I", found).tobytes()
+
+
+def _batch(texts: list[str], path: str) -> list[list[int]]:
+    return [e.ids for e in _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _word_ends(path: str) -> np.ndarray:
+    """Of each id, whether its token ends a word."""
+    if path not in _ends:
+        vocabulary = _tokenizer(path).get_vocab(with_added_tokens=True)
+        _ends[path] = np.zeros(max(vocabulary.values()) + 1, bool)
+        _ends[path][[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    return _ends[path]

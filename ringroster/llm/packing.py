@@ -24,8 +24,9 @@ from ringroster.llm.common import ranked, texts_of, token_bytes, tokenizer_path
 from ringroster.spool import spooled
 
 WINDOW = 2048
-DEPTH_THREE = 200_000  # combinations of three lengths; see combinations()
 STEPS = 150
+CLOSE = 1e-3  # residual, as a share of the counts, at which solving ends
+TURNS = 12
 PIECES = (
     "doc_id long, row long, start long, length int, ids binary, ids_crc32 long, doc_tokens long"
 )
@@ -68,12 +69,8 @@ def _piece_batch(out: list[tuple]) -> pa.RecordBatch:
 
 
 def combinations(counts: np.ndarray) -> np.ndarray:
-    """Combinations of up to three present lengths that fill the window; 0 pads a pair.
-
-    All pairs, and all triples unless they exceed DEPTH_THREE; then the triples of which
-    the rarest length is most frequent, as they can be repeated most often. Only how the
-    window is filled depends on it, never which pieces are placed.
-    """
+    """Combinations of up to three present lengths that fill the window; 0 pads a pair. A
+    window of 2048 has at most some 350,000."""
     window = len(counts) - 1
     there = np.flatnonzero(counts[:window])
     there = there[there > 0]
@@ -88,67 +85,78 @@ def combinations(counts: np.ndarray) -> np.ndarray:
         if len(b):
             triples.append(np.stack([a, b, np.full_like(b, c)], 1))
     if triples:
-        found = np.concatenate(triples)
-        if len(found) > DEPTH_THREE:
-            best = np.argpartition(-counts[found].min(1), DEPTH_THREE)[:DEPTH_THREE]
-            found = found[np.sort(best)]
-        rows.append(found)
+        rows += triples
     return np.concatenate(rows)
 
 
 def least_squares(combos: np.ndarray, counts: np.ndarray, steps: int = STEPS) -> np.ndarray:
     """Repeat counts x >= 0 that minimise |A x - counts|, by accelerated projected gradient.
 
-    A counts each length in each combination. The step is bounded by the largest absolute
-    row sum times the largest column sum of A.
+    A counts each length in each combination. A length's miss is weighed by one over the
+    combinations it is in, so the step need only be bounded by the largest column sum of A, not
+    by the busiest length. Lengths in no combination cannot be met, so what they miss does not
+    count; the rest is met to CLOSE, or as near as `steps` come.
     """
     width = len(counts)
     flat = combos.ravel()
-    each = (combos > 0).sum(1).max(initial=1)
-    degree = np.bincount(flat, minlength=width)[1:].max(initial=1)
-    rate = 1.0 / (each * degree)
+    degree = np.bincount(flat, minlength=width).astype(float)
+    degree[0] = 0
+    weight = np.divide(1.0, degree, out=np.zeros(width), where=degree > 0)
+    rate = 1.0 / (combos > 0).sum(1).max(initial=1)
     scale = max(1.0, counts.max(initial=1))
     goal = counts / scale
+    enough = CLOSE * goal[weight > 0].sum()
     x = np.zeros(len(combos))
     ahead, t = x.copy(), 1.0
     for _ in range(steps):
         got = np.bincount(flat, np.repeat(ahead, 3), minlength=width)
-        miss = got - goal
-        miss[0] = 0
-        new = np.maximum(ahead - rate * miss[combos].sum(1), 0)
+        miss = np.where(weight > 0, got - goal, 0)
+        if np.abs(miss).sum() <= enough:
+            return ahead * scale
+        new = np.maximum(ahead - rate * (weight * miss)[combos].sum(1), 0)
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        ahead = new + (t - 1) / t2 * (new - x)
+        ahead = np.maximum(new + (t - 1) / t2 * (new - x), 0)
         x, t = new, t2
     return x * scale
 
 
 def solve(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns (lengths, repeats) that use every counted piece exactly once."""
+    """Patterns (lengths, repeats) that use every counted piece exactly once; those of least
+    squares, or of best fit alone where that needs fewer sequences."""
+    fitted, plain = rounded(counts), greedy(counts.astype(np.int64))
+    return min(fitted, plain, key=lambda patterns: sum(times for _, times in patterns))
+
+
+def rounded(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
+    """Repeat counts by least squares, made whole in turns.
+
+    Each turn takes the combinations with the largest counts, as whole numbers, until half of
+    the pieces are used, and solves again for the pieces left, so what rounding does to one
+    length the next solution repairs. The pieces left at the end are packed by best fit.
+    """
     left = counts.astype(np.int64).copy()
     window = len(left) - 1
     patterns: list[tuple[tuple[int, ...], int]] = []
-
-    def use(lengths: tuple[int, ...], times: int) -> None:
-        for n in lengths:
-            left[n] -= times
-        patterns.append((lengths, times))
-
     if left[window]:
-        use((window,), int(left[window]))
-    combos = combinations(left)
-    if len(combos):
+        patterns.append(((window,), int(left[window])))
+        left[window] = 0
+    for _ in range(TURNS):
+        combos = combinations(left)
+        if not len(combos):
+            break
         x = least_squares(combos, left)
-        near = np.flatnonzero(x > 1e-3)
-        for up in (False, True):  # whole parts first, then a rounding up where pieces are left
-            order = near[np.argsort(-(x - np.floor(x))[near], kind="stable")] if up else near
-            for i in order:
-                lengths = tuple(int(n) for n in combos[i] if n)
-                need = np.bincount(lengths)
-                kinds = np.flatnonzero(need)
-                most = int((left[kinds] // need[kinds]).min())
-                times = min(most, 1 if up else int(x[i]))
-                if times > 0:
-                    use(lengths, times)
+        room = int(left.sum()) / 2
+        for i in np.argsort(-x, kind="stable").tolist():
+            lengths = tuple(int(n) for n in combos[i] if n)
+            most = min(int(left[n]) // lengths.count(n) for n in lengths)
+            times = min(most, max(1, int(x[i])))
+            if times > 0:
+                for n in lengths:
+                    left[n] -= times
+                patterns.append((lengths, times))
+                room -= times * len(lengths)
+                if room <= 0:
+                    break
     return patterns + greedy(left)
 
 

@@ -408,3 +408,58 @@ def test_lm_scores_use_the_true_word_before(spark, monkeypatch):
         t = tokens[r.doc_id]
         p = [(two[a, b] / max(context[a], 1) + one[b] / n + 1 / (len(one) + 1)) / 3 for a, b in zip([None, *t], t)]
         assert r.score == pytest.approx(sum(map(math.log10, p)))
+
+
+def test_distinct_pieces_encode_as_whole_texts_do():
+    """Texts in which marks, contractions, special tokens and odd letters meet."""
+    rng = np.random.default_rng(21)
+    marks = list("abcXYZ'.,!<|>é—İ \n\t12²漢́ßǅ")
+    texts = ["".join(rng.choice(marks, int(rng.integers(0, 50)))) for _ in range(3000)]
+    texts += [
+        None, "", " \n", "it's dogs' it'. x'.y don't.won't ''s", "(the) \"quoted\"... a—. b….", "x<|endoftext|>. <|x",
+        "İstanbul, İ. ÇĞ", "İ" * 300 + " abc", "Русский, текст! العربية، नमस्ते.", "a" * 5000, "ab." * 3000, LONG,
+    ]
+    tokenizer = encoder()
+    got = list(common.token_bytes(texts, common.tokenizer_path()))
+    assert got == [np.array(ids_of(tokenizer, t), "<u4").tobytes() for t in texts]
+
+
+def test_memo_forgets_without_losing(monkeypatch):
+    monkeypatch.setattr(common, "MEMO", 50)
+    monkeypatch.setattr(common, "GROUP", 200)
+    common._token_memo.clear()
+    rng = np.random.default_rng(22)
+    texts = [" ".join(f"w{chr(97 + i % 26)}{'x' * (i % 9)}." for i in rng.integers(0, 900, 30)) for _ in range(60)]
+    tokenizer = encoder()
+    got = list(common.token_bytes(texts, common.tokenizer_path()))
+    assert got == [np.array(ids_of(tokenizer, t), "<u4").tobytes() for t in texts]
+    memo = common._token_memo.pop(common.tokenizer_path())
+    assert len(memo.before) <= len({w for t in texts for w in t.split()})
+
+
+def test_even_lengths_are_packed_full():
+    rng = np.random.default_rng(23)
+    for window, most in ((512, 3), (2048, 30)):
+        counts = np.concatenate(([0], rng.poisson(most, window)))
+        patterns = packing.solve(counts)
+        used = np.zeros(window + 1, np.int64)
+        for lengths, times in patterns:
+            assert sum(lengths) <= window
+            for n in lengths:
+                used[n] += times
+        assert (used == counts).all()
+        sequences = sum(times for _, times in patterns)
+        assert sequences <= sum(times for _, times in packing.greedy(counts))
+        if window == 2048:
+            assert (counts * np.arange(window + 1)).sum() / (window * sequences) > 0.995
+
+
+def test_least_squares_meets_what_can_be_met():
+    rng = np.random.default_rng(24)
+    combos = packing.combinations(np.concatenate(([0], np.ones(64, np.int64))))
+    x = np.where(rng.random(len(combos)) < 0.1, rng.integers(1, 90, len(combos)), 0)
+    goal = np.bincount(combos.ravel(), np.repeat(x, 3), minlength=65).astype(float)
+    goal[0] = 0
+    found = packing.least_squares(combos, goal, 4000)
+    got = np.bincount(combos.ravel(), np.repeat(found, 3), minlength=65)
+    assert (found >= 0).all() and np.abs(got - goal)[1:].sum() < 0.01 * goal.sum()

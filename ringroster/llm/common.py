@@ -210,19 +210,14 @@ def _encoded(group: list[bytes], path: str) -> Iterator[bytes]:
     never joins them, so a word is remembered once whatever stands after it. Other words stay
     whole, as a mark in them may belong to a contraction or a special token.
     """
-    data = np.frombuffer(b"\n".join([*group, b""]), np.uint8)
-    gap = np.concatenate(([True], _WHITE[data]))
-    first = np.flatnonzero(gap[:-1] & ~gap[1:])
-    last = np.flatnonzero(~gap[:-1] & gap[1:])
-    kept = np.ascontiguousarray(data[~gap[1:]])
+    data = np.frombuffer(b"\n".join([b"", *group, b""]), np.uint8)
+    gap = _WHITE[data]
+    turn = np.flatnonzero(gap[1:] != gap[:-1])  # before the first and at the last byte of a word
+    first, last = turn[::2], turn[1::2]
+    kept = data[~gap]
     bounds = np.concatenate(([0], np.cumsum(last - first)))
-    if len(first):
-        place = np.arange(1, len(kept) + 1)
-        cut = np.maximum(np.maximum.reduceat(np.where(_MARK[kept], 0, place), bounds[:-1]), bounds[:-1])
-        odd = np.concatenate(([0], np.cumsum(~_ASCII_LETTER[kept])))
-        parted = (cut > bounds[:-1]) & (cut < bounds[1:]) & (odd[cut] == odd[bounds[:-1]])
-    else:
-        cut, parted = first, np.empty(0, bool)
+    cut = _cuts(kept, bounds)
+    parted = cut > bounds[:-1]
     bounds = np.sort(np.concatenate([bounds, cut[parted]])).astype("<i8")
     buffers = [None, pa.py_buffer(bounds), pa.py_buffer(kept)]
     words = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).dictionary_encode()
@@ -239,6 +234,25 @@ def _encoded(group: list[bytes], path: str) -> Iterator[bytes]:
         yield bytes(found[a:b]) + end
 
 
+def _cuts(kept: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where marks begin that end a word of ASCII letters; the word's start if it has none."""
+    starts, ends = bounds[:-1], bounds[1:]
+    cut = starts.copy()
+    at = np.flatnonzero(_MARK[kept[ends - 1]]) if len(starts) else starts
+    if not len(at):
+        return cut
+    others = np.add.reduceat(~_ASCII_LETTER[kept], starts, dtype=np.int32)[at]
+    place = ends[at] - 1
+    going = np.arange(len(at))
+    while len(going):  # one step for each mark of the longest run
+        going = going[place[going] > starts[at[going]]]
+        going = going[_MARK[kept[place[going] - 1]]]
+        place[going] -= 1
+    whole = ends[at] - place == others  # nothing but letters before the marks
+    cut[at[whole]] = place[whole]
+    return cut
+
+
 def _letters(piece: bytes) -> bool:
     """Whether a piece, in lower case too, has letters only."""
     return piece.isalpha() or (not piece.isascii() and piece.decode().lower().isalpha())
@@ -267,12 +281,16 @@ class Memo(dict):
         return [self[p] if ids is None else ids for p, ids in zip(pieces, out, strict=True)]
 
     def _learn(self, pieces: list[bytes], path: str) -> None:
-        letters, others, parted = [], [], []
+        before = self.before
+        if before:
+            self.update((p, before[p]) for p in pieces if p in before)
+            pieces = [p for p in pieces if p not in before]
+        letters = [p for p in pieces if p.isalpha()]
+        others, parted = [], []
         for piece in pieces:
-            known = self.before.get(piece)
-            if known is not None:
-                self[piece] = known
-            elif _letters(piece):
+            if piece.isalpha():
+                continue
+            if _letters(piece):
                 letters.append(piece)
             elif piece.isascii() or b"<|" in piece:
                 others.append(piece)
@@ -282,12 +300,6 @@ class Memo(dict):
                     parted.append((piece, core, piece[len(core) :]))
                 else:
                     others.append(piece)
-        if parted:
-            ends = list({x for _, *part in parted for x in part if x not in self})
-            self._learn(ends, path)
-            for piece, core, tail in parted:
-                self[piece] = self[core] + self[tail]
-        letters = [p for p in letters if p not in self]
         for i in range(0, len(letters), LINE * 50):
             lines = [letters[j : j + LINE] for j in range(i, min(i + LINE * 50, len(letters)), LINE)]
             texts = [b" ".join(line).decode() for line in lines]
@@ -297,6 +309,12 @@ class Memo(dict):
             part = others[i : i + 10_000]
             for piece, found in zip(part, _batch([p.decode() for p in part], path), strict=True):
                 self[piece] = array("I", found).tobytes()
+        if parted:
+            asked = set(pieces)
+            ends = {x for _, *part in parted for x in part if x not in self and x not in asked}
+            self._learn(list(ends), path)
+            for piece, core, tail in parted:
+                self[piece] = self[core] + self[tail]
 
     def _split(self, line: list[bytes], ids: np.ndarray, path: str) -> None:
         """Ids of a line of words; a word ends with a token that is marked so."""

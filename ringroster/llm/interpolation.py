@@ -11,7 +11,8 @@ list of words. The distinct pairs of neighbours and the distinct words of each c
 counted over all chunks by one shuffle: their 64-bit hashes are cut into ranges, as many as
 the input needs, and a chunk sends each range one row of hashes with its own counts. The
 totals return to their chunks in the same order. As each chunk sends a pair once at most,
-no pair or word makes a range larger than others.
+no pair or word makes a range larger than others. A row holds one hash at least, so there are
+never more rows than different pairs and words in the chunks.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from ringroster.llm.common import compact, mixed, part_count, texts_of, word_hashes
 
-CHUNK_TOKENS = 3 << 19
-RANGE_KEYS = 2_000_000  # hashes of all chunks in one range, about
+CHUNK_TOKENS = 3 << 18
+RANGE_KEYS = 1_000_000  # hashes of all chunks in one range, about
 BUCKETS = 24  # of context frequency, by powers of four
 TURNS = 60
 SCALE = 32  # steps of a power of e in the table of held-out counts
@@ -114,13 +115,14 @@ class Chunk:
         rank = np.empty(len(own), np.int64)
         rank[order] = np.arange(len(own))
         self.words = own[order]
-        self.tokens = rank[from_planes(tokens)]
-        code = np.roll(self.tokens, 1) * len(own) + self.tokens
+        self.tokens = rank[from_planes(tokens)].astype(np.int32)
+        code = np.roll(self.tokens, 1).astype(np.int64) * len(own) + self.tokens
         code, place = np.unique(code, return_inverse=True)
-        before, last = code // len(own), code % len(own)
+        place = place.astype(np.int32)
+        before, last = (code // len(own)).astype(np.int32), (code % len(own)).astype(np.int32)
         keys = mixed(mixed(self.words[before]) + self.words[last])
         order = np.argsort(keys)
-        rank = np.empty(len(keys), np.int64)
+        rank = np.empty(len(keys), np.int32)
         rank[order] = np.arange(len(keys))
         self.pairs, self.before, self.last, self.places = keys[order], before[order], last[order], rank[place]
         outs, gone = np.asarray(outs, bool), np.asarray(gone, bool)
@@ -135,24 +137,30 @@ class Chunk:
         return np.bincount(at[self.kind == of], minlength=len(self.keys(kind)))
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+    """Values of one row at a time; a batch may hold many chunks, which are not opened at once."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield [column[i].as_py() for column in batch.columns]
+
+
 def sent(chunks: DataFrame, ranges: int) -> DataFrame:
     """kind, range, chunk, keys (differences of rising hashes), kept and deleted counts."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk, *values in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                own = Chunk(*values)
-                for kind in (PAIR, WORD):
-                    keys, kept, gone = own.keys(kind), own.counts(kind, 0), own.counts(kind, 1)
-                    part = ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-                    used, at = np.unique(part, return_index=True)
-                    cuts = [slice(a, b) for a, b in zip(at, [*at[1:], len(keys)], strict=True)]
-                    columns = [
-                        pa.array([kind] * len(used), pa.int32()), pa.array(used, pa.int64()), pa.array([chunk] * len(used), pa.int64()),
-                        pa.array([planes(np.diff(keys[x], prepend=np.uint64(0)), 8) for x in cuts], pa.binary()),
-                        pa.array([planes(kept[x]) for x in cuts], pa.binary()), pa.array([planes(gone[x]) for x in cuts], pa.binary()),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, ["kind", "range", "chunk", "keys", "kept", "gone"])
+        for chunk, *values in _rows(batches):
+            own = Chunk(*values)
+            for kind in (PAIR, WORD):
+                keys, kept, gone = own.keys(kind), own.counts(kind, 0), own.counts(kind, 1)
+                part = ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+                used, at = np.unique(part, return_index=True)
+                cuts = [slice(a, b) for a, b in zip(at, [*at[1:], len(keys)], strict=True)]
+                columns = [
+                    pa.array([kind] * len(used), pa.int32()), pa.array(used, pa.int64()), pa.array([chunk] * len(used), pa.int64()),
+                    pa.array([planes(np.diff(keys[x], prepend=np.uint64(0)), 8) for x in cuts], pa.binary()),
+                    pa.array([planes(kept[x]) for x in cuts], pa.binary()), pa.array([planes(gone[x]) for x in cuts], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["kind", "range", "chunk", "keys", "kept", "gone"])
 
     narrow = chunks.select("chunk", "words", "tokens", "outs", "gone", "lengths")
     return narrow.mapInArrow(rows, "kind int, range long, chunk long, keys binary, kept binary, gone binary")
@@ -256,20 +264,19 @@ def scored(docs: DataFrame) -> DataFrame:
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Held-out counts by rounded probabilities: a table bounded by its steps."""
         step = lambda p: np.where(p > 0, np.rint(np.log(np.maximum(p, 1e-300)) * SCALE), -1e9).astype(np.int64)
-        for batch in batches:
-            for *opened, pair, word in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                own = Chunk(*opened)
-                n = own.counts(PAIR, 1)
-                some = np.flatnonzero(n)
-                pair, word = from_planes(pair, 8).astype(np.float64), from_planes(word, 8).astype(np.float64)
-                seen = word[own.before[some]]
-                p2, p1 = pair[some] / np.maximum(seen, 1), word[own.last[some]] / max(n_kept, 1)
-                keys = np.stack([bucket(seen), step(p2), step(p1)], 1)
-                keys, at = np.unique(keys, axis=0, return_inverse=True)
-                at = at.ravel()
-                sums = [np.bincount(at, w * n[some], len(keys)) for w in (np.ones(len(some)), p2, p1)]
-                columns = [*(pa.array(keys[:, i], pa.int64()) for i in range(3)), *(pa.array(x, pa.float64()) for x in sums)]
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", "s2", "s1", "n", "p2", "p1"])
+        for *opened, pair, word in _rows(batches):
+            own = Chunk(*opened)
+            n = own.counts(PAIR, 1)
+            some = np.flatnonzero(n)
+            pair, word = from_planes(pair, 8).astype(np.float64), from_planes(word, 8).astype(np.float64)
+            seen = word[own.before[some]]
+            p2, p1 = pair[some] / np.maximum(seen, 1), word[own.last[some]] / max(n_kept, 1)
+            keys = np.stack([bucket(seen), step(p2), step(p1)], 1)
+            keys, at = np.unique(keys, axis=0, return_inverse=True)
+            at = at.ravel()
+            sums = [np.bincount(at, w * n[some], len(keys)) for w in (np.ones(len(some)), p2, p1)]
+            columns = [*(pa.array(keys[:, i], pa.int64()) for i in range(3)), *(pa.array(x, pa.float64()) for x in sums)]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "s2", "s1", "n", "p2", "p1"])
 
     steps = counted.select(*OPENED, "pair_kept", "word_kept").mapInArrow(
         held, "bucket long, s2 long, s1 long, n double, p2 double, p1 double"
@@ -282,24 +289,23 @@ def scored(docs: DataFrame) -> DataFrame:
     weights = learned_weights(rows)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, *opened, pair_kept, pair_gone, word_kept, word_gone in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                own = Chunk(*opened)
-                c2 = (from_planes(pair_kept, 8) + from_planes(pair_gone, 8)).astype(np.float64)
-                c1 = (from_planes(word_kept, 8) + from_planes(word_gone, 8)).astype(np.float64)
-                seen = c1[own.before]
-                mix = weights[bucket(seen)]
-                p = mix[:, 0] * c2 / np.maximum(seen, 1) + mix[:, 1] * c1[own.last] / max(n_all, 1) + mix[:, 2] / (v + 1)
-                outs, lengths = np.asarray(opened[2], bool), np.asarray(opened[4], np.int64)
-                starts = np.cumsum(lengths) - lengths
-                columns = [
-                    pa.array(ids, pa.int64()), pa.array(outs), pa.array(lengths),
-                    pa.array(np.add.reduceat((c1 > 0).astype(np.int64)[own.tokens], starts)),
-                    pa.array(np.full(len(ids), n_all, np.int64)),
-                    pa.array(np.add.reduceat(np.log10(c1 + 1)[own.tokens], starts) - lengths * np.log10(n_all + v + 1.0)),
-                    pa.array(np.add.reduceat(np.log10(p)[own.places], starts)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        for ids, *opened, pair_kept, pair_gone, word_kept, word_gone in _rows(batches):
+            own = Chunk(*opened)
+            c2 = (from_planes(pair_kept, 8) + from_planes(pair_gone, 8)).astype(np.float64)
+            c1 = (from_planes(word_kept, 8) + from_planes(word_gone, 8)).astype(np.float64)
+            seen = c1[own.before]
+            mix = weights[bucket(seen)]
+            p = mix[:, 0] * c2 / np.maximum(seen, 1) + mix[:, 1] * c1[own.last] / max(n_all, 1) + mix[:, 2] / (v + 1)
+            outs, lengths = np.asarray(opened[2], bool), np.asarray(opened[4], np.int64)
+            starts = np.cumsum(lengths) - lengths
+            columns = [
+                pa.array(ids, pa.int64()), pa.array(outs), pa.array(lengths),
+                pa.array(np.add.reduceat((c1 > 0).astype(np.int64)[own.tokens], starts)),
+                pa.array(np.full(len(ids), n_all, np.int64)),
+                pa.array(np.add.reduceat(np.log10(c1 + 1)[own.tokens], starts) - lengths * np.log10(n_all + v + 1.0)),
+                pa.array(np.add.reduceat(np.log10(p)[own.places], starts)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return counted.select("doc_ids", *OPENED, *TOTALS).mapInArrow(score, schema)

@@ -463,3 +463,37 @@ def test_least_squares_meets_what_can_be_met():
     found = packing.least_squares(combos, goal, 4000)
     got = np.bincount(combos.ravel(), np.repeat(found, 3), minlength=65)
     assert (found >= 0).all() and np.abs(got - goal)[1:].sum() < 0.01 * goal.sum()
+
+
+def test_mixture_weights_are_the_most_likely():
+    """Of each bucket, no other weights make the held-out counts likelier."""
+    import pandas as pd
+
+    rng = np.random.default_rng(31)
+    n = 400
+    rows = pd.DataFrame(
+        {
+            "bucket": rng.integers(1, 4, n), "n": rng.integers(1, 50, n),
+            "p2": np.where(rng.random(n) < 0.5, rng.random(n), 0), "p1": rng.random(n) / 50, "p0": 1e-4,
+        }
+    )
+    found = interpolation.learned_weights(rows)
+
+    def likelihood(w, part):
+        return float((part["n"] * np.log(part[["p2", "p1", "p0"]].to_numpy() @ w)).sum())
+
+    for b in (1, 2, 3):
+        part = rows[rows["bucket"] == b]
+        best = likelihood(found[b], part)
+        assert found[b].sum() == pytest.approx(1) and (found[b] > 0).all()
+        for _ in range(300):
+            assert likelihood(rng.dirichlet(np.ones(3)), part) <= best + 1e-3 * abs(best)
+        for i in range(3):
+            for j in range(3):
+                moved = found[b].copy()
+                step = min(0.02, moved[i] / 2)
+                moved[i] -= step
+                moved[j] += step
+                assert likelihood(moved, part) <= best + 1e-4 * abs(best)
+    # a bucket without held-out counts takes the weights of all; one never seen has no pairs
+    assert found[5] == pytest.approx(found[6]) and found[0, 0] == 0

@@ -192,9 +192,10 @@ def append_unique(spark: SparkSession, folder: str) -> DataFrame:
     "upsert_unique_history",
     """
     WITH n AS (
-        SELECT l_suppkey AS key, l_orderkey, l_linenumber, 'new' AS origin FROM lineitem
-        WHERE l_returnflag = 'R' QUALIFY row_number() OVER (
-            PARTITION BY l_suppkey ORDER BY l_orderkey DESC, l_linenumber DESC) = 1
+        SELECT CASE WHEN l_returnflag = 'R' THEN l_suppkey ELSE -l_suppkey END AS key,
+               l_orderkey, l_linenumber, 'new' AS origin
+        FROM lineitem QUALIFY row_number() OVER (
+            PARTITION BY key ORDER BY l_orderkey DESC, l_linenumber DESC) = 1
     )
     SELECT * FROM n UNION ALL
     SELECT s_suppkey, NULL, NULL, 'landed' FROM supplier WHERE s_suppkey NOT IN (SELECT key FROM n)
@@ -204,9 +205,9 @@ def upsert_unique(spark: SparkSession, folder: str) -> DataFrame:
     history = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("key"), F.lit("landed").alias("origin")
     )
-    lines = table(spark, folder, "lineitem").where(F.col("l_returnflag") == "R")
-    new = lines.select(
-        F.col("l_suppkey").alias("key"), "l_orderkey", "l_linenumber", F.lit("new").alias("origin")
+    known = F.when(F.col("l_returnflag") == "R", F.col("l_suppkey")).otherwise(-F.col("l_suppkey"))
+    new = table(spark, folder, "lineitem").select(
+        known.alias("key"), "l_orderkey", "l_linenumber", F.lit("new").alias("origin")
     )
     order = ["l_orderkey", "l_linenumber"]
     return merge_keep_last(history, new, ["key"], order, unique_history=True)

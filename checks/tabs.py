@@ -72,9 +72,11 @@ def tabulation_sources(spark: SparkSession, folder: str, job: Tabulation) -> dic
         tabulations.USERS: table(spark, folder, "supplier").selectExpr(
             "s_suppkey AS Id", "CASE WHEN s_suppkey % 9 <> 0 THEN s_nationkey END AS FkPessoa"
         ),
-        tabulations.PEOPLE: table(spark, folder, "nation")
-        .where("n_regionkey <> 4")
-        .selectExpr("n_nationkey AS Id", "concat(' ', lower(n_name), ' ') AS Nome"),
+        # ids of one region that nobody refers to
+        tabulations.PEOPLE: table(spark, folder, "nation").selectExpr(
+            "CASE WHEN n_regionkey <> 4 THEN n_nationkey ELSE -1 - n_nationkey END AS Id",
+            "concat(' ', lower(n_name), ' ') AS Nome",
+        ),
     }
     if job.base is not None:
         sources[job.base] = base
@@ -102,7 +104,8 @@ _PEOPLE = """
     LEFT JOIN (SELECT s_suppkey AS uid, CASE WHEN s_suppkey % 9 <> 0 THEN s_nationkey END AS pid
                FROM supplier) u
            ON uid = CASE WHEN o_custkey % 13 <> 0 THEN o_custkey % 120 END
-    LEFT JOIN (SELECT n_nationkey AS nid, upper(n_name) AS nome FROM nation WHERE n_regionkey <> 4) p
+    LEFT JOIN (SELECT CASE WHEN n_regionkey <> 4 THEN n_nationkey ELSE -1 - n_nationkey END AS nid,
+                      upper(n_name) AS nome FROM nation) p
            ON pid = nid
 """
 _TABS = f"FROM orders {_PEOPLE}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from array import array
@@ -68,6 +69,13 @@ def compact(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have shuffle files of finished plans removed, which Spark does when the driver's JVM has
+    collected what nobody holds; otherwise they may lie there for half an hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def row_tag(df: DataFrame) -> Column:
     """Hash of a whole row with its nulls; equal rows have equal tags."""
     parts: list[Column] = []

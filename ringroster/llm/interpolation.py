@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringroster.llm.common import compact, mixed, part_count, texts_of, word_hashes
+from ringroster.llm.common import compact, free_shuffles, mixed, part_count, texts_of, word_hashes
 
 CHUNK_TOKENS = 3 << 18
 RANGE_KEYS = 1_000_000  # hashes of all chunks in one range, about
@@ -257,6 +257,9 @@ def scored(docs: DataFrame) -> DataFrame:
     totals = sent(chunks, ranges).groupBy("kind", "range").applyInPandas(
         added, "kind int, range long, chunk long, kept binary, gone binary, n_kept long, n_seen long"
     )
+    # written, so that the much larger rows they come from can go
+    totals = compact(totals)
+    free_shuffles(docs.sparkSession)
     schema = CHUNKS + ", pair_kept binary, pair_gone binary, word_kept binary, word_gone binary, n_kept long, n_seen long"
     counted = compact(chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInPandas(returned, schema))
     kept_words, v = (int(x or 0) for x in counted.agg(F.sum("n_kept"), F.sum("n_seen")).first())

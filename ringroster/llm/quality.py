@@ -1,10 +1,12 @@
 """Quality rules: counts of a text, and perplexity bands of an n-gram model.
 
-The model is a modified Kneser-Ney model over character classes. Spark counts the n-grams of
-all documents; as there are 32 classes and four of them in an n-gram, the table of counts
-has at most 32 ** 4 rows, and so has the model: sorted arrays of n-gram codes with their
-log-probabilities. Each language has a band of its own around its usual perplexity, and
-documents below or above it are rejected.
+The model is a modified Kneser-Ney model over characters: ASCII letters, some kinds of marks,
+and all other letters hashed into 32 classes, so that every script has an order of letters to
+be judged by. Spark counts the n-grams of all documents of the core, those that pass the base
+rules and are not full of symbols; 64 classes and four of them in an n-gram bound the table
+of counts, and the model: sorted arrays of n-gram codes with their log-probabilities. Each
+language has bands around its usual perplexity, one for each class of lengths, learned from
+the core, and documents below or above theirs are rejected.
 """
 
 from __future__ import annotations
@@ -22,33 +24,38 @@ from ringroster.llm.common import repeat_rows, row_tag, texts_of, windows_hash,
 from ringroster.spool import spooled
 
 ORDER = 4
-CLASSES = 32
+CLASSES = 64
 MIN_WORDS = 10
 REPEAT_WINDOW = 5
 REPEAT_PERCENT = 20
 WHITE = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
-FENCE = 4.0  # half width of a band beyond the quartiles, in quartile ranges
+SYMBOL_PERCENT = 10  # symbols by words above which a document is not of the core
+FENCE = 3.0  # half width of a band beyond the quartiles, in quartile ranges
 LEAST_RANGE = 0.03  # of log perplexity
-SHORT = 1500  # characters below which a text may stray further, as 1 / sqrt(length)
+SUPPORT = 30  # documents of the core that a band needs
+LENGTHS = (200, 400, 800, 1600, 3200)  # characters at which a class of lengths begins
+SHORT = 1500  # characters below which a text may stray further, where all lengths share a band
 CHUNK = 2 << 20  # characters scored at once
-# classes: 0 white space, 1-26 letters, 27 other letters low, 28 other letters high,
-# 29 digits, 30 sentence marks, 31 other characters
+# classes: 0 white space, 1-26 ASCII letters, 27 digits, 28 sentence marks, 29 other ASCII
+# characters, 30 other characters that are no letters, 32-63 other letters by a hash
 _HAS_WORD = re.compile(r"[^\x20\x09-\x0D]")
 
 
 def _class_table() -> np.ndarray:
-    table = np.full(1024, 27, np.uint8)
-    for code in range(128):
+    table = np.zeros(1 << 16, np.uint8)
+    for code in range(len(table)):
         c = chr(code)
         if c in WHITE:
             table[code] = 0
-        elif c.isalpha():
+        elif code < 128 and c.isalpha():
             table[code] = 1 + ord(c.lower()) - ord("a")
-        elif c.isdigit():
-            table[code] = 29
+        elif code < 128:
+            table[code] = 27 if c.isdigit() else 28 if c in ".,;:!?'\"-()" else 29
+        elif c.isalpha():
+            table[code] = 32 + (ord(c.lower()[0]) * 0x9E3779B1 >> 7) % 32
         else:
-            table[code] = 30 if c in ".,;:!?'\"-()" else 31
+            table[code] = 30
     return table
 
 
@@ -56,14 +63,9 @@ _TABLE = _class_table()
 
 
 def char_classes(text: str) -> np.ndarray:
-    """Classes of the code points; a run of one class that is no letter counts once, as the
-    rest of the run would be foretold."""
+    """Classes of the code points; those beyond 65535 count as other letters."""
     codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    found = np.where(codes < 1024, _TABLE[np.minimum(codes, 1023)], 28).astype(np.int64)
-    letter = (found > 0) & (found < 29)
-    keep = np.ones(len(found), bool)
-    keep[1:] = letter[1:] | (found[1:] != found[:-1])
-    return found[keep]
+    return np.where(codes < 1 << 16, _TABLE[codes & 0xFFFF], 32 + codes % 32).astype(np.int64)
 
 
 def gram_codes(classes: np.ndarray) -> np.ndarray:
@@ -167,25 +169,44 @@ def discounts(n: np.ndarray) -> np.ndarray:
     return out
 
 
-def counted_grams(docs: DataFrame) -> DataFrame:
-    """code and n over all texts; at most CLASSES ** ORDER rows."""
+def failed(n_words, n_repeat_words):
+    """The base rules, of numbers or columns."""
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > REPEAT_PERCENT * n_words)
+
+
+def lean(n_words, n_symbols):
+    """Whether a document is not full of symbols."""
+    return 100 * n_symbols <= SYMBOL_PERCENT * n_words
+
+
+def counted_grams(docs: DataFrame, core: bool = True) -> DataFrame:
+    """code and n over all texts of the core, or over all; at most CLASSES ** ORDER rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CLASSES**ORDER, np.int64)
+        codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        held: list[np.ndarray] = []
+        size = 0
+
+        def merge() -> tuple[np.ndarray, np.ndarray]:
+            new, n = np.unique(np.concatenate([*held, np.empty(0, np.int64)]), return_counts=True)
+            every, at = np.unique(np.concatenate([codes, new]), return_inverse=True)
+            return every, np.bincount(at, np.concatenate([counts, n]), len(every)).astype(np.int64)
+
         for batch in batches:
-            held: list[np.ndarray] = []
-            size = 0
             for text in texts_of(batch.column(0)):
-                if text:
-                    held.append(gram_codes(char_classes(text)))
-                    size += len(text)
+                if not text:
+                    continue
+                if core:
+                    n_words, _, n_symbols, _, n_repeat = text_counts(text)
+                    if failed(n_words, n_repeat) or not lean(n_words, n_symbols):
+                        continue
+                held.append(gram_codes(char_classes(text)))
+                size += len(text)
                 if size > CHUNK:
-                    total += np.bincount(np.concatenate(held), minlength=len(total))
+                    codes, counts = merge()
                     held, size = [], 0
-            if held:
-                total += np.bincount(np.concatenate(held), minlength=len(total))
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["code", "n"])
+        codes, counts = merge()
+        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], ["code", "n"])
 
     made = docs.select("text").mapInArrow(count, "code long, n long")
     return made.groupBy("code").agg(F.sum("n").alias("n"))
@@ -222,27 +243,43 @@ def judged(docs: DataFrame) -> DataFrame:
     upper (the band of its language, for its length), base_failed, kept, `_tag`.
 
     Null and empty texts have counts of 0 and fail the base rules. Documents without a
-    language share a band. Repeated rows are judged alike; an empty table gives no rows;
-    other columns are ignored. The band lies FENCE quartile ranges beyond the quartiles of
-    the language's documents that pass the base rules.
+    language share bands. A band lies FENCE quartile ranges beyond the quartiles of its core
+    documents. Where a class of lengths has fewer than SUPPORT of them, the band of the whole
+    language holds, wider for short texts; a language with fewer has none, as nothing is known
+    of it, and its documents are kept if they pass the base rules. Without any core document
+    the model is that of all. Repeated rows are judged alike; an empty table gives no rows;
+    other columns are ignored.
     """
     table = counted_grams(docs).toPandas()  # at most CLASSES ** ORDER rows
+    if not len(table):
+        table = counted_grams(docs, core=False).toPandas()
     model = kneser_ney(table["code"].to_numpy(), table["n"].to_numpy()) if len(table) else None
-    found = measured(docs, model)
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    found = found.withColumns({"base_failed": failed, "_lang": F.coalesce(F.concat(F.lit("+"), "lang"), F.lit("-"))})
-    spread = found.where(~F.col("base_failed")).groupBy("_lang").agg(
-        F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q")
+    size = sum((F.col("n_chars") >= x).cast("int") for x in LENGTHS)
+    found = measured(docs, model).withColumns(
+        {
+            "base_failed": failed(F.col("n_words"), F.col("n_repeat_words")),
+            "_lang": F.coalesce(F.concat(F.lit("+"), "lang"), F.lit("-")),
+            "_size": size,
+        }
+    )
+    core = found.where(~F.col("base_failed") & lean(F.col("n_words"), F.col("n_symbols")))
+    each = F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000)
+    sized = core.groupBy(F.col("_lang").alias("_of"), F.col("_size").alias("_class")).agg(
+        each.alias("_own"), F.count("*").alias("_n")
     )
-    spread = spread.withColumnRenamed("_lang", "_of")
-    met = found.join(spread, F.col("_lang") == F.col("_of"), "left")
-    width = F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(LEAST_RANGE)) * FENCE
-    width = width * F.sqrt(F.greatest(F.lit(1.0), SHORT / F.greatest("n_chars", F.lit(1))))
-    inside = F.col("log_perplexity").between(F.col("q")[0] - width, F.col("q")[1] + width)
+    whole = core.groupBy(F.col("_lang").alias("_of_all")).agg(each.alias("_all"), F.count("*").alias("_n_all"))
+    met = found.join(sized, (F.col("_lang") == F.col("_of")) & (F.col("_size") == F.col("_class")), "left")
+    met = met.join(whole, F.col("_lang") == F.col("_of_all"), "left")
+    own = F.coalesce(F.col("_n") >= SUPPORT, F.lit(False))
+    known = own | F.coalesce(F.col("_n_all") >= SUPPORT, F.lit(False))
+    q = F.when(own, F.col("_own")).otherwise(F.col("_all"))
+    wider = F.when(own, 1.0).otherwise(F.sqrt(F.greatest(F.lit(1.0), SHORT / F.greatest("n_chars", F.lit(1)))))
+    width = F.greatest(q[1] - q[0], F.lit(LEAST_RANGE)) * FENCE * wider
+    met = met.withColumns({"lower": F.when(known, q[0] - width), "upper": F.when(known, q[1] + width)})
+    inside = ~known | F.coalesce(F.col("log_perplexity").between(F.col("lower"), F.col("upper")), F.lit(False))
     return met.select(
-        "doc_id", *MEASURES, "log_perplexity", (F.col("q")[0] - width).alias("lower"),
-        (F.col("q")[1] + width).alias("upper"), "base_failed",
-        (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"), "_tag",
+        "doc_id", *MEASURES, "log_perplexity", "lower", "upper", "base_failed",
+        (~F.col("base_failed") & inside).alias("kept"), "_tag",
     )
 
 

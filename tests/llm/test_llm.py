@@ -295,6 +295,55 @@ def test_quality_counts(docs):
     assert quality.passing(docs).columns == docs.columns
 
 
+def planted(seed, letters, sizes):
+    """Clean documents of an invented language, and some spoilt in three ways."""
+    rng = np.random.default_rng(seed)
+    vocabulary = ["".join(rng.choice(letters, int(rng.integers(2, 9)), p=np.arange(len(letters), 0, -1) / sum(range(len(letters) + 1)))) for _ in range(400)]
+    clean, spoilt = [], []
+    for i in range(400):
+        words = list(rng.choice(vocabulary, int(rng.choice(sizes))))
+        clean.append(" ".join(words))
+        if i % 20 == 0:
+            mixed_up = "".join(rng.permutation(list("".join(words))))
+            at = np.cumsum([len(w) for w in words])
+            spoilt.append(" ".join(mixed_up[a:b] for a, b in zip([0, *at[:-1]], at, strict=True)))
+            spoilt.append(" ".join(w + "***" for w in words))
+            spoilt.append("".join(rng.choice(list("qxzj#%&0123456789"), len(" ".join(words)))) + " a b c d e f g h i j")
+    return clean, spoilt
+
+
+@pytest.mark.parametrize(
+    ("letters", "sizes"),
+    [
+        (list("etaoinshrdlucmfwyp"), [40, 60]), (list("etaoinshrdlucmfwyp"), [300, 500]),
+        (list("оеаинтсрвлкмдпуяыьгзбч"), [40, 60]), (list("оеаинтсрвлкмдпуяыьгзбч"), [300, 500]), (list("αεοιτσνηυρπκμλ"), [120]),
+    ],
+)
+def test_perplexity_rejects_what_is_planted(spark, letters, sizes):
+    """Shuffled letters of any script, marks in every word, and noise, in short and long texts."""
+    clean, spoilt = planted(41, letters, sizes)
+    rows = [(i, t, "xx") for i, t in enumerate(clean + spoilt)]
+    got = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()
+    kept = {r.doc_id for r in got if r.kept}
+    assert sum(i in kept for i in range(len(clean))) >= 0.98 * len(clean)
+    assert sum(i in kept for i in range(len(clean), len(rows))) <= 0.05 * len(spoilt)
+    assert all(r.lower < r.upper for r in got)
+
+
+def test_a_language_hardly_seen_is_not_judged_by_others(spark):
+    clean, _ = planted(42, list("etaoinshrdlu"), [60])
+    rare, _ = planted(43, list("оеаинтсрвлк"), [60])
+    rows = [(i, t, "en") for i, t in enumerate(clean)] + [(1000 + i, t, "ru") for i, t in enumerate(rare[:5])]
+    got = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert all(r.kept and r.lower is None for r in got if r.doc_id >= 1000)
+
+
+def test_documents_full_of_symbols_alone(spark):
+    rows = [(i, "a*** b### c$$$ " * 10, None) for i in range(3)]
+    got = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(got) == 3 and all(r.log_perplexity is not None for r in got)
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(4)
     text = "".join(rng.choice(list("abc d"), 4000))

@@ -3,7 +3,8 @@
 A text is the vector of its character trigrams, hashed to a fixed width, weighted by TF-IDF
 and normalised. Each language has several centroids, found by spherical k-means over a
 bounded sample of its labelled documents. A text takes the language of the nearest centroid
-by cosine; one further from all than documents of that language ever are is rejected.
+by cosine; one further from all than documents of that language ever are is rejected. How far
+that is, is taken from documents compared with centroids they had no part in.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ CENTROIDS = 4
 TURNS = 12
 SEED = 7
 SLACK = 0.5  # share of the first percentile of a language's own cosines
+SUPPORT = 20  # documents a language needs for a least cosine of its own
+SHORT = 200  # trigrams below which a text may lie further from its centroid
 GROUP = 64  # texts compared at once
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -58,7 +61,7 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray
     languages: list[str]  # of each centroid
-    floors: np.ndarray  # least cosine of each centroid
+    floors: np.ndarray  # least cosine of each centroid, for a text that is not short
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         return unit(np.log1p(counts) * self.idf)
@@ -68,7 +71,7 @@ class Model:
         cosine = self.vectors(counts) @ self.centroids.T
         at = cosine.argmax(1)
         best = np.clip(cosine[np.arange(len(at)), at], 0.0, 1.0)
-        return at, best, best < self.floors[at]
+        return at, best, best < self.floors[at] * np.minimum(1.0, np.sqrt(counts.sum(1) / SHORT))
 
 
 def clusters(rows: np.ndarray, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,24 +88,42 @@ def clusters(rows: np.ndarray, k: int, seed: int) -> tuple[np.ndarray, np.ndarra
     return centres, at
 
 
+def left_out(rows: np.ndarray, centres: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Cosine of each row with the nearest centroid, its own being that of the other rows."""
+    cosine = rows @ centres.T
+    for i in range(len(centres)):
+        own = np.flatnonzero(at == i)
+        rest = unit(rows[own].sum(0) - rows[own])
+        cosine[own, i] = (rows[own] * rest).sum(1)
+    return cosine.max(1)
+
+
 def fit(samples: list[tuple[str, np.ndarray]]) -> Model | None:
-    """Model from (language, counts), sorted so that a rerun agrees."""
+    """Model from (language, counts), sorted so that a rerun agrees.
+
+    The least cosine of a language is SLACK times the first percentile of its documents'
+    cosines, each left out of its own centroid. A language of fewer than SUPPORT documents
+    takes it from the cosines of single documents with each other in the languages that have
+    them, as its centroids are hardly more than single documents; without such languages
+    nothing is too far.
+    """
     if not samples:
         return None
     counts = np.stack([c for _, c in samples])
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1
     rows = unit(np.log1p(counts) * idf)
     names = np.array([n for n, _ in samples])
-    centres, languages, floors = [], [], []
+    centres, languages, own_floors, pairs = [], [], {}, []
     for name in sorted(set(names.tolist())):
         own = rows[names == name]
         found, at = clusters(own, CENTROIDS, SEED)
-        for i, centre in enumerate(found):
-            cosine = own[at == i] @ centre
-            if len(cosine):
-                centres.append(centre)
-                languages.append(name)
-                floors.append(SLACK * np.quantile(cosine, 0.01))
+        if len(own) >= SUPPORT:
+            own_floors[name] = SLACK * np.quantile(left_out(own, found, at), 0.01)
+            pairs.append(np.quantile((own @ own.T)[~np.eye(len(own), dtype=bool)], 0.01))
+        centres += [c for i, c in enumerate(found) if (at == i).any()]
+        languages += [name] * (len(centres) - len(languages))
+    single = SLACK * min(pairs, default=0.0)
+    floors = [min(own_floors.get(name, single), 1.0) for name in languages]
     return Model(idf, np.stack(centres), languages, np.array(floors))
 
 
@@ -113,17 +134,20 @@ def held_out(docs: DataFrame) -> Column:
 
 
 def learned(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
-    """Learn from at most `per_language` documents of each language that have letters and a
-    label and are not held out, taken in the order of a hash."""
+    """Learn from at most `per_language` different texts of each language that have letters
+    and a label and are not held out, taken in the order of a hash.
+
+    How many rows a language has says how small a share of the hashes is enough for four times
+    the sample, so that only these are ranked, however many rows a language has.
+    """
     usable = docs.where(~held_out(docs) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    order = F.xxhash64(F.lit(SEED), "doc_id", "text")
-    narrow = usable.select("lang", "doc_id", order.alias("h"), F.xxhash64("text").alias("t"))
-    first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = narrow.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
-    chosen = chosen.select("h", "t", F.col("lang").alias("l")).distinct()
-    keyed = usable.select("lang", "text", order.alias("h"), F.xxhash64("text").alias("t"))
-    met = keyed.join(F.broadcast(chosen), ["h", "t"])  # per_language rows a language
-    met = met.where(F.col("lang") == F.col("l")).select("lang", "h", "text")
+    keyed = usable.select("lang", F.xxhash64(F.lit(SEED), "text").alias("h"), "text")
+    sizes = keyed.groupBy(F.col("lang").alias("l")).agg(F.approx_count_distinct("h").alias("n"))
+    share = F.pmod("h", F.lit(1 << 30)) / (1 << 30)
+    few = keyed.join(sizes, F.col("lang") == F.col("l")).where(share * F.col("n") <= 4 * per_language)
+    first = Window.partitionBy("lang").orderBy("h")
+    ranked = few.dropDuplicates(["lang", "h"]).withColumn("n", F.row_number().over(first))
+    met = ranked.where(F.col("n") <= per_language).select("lang", "h", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,14 +160,8 @@ def learned(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(h, pa.int64()), pa.array(data, pa.binary())], ["lang", "h", "counts"])
 
     rows = met.mapInArrow(count, "lang string, h long, counts binary").collect()
-    rows.sort(key=lambda r: (r["lang"], r["h"], bytes(r["counts"])))
-    seen: dict[str, int] = {}
-    samples = []
-    for r in rows:  # repeated rows share a hash
-        seen[r["lang"]] = seen.get(r["lang"], 0) + 1
-        if seen[r["lang"]] <= per_language:
-            samples.append((r["lang"], np.frombuffer(r["counts"], "<f4").astype(np.float64)))
-    return fit(samples)
+    rows.sort(key=lambda r: (r["lang"], r["h"]))
+    return fit([(r["lang"], np.frombuffer(r["counts"], "<f4").astype(np.float64)) for r in rows])
 
 
 def identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -151,8 +169,9 @@ def identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     lang_pred is `und` with score 0 if the text is null or has no letter (or nothing could
     be learned); such documents are rejected, as are those too far from the centroid they
-    are nearest to. Only the text is used. Repeated rows are treated alike; an empty table
-    gives no rows.
+    are nearest to. Only the text is used, whole, however long. Of equally near centroids the
+    first by language wins. Repeated rows are treated alike, and teach once; an empty table
+    gives no rows; other columns may have any names.
     """
     model = model or learned(docs)
 

@@ -344,6 +344,71 @@ def test_documents_full_of_symbols_alone(spark):
     assert len(got) == 3 and all(r.log_perplexity is not None for r in got)
 
 
+def tongues(n):
+    """Texts in invented languages of their own syllables, and of an odd one."""
+    out = {}
+    for name, letters in (("aa", "etaoinsh"), ("bb", "etoilqur"), ("cc", "zkwvyxaj")):
+        rng = np.random.default_rng(len(out) + 50)
+        syllables = ["".join(rng.choice(list(letters), int(rng.integers(2, 4)))) for _ in range(40)]
+        weight = 1 / np.arange(1, 41)
+
+        def text(syllables=syllables, weight=weight / weight.sum(), rng=rng):
+            size = int(rng.integers(12, 200))
+            return " ".join("".join(rng.choice(syllables, int(rng.integers(1, 4)), p=weight)) for _ in range(size))
+
+        out[name] = [text() for _ in range(n)]
+    return out
+
+
+@pytest.mark.parametrize("known", [1, 2, 4, 30])
+def test_a_language_with_few_labels_is_not_rejected(spark, known):
+    texts = tongues(120)
+    rows = [(i, t, "aa") for i, t in enumerate(texts["aa"])] + [(1000 + i, t, "bb") for i, t in enumerate(texts["bb"])]
+    rows += [(5000 + i, t, None) for i, t in enumerate(texts["cc"])]
+    learning = [i for i in range(2000, 4000) if zlib.crc32(str(i).encode()) % 3 != 1][:known]
+    rows += [(i, t, "cc") for i, t in zip(learning, texts["cc"], strict=False)]
+    rows += [(9000 + i, texts["bb"][0], "bb") for i in range(80)]  # a group of copies teaches once
+    rows += [(9900, "0123 wqpx 77 ztq# bvnm ggggg " * 9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = {r.doc_id: r for r in language.identified(docs).collect()}
+    rest = [got[5000 + i] for i in range(120)]
+    assert sum(r.lang_pred == "cc" for r in rest) >= 118
+    assert sum(r.rejected for r in rest) <= 2
+    assert sum(got[i].rejected for i in range(120)) <= 2 and sum(got[1000 + i].rejected for i in range(120)) <= 2
+    assert got[9900].rejected
+
+
+def test_sample_takes_each_text_once(spark):
+    rows = [(i, "same text of words", "aa") for i in range(300)] + [(1000 + i, f"text {chr(97 + i % 26)}{'b' * i}", "aa") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    seen = []
+    language_fit = language.fit
+    try:
+        language.fit = lambda samples: seen.append(samples) or language_fit(samples)
+        language.learned(docs, 20)
+        language.learned(docs)
+    finally:
+        language.fit = language_fit
+    assert len(seen[0]) == 20
+    assert len({c.tobytes() for _, c in seen[1]}) == len(seen[1]) <= 61
+
+
+def test_left_out_cosines():
+    rng = np.random.default_rng(51)
+    rows = language.unit(rng.random((12, 30)))
+    centres, at = language.clusters(rows, 3, 1)
+    got = language.left_out(rows, centres, at)
+    for i, row in enumerate(rows):
+        best = []
+        for j, centre in enumerate(centres):
+            others = [k for k in range(12) if at[k] == j and k != i]
+            if at[i] == j:
+                best.append(row @ language.unit(rows[others].sum(0)[None])[0] if others else 0.0)
+            else:
+                best.append(row @ centre)
+        assert got[i] == pytest.approx(max(best))
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(4)
     text = "".join(rng.choice(list("abc d"), 4000))

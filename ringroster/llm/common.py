@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 import uuid
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
@@ -71,9 +72,12 @@ def compact(df: DataFrame) -> DataFrame:
 
 def free_shuffles(spark: SparkSession) -> None:
     """Have shuffle files of finished plans removed, which Spark does when the driver's JVM has
-    collected what nobody holds; otherwise they may lie there for half an hour."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    collected what nobody holds; otherwise they may lie there for half an hour. Python tells the
+    JVM what it has let go in the background, hence the pauses."""
+    for _ in range(3):
+        gc.collect()
+        time.sleep(0.4)
+        spark.sparkContext._jvm.System.gc()
 
 
 def row_tag(df: DataFrame) -> Column:

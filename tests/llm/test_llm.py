@@ -611,3 +611,19 @@ def test_mixture_weights_are_the_most_likely():
                 assert likelihood(moved, part) <= best + 1e-4 * abs(best)
     # a bucket without held-out counts takes the weights of all; one never seen has no pairs
     assert found[5] == pytest.approx(found[6]) and found[0, 0] == 0
+
+
+def test_shuffle_files_of_finished_plans_go(spark):
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+
+    def held():
+        return len(list(spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(tracker.shuffleStatuses()).keySet()))
+
+    common.free_shuffles(spark)
+    before = held()
+    wide = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert common.compact(wide).count() == 7
+    during = held()
+    del wide
+    common.free_shuffles(spark)
+    assert during > before and held() <= before

@@ -142,9 +142,12 @@ def learned(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """
     usable = docs.where(~held_out(docs) & F.col("text").isNotNull() & F.col("lang").isNotNull())
     keyed = usable.select("lang", F.xxhash64(F.lit(SEED), "text").alias("h"), "text")
-    sizes = keyed.groupBy(F.col("lang").alias("l")).agg(F.approx_count_distinct("h").alias("n"))
+    sizes = keyed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
+    if not sizes:  # one row for each language, of which the model holds centroids anyway
+        return None
+    most = [x for r in sizes for x in (F.lit(r["lang"]), F.lit(4 * per_language / max(r["n"], 1)))]
     share = F.pmod("h", F.lit(1 << 30)) / (1 << 30)
-    few = keyed.join(sizes, F.col("lang") == F.col("l")).where(share * F.col("n") <= 4 * per_language)
+    few = keyed.where(share <= F.element_at(F.create_map(*most), F.col("lang")))
     first = Window.partitionBy("lang").orderBy("h")
     ranked = few.dropDuplicates(["lang", "h"]).withColumn("n", F.row_number().over(first))
     met = ranked.where(F.col("n") <= per_language).select("lang", "h", "text")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ringroster.llm.common import compact, free_shuffles, mixed, part_count, texts_of, word_hashes
 
-CHUNK_TOKENS = 3 << 18
+CHUNK_TOKENS = 3 << 17
 RANGE_KEYS = 1_000_000  # hashes of all chunks in one range, about
 BUCKETS = 24  # of context frequency, by powers of four
 TURNS = 60

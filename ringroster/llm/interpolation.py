@@ -17,6 +17,7 @@ never more rows than different pairs and words in the chunks.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,12 +48,14 @@ def remainder(docs: DataFrame, divisor: int) -> Column:
 
 
 def planes(numbers: np.ndarray, width: int = 4) -> bytes:
-    """Numbers byte by byte: all lowest bytes, then the next; high bytes are mostly zero."""
-    return np.ascontiguousarray(numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
+    """Numbers byte by byte, all lowest bytes, then the next, compressed: high bytes are mostly
+    zero, and a batch of rows should take no room for them."""
+    return zlib.compress(np.ascontiguousarray(numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes(), 1)
 
 
 def from_planes(data: bytes, width: int = 4) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel()
+    plain = np.frombuffer(zlib.decompress(data), np.uint8)
+    return np.ascontiguousarray(plain.reshape(width, -1).T).view(f"<u{width}").ravel()
 
 
 def chunked(docs: DataFrame) -> DataFrame:

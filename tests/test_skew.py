@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ringroster.operators.joins import lookup
-from ringroster.operators.skew import exact_left_join, exact_left_joins, split_left_join
+from ringroster.operators.joins import join_roster, lookup
+from ringroster.operators.skew import exact_left_join, exact_left_joins, split_left_join, split_many_join
 
 HOT = 7
 
@@ -134,3 +134,25 @@ def test_scans_grow_with_the_number_of_joins(spark, tmp_path):
         joined = exact_left_join(joined, right, "id", f"r{n}", ["id"])
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and joined.count() == 10
+
+
+def test_keys_with_many_rows_on_both_sides_are_dealt(skewed):
+    key = F.when(F.col("id") % 10 == 0, F.lit(None)).when(F.col("id") % 10 == 1, F.lit("Rare ")).otherwise("HOT")
+    left = skewed.range(0, 400, 1, 2).select(F.col("id").alias("l"), key.alias("lk"))
+    left = left.union(left.where("l = 5"))
+    name = F.when(F.col("id") % 7 == 0, F.lit(None)).when(F.col("id") == 1, "rare").otherwise("hot  ")
+    right = skewed.range(0, 300, 1, 2).select(F.col("id").alias("r"), name.alias("rk"))
+    joined = join_roster(left, right, "lk", "rk", "UTF8_LCASE_RTRIM", many=True)
+    assert joined.columns == ["l", "lk", "r", "rk"]
+    plain = join_roster(left, right, "lk", "rk", "UTF8_LCASE_RTRIM")
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, plain.collect()))
+    same = left.where("lk = 'HOT'"), right.withColumn("rk", F.lit("HOT"))
+    joined = join_roster(*same, "lk", "rk", many=True)
+    dealt = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(dealt) < sum(dealt) / 10
+
+
+def test_rows_of_a_many_join_do_not_outnumber_its_pairs(skewed):
+    left = skewed.range(0, 50).select(F.col("id").alias("k"))
+    right = skewed.range(0, 50).select(F.col("id").alias("r"))
+    assert split_many_join(left, right, "k", "r").count() == 50

@@ -36,6 +36,7 @@ ROWS = 2
 CONTAINED = 0.8
 SEED = 8
 CHUNK_WORDS = 1 << 17
+BLOCK = 1 << 15  # shingles hashed at a time
 
 
 def normalised(text: str) -> np.ndarray:
@@ -79,16 +80,31 @@ def laid_out(texts: list[np.ndarray], stride: int) -> tuple[np.ndarray, np.ndarr
 
 
 def band_keys(shingles: np.ndarray, gap: np.ndarray, stride: int, bands: int, rows: int) -> np.ndarray:
-    """Band hashes (bands, windows) of the windows that begin at each stride."""
+    """Band hashes (bands, windows) of the windows that begin at each stride.
+
+    Strides stand in columns, a block of them at a time, so that a hash and its least value are
+    taken within the processor's cache."""
     a, b = permutations(bands * rows)
-    windows = len(shingles) // stride - 3
-    keys = np.zeros((bands, windows), np.uint64)
-    for i in range(bands * rows):
-        h = (shingles * a[i] + b[i]) >> np.uint64(1)
-        h[gap] = np.uint64(1 << 63)
-        least = h.reshape(-1, stride).min(1)
-        low = np.minimum(np.minimum(least[:-3], least[1:-2]), np.minimum(least[2:-1], least[3:]))
-        keys[i // rows] = keys[i // rows] * np.uint64(0x9E3779B97F4A7C15) + low
+    strides = len(shingles) // stride
+    columns = np.ascontiguousarray(shingles.reshape(strides, stride).T)
+    none = np.uint64(1 << 63)
+    gaps = np.ascontiguousarray(gap.reshape(strides, stride).T) * none
+    keys = np.zeros((bands, strides - 3), np.uint64)
+    width = max(8, BLOCK // stride)
+    for start in range(0, strides - 3, width):
+        x, no = columns[:, start : start + width + 3], gaps[:, start : start + width + 3]
+        x, no = np.ascontiguousarray(x), np.ascontiguousarray(no)
+        h, own = np.empty_like(x), keys[:, start : start + width]
+        for i in range(bands * rows):
+            np.multiply(x, a[i], out=h)
+            h += b[i]
+            h >>= np.uint64(1)
+            h |= no  # hashes have 63 bits, so a gap is never least beside a shingle
+            least = np.minimum(h.min(0), none)
+            two = np.minimum(least[:-1], least[1:])
+            key = own[i // rows]
+            key *= np.uint64(0x9E3779B97F4A7C15)
+            key += np.minimum(two[:-2], two[2:])
     return keys
 
 
@@ -116,19 +132,35 @@ class Index:
         hit = np.zeros(keys.shape[1], bool)
         for band in range(self.bands):
             hit |= self.bits[band][(keys[band] & np.uint64(0xFFFF)).astype(np.int64)]
-        for w in np.flatnonzero(hit).tolist():
-            column = keys[:, w].tolist()
-            met = set().union(*(self.table[i].get(k, ()) for i, k in enumerate(column)))
-            text = int(np.searchsorted(starts, w * self.stride, "right")) - 1
+        places = np.flatnonzero(hit)
+        keys = keys[:, places]
+        low = (keys & np.uint64(0xFFFF)).astype(np.int64)
+        window, band = np.nonzero(np.stack([self.bits[i][low[i]] for i in range(self.bands)], 1))
+        met: dict[int, set[int]] = {}
+        for w, i, key in zip(places[window].tolist(), band.tolist(), keys[band, window].tolist(), strict=True):
+            own = self.table[i].get(key)
+            if own:
+                met[w] = met[w] | own if w in met else own
+        text_of = np.searchsorted(starts, np.fromiter(met, np.int64, len(met)) * self.stride, "right") - 1
+        for (w, own), text in zip(met.items(), text_of.tolist(), strict=True):
             at = w * self.stride - int(starts[text])
-            for place in met:
+            for place in sorted(own):
                 name, length, items = self.items[place]
                 near = texts[text][max(0, at - length) : at + 4 * self.stride + length]
-                share = float(np.isin(items, near).mean())
+                share = _share(items, near)
                 if share >= contained:
                     yield text, name, at, share
 
 
+def _share(items: np.ndarray, near: np.ndarray) -> float:
+    """Share of the items, which rise, that occur in the other array."""
+    at = np.searchsorted(items, near)
+    at[at == len(items)] = 0
+    seen = np.zeros(len(items), bool)
+    seen[at[items[at] == near]] = True
+    return int(np.count_nonzero(seen)) / len(items)
+
+
 def scanned(
     docs: DataFrame,
     templates: dict[str, str] | None = None,

@@ -627,3 +627,21 @@ def test_shuffle_files_of_finished_plans_go(spark):
     del wide
     common.free_shuffles(spark)
     assert during > before and held() <= before
+
+
+@pytest.mark.parametrize("stride", [1, 2, 3, 9])
+def test_band_keys_in_blocks_are_those_of_their_windows(monkeypatch, stride):
+    monkeypatch.setattr(licenses, "BLOCK", 32)
+    rng = np.random.default_rng(stride)
+    texts = [rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in (1, 5, 40, 200)]
+    shingles, gap, _ = licenses.laid_out(texts, stride)
+    a, b = licenses.permutations(6)
+    keys = licenses.band_keys(shingles, gap, stride, 3, 2)
+    for w in range(len(shingles) // stride - 3):
+        window = slice(w * stride, (w + 4) * stride)
+        for band in range(3):
+            key = np.zeros(1, np.uint64)
+            for i in (2 * band, 2 * band + 1):
+                h = np.where(gap[window], np.uint64(1 << 63), (shingles[window] * a[i] + b[i]) >> np.uint64(1))
+                key = key * np.uint64(0x9E3779B97F4A7C15) + h.min()
+            assert keys[band, w] == key[0]

@@ -27,7 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringroster.llm.common import compact, free_shuffles, mixed, part_count, texts_of, word_hashes
+from ringroster.llm.common import compact, mixed, part_count, spool_path, texts_of, word_hashes
+from ringroster.spool import delete
 
 CHUNK_TOKENS = 3 << 17
 RANGE_KEYS = 1_000_000  # hashes of all chunks in one range, about
@@ -58,8 +59,8 @@ def from_planes(data: bytes, width: int = 4) -> np.ndarray:
     return np.ascontiguousarray(plain.reshape(width, -1).T).view(f"<u{width}").ravel()
 
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """Chunks of documents; a text longer than a chunk is a chunk of its own.
+def chunked(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Chunks of documents, written to a path; a text longer than a chunk is a chunk of its own.
 
     Documents whose crc32 of the id has remainder 2 by 7 are held out of everything; of
     the others, those with remainder 0 by 10 are deleted from the estimates the weights are
@@ -104,7 +105,7 @@ def chunked(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long"), (remainder(docs, 7) == 2).alias("out"),
         (remainder(docs, 10) == 0).alias("gone"), "text",
     )
-    return compact(keyed.mapInArrow(scan, CHUNKS))
+    return compact(keyed.mapInArrow(scan, CHUNKS), path)
 
 
 class Chunk:
@@ -247,7 +248,9 @@ def scored(docs: DataFrame) -> DataFrame:
     scores rest on the uniform share. An empty table gives no rows; other columns are
     ignored.
     """
-    chunks = chunked(docs)
+    spark = docs.sparkSession
+    passing = [spool_path(spark), spool_path(spark)]
+    chunks = chunked(docs, passing[0])
     each = F.transform(F.arrays_zip("outs", "gone", "lengths"), lambda x: F.when(x["outs"], 0).otherwise(x["lengths"]).cast("long"))
     add = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, b: a + b)
     kept_each = F.transform(F.arrays_zip("outs", "gone", "lengths"), lambda x: F.when(x["outs"] | x["gone"], 0).otherwise(x["lengths"]).cast("long"))
@@ -256,15 +259,16 @@ def scored(docs: DataFrame) -> DataFrame:
     ).first()
     size, n_all, n_kept = (int(x or 0) for x in sizes)
 
-    ranges = max(2 * part_count(docs.sparkSession), size // RANGE_KEYS)
+    ranges = max(2 * part_count(spark), size // RANGE_KEYS)
     totals = sent(chunks, ranges).groupBy("kind", "range").applyInPandas(
         added, "kind int, range long, chunk long, kept binary, gone binary, n_kept long, n_seen long"
     )
     # written, so that the much larger rows they come from can go
-    totals = compact(totals)
-    free_shuffles(docs.sparkSession)
+    totals = compact(totals, passing[1])
     schema = CHUNKS + ", pair_kept binary, pair_gone binary, word_kept binary, word_gone binary, n_kept long, n_seen long"
     counted = compact(chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInPandas(returned, schema))
+    for path in passing:  # all that they hold is in the counted chunks
+        delete(spark, path)
     kept_words, v = (int(x or 0) for x in counted.agg(F.sum("n_kept"), F.sum("n_seen")).first())
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

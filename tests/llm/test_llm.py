@@ -645,3 +645,12 @@ def test_band_keys_in_blocks_are_those_of_their_windows(monkeypatch, stride):
                 h = np.where(gap[window], np.uint64(1 << 63), (shingles[window] * a[i] + b[i]) >> np.uint64(1))
                 key = key * np.uint64(0x9E3779B97F4A7C15) + h.min()
             assert keys[band, w] == key[0]
+
+
+def test_lm_scores_leave_the_counted_chunks_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "checkpoint_folder", lambda _: str(tmp_path))
+    docs = spark.createDataFrame([(i, f"a b c{i % 7} d") for i in range(60)], "doc_id long, text string")
+    rows = interpolation.scored(docs)
+    assert len(list(tmp_path.iterdir())) == 1
+    assert rows.count() == 60
+    assert spark.conf.get(common.FREED, None) is None

@@ -109,26 +109,27 @@ def chunked(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 class Chunk:
-    """Tokens of a chunk with its distinct words and pairs, both in the order of their keys.
+    """Tokens of a chunk with its distinct words and pairs, both in the order of their keys or,
+    opened without words, of their places in the chunk's list.
 
     The last token of a chunk is an end, and so is what stands before its first token."""
 
-    def __init__(self, words: bytes, tokens: bytes, outs: list, gone: list, lengths: list):
-        own = np.frombuffer(words, "<u8")
-        order = np.argsort(own)
-        rank = np.empty(len(own), np.int64)
-        rank[order] = np.arange(len(own))
-        self.words = own[order]
-        self.tokens = rank[from_planes(tokens)].astype(np.int32)
-        code = np.roll(self.tokens, 1).astype(np.int64) * len(own) + self.tokens
+    def __init__(self, words: bytes | None, tokens: bytes, outs: list, gone: list, lengths: list):
+        self.tokens = from_planes(tokens).astype(np.int32)
+        if words is not None:
+            own = np.frombuffer(words, "<u8")
+            order, rank = _order(own)
+            self.words, self.tokens = own[order], rank[self.tokens]
+        count = int(self.tokens.max()) + 1  # every word of the list occurs
+        code = np.roll(self.tokens, 1).astype(np.int64) * count + self.tokens
         code, place = np.unique(code, return_inverse=True)
-        place = place.astype(np.int32)
-        before, last = (code // len(own)).astype(np.int32), (code % len(own)).astype(np.int32)
-        keys = mixed(mixed(self.words[before]) + self.words[last])
-        order = np.argsort(keys)
-        rank = np.empty(len(keys), np.int32)
-        rank[order] = np.arange(len(keys))
-        self.pairs, self.before, self.last, self.places = keys[order], before[order], last[order], rank[place]
+        self.before, self.last = (code // count).astype(np.int32), (code % count).astype(np.int32)
+        self.places = place.astype(np.int32)
+        if words is not None:
+            keys = pair_keys(self.words, self.before, self.last)
+            order, rank = _order(keys)
+            self.pairs, self.before, self.last, self.places = keys[order], self.before[order], self.last[order], rank[self.places]
+        self.n_words, self.n_pairs = count, len(code)
         outs, gone = np.asarray(outs, bool), np.asarray(gone, bool)
         self.kind = np.repeat(np.where(outs, 2, np.where(gone, 1, 0)).astype(np.int8), lengths)
 
@@ -138,7 +139,19 @@ class Chunk:
     def counts(self, kind: int, of: int) -> np.ndarray:
         """How often each word or pair is in documents that are kept (0) or deleted (1)."""
         at = self.tokens if kind == WORD else self.places
-        return np.bincount(at[self.kind == of], minlength=len(self.keys(kind)))
+        return np.bincount(at[self.kind == of], minlength=self.n_words if kind == WORD else self.n_pairs)
+
+
+def pair_keys(words: np.ndarray, before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return mixed(mixed(words[before]) + words[last])
+
+
+def _order(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the keys as they rise, and the rank of each key."""
+    order = np.argsort(keys)
+    rank = np.empty(len(keys), np.int32)
+    rank[order] = np.arange(len(keys))
+    return order, rank
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
@@ -189,14 +202,20 @@ def added(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def returned(chunk: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
-    """A chunk with the totals of its words and pairs, and the vocabulary sizes it was told."""
+    """A chunk with the totals of its words and pairs, and the vocabulary sizes it was told.
+
+    Totals come in the order of their keys and are put in that of the places, so the words, half
+    of a chunk, need not be written again."""
     out = chunk.iloc[:1].copy()
+    opened = Chunk(None, *(out[c].iloc[0] for c in OPENED))
+    words = np.frombuffer(out.pop("words").iloc[0], "<u8")
+    orders = {PAIR: _order(pair_keys(words, opened.before, opened.last))[1], WORD: _order(words)[1]}
     totals = totals.sort_values(["kind", "range"])
     for kind, name in ((PAIR, "pair"), (WORD, "word")):
         own = totals[totals["kind"] == kind]
         for column in ("kept", "gone"):
-            numbers = [from_planes(x, 8) for x in own[column]]
-            out[f"{name}_{column}"] = [planes(np.concatenate(numbers), 8)]
+            numbers = np.concatenate([from_planes(x, 8) for x in own[column]])
+            out[f"{name}_{column}"] = [planes(numbers[orders[kind]], 8)]
     own = totals[totals["kind"] == WORD]
     out["n_kept"], out["n_seen"] = int(own["n_kept"].sum()), int(own["n_seen"].sum())
     return out
@@ -234,7 +253,7 @@ def learned_weights(rows: pd.DataFrame) -> np.ndarray:
     return found
 
 
-OPENED = ["words", "tokens", "outs", "gone", "lengths"]
+OPENED = ["tokens", "outs", "gone", "lengths"]
 TOTALS = ["pair_kept", "pair_gone", "word_kept", "word_gone"]
 
 
@@ -265,7 +284,7 @@ def scored(docs: DataFrame) -> DataFrame:
     )
     # written, so that the much larger rows they come from can go
     totals = compact(totals, passing[1])
-    schema = CHUNKS + ", pair_kept binary, pair_gone binary, word_kept binary, word_gone binary, n_kept long, n_seen long"
+    schema = CHUNKS.replace("words binary, ", "") + ", pair_kept binary, pair_gone binary, word_kept binary, word_gone binary, n_kept long, n_seen long"
     counted = compact(chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInPandas(returned, schema))
     for path in passing:  # all that they hold is in the counted chunks
         delete(spark, path)
@@ -275,7 +294,7 @@ def scored(docs: DataFrame) -> DataFrame:
         """Held-out counts by rounded probabilities: a table bounded by its steps."""
         step = lambda p: np.where(p > 0, np.rint(np.log(np.maximum(p, 1e-300)) * SCALE), -1e9).astype(np.int64)
         for *opened, pair, word in _rows(batches):
-            own = Chunk(*opened)
+            own = Chunk(None, *opened)
             n = own.counts(PAIR, 1)
             some = np.flatnonzero(n)
             pair, word = from_planes(pair, 8).astype(np.float64), from_planes(word, 8).astype(np.float64)
@@ -300,13 +319,13 @@ def scored(docs: DataFrame) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, *opened, pair_kept, pair_gone, word_kept, word_gone in _rows(batches):
-            own = Chunk(*opened)
+            own = Chunk(None, *opened)
             c2 = (from_planes(pair_kept, 8) + from_planes(pair_gone, 8)).astype(np.float64)
             c1 = (from_planes(word_kept, 8) + from_planes(word_gone, 8)).astype(np.float64)
             seen = c1[own.before]
             mix = weights[bucket(seen)]
             p = mix[:, 0] * c2 / np.maximum(seen, 1) + mix[:, 1] * c1[own.last] / max(n_all, 1) + mix[:, 2] / (v + 1)
-            outs, lengths = np.asarray(opened[2], bool), np.asarray(opened[4], np.int64)
+            outs, lengths = np.asarray(opened[1], bool), np.asarray(opened[3], np.int64)
             starts = np.cumsum(lengths) - lengths
             columns = [
                 pa.array(ids, pa.int64()), pa.array(outs), pa.array(lengths),

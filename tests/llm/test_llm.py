@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -654,3 +655,25 @@ def test_lm_scores_leave_the_counted_chunks_only(spark, tmp_path, monkeypatch):
     assert len(list(tmp_path.iterdir())) == 1
     assert rows.count() == 60
     assert spark.conf.get(common.FREED, None) is None
+
+
+def test_lm_totals_return_in_the_order_of_places():
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 1 << 63, 50, dtype=np.uint64)
+    tokens = np.append(np.arange(50), rng.integers(0, 50, 400))
+    opened = interpolation.planes(tokens), [False], [False], [len(tokens)]
+    full, plain = interpolation.Chunk(words.tobytes(), *opened), interpolation.Chunk(None, *opened)
+    totals = pd.DataFrame(
+        [
+            {"kind": kind, "range": 0, "kept": interpolation.planes(n, 8), "gone": interpolation.planes(n * 2, 8), "n_kept": 1, "n_seen": 2}
+            for kind in (interpolation.PAIR, interpolation.WORD)
+            for n in [full.counts(kind, 0)]
+        ]
+    )
+    chunk = pd.DataFrame([dict(zip(["words", "tokens", "outs", "gone", "lengths"], [words.tobytes(), *opened], strict=True))])
+    out = interpolation.returned(chunk, totals)
+    assert "words" not in out
+    for kind, name in ((interpolation.PAIR, "pair"), (interpolation.WORD, "word")):
+        own = interpolation.from_planes(out[f"{name}_kept"].iloc[0], 8)
+        assert own.tolist() == plain.counts(kind, 0).tolist()
+        assert (interpolation.from_planes(out[f"{name}_gone"].iloc[0], 8) == 2 * own).all()

@@ -5,7 +5,7 @@ from datetime import date
 
 import pytest
 
-from checks import table
+from checks import QUERIES, table
 from checks.calls import PERIOD
 from checks.sources import call_sources
 from ringroster.operators.filters import in_days, latest_snapshot
@@ -125,6 +125,14 @@ def test_union_filters_reach_every_branch(spark):
     assert all("GreaterThanOrEqual(ts" in p and "LessThanOrEqual(ts" in p for p in pushed)
 
 
+def test_pairs_of_legs_are_made_last(spark, no_broadcast):
+    """Rows without an external call are spread, and pairs with queue legs move no more."""
+    plan = plan_of(QUERIES["leg_self_join"](spark, FOLDER))
+    joins = re.findall(r"SortMergeJoin \[(\w+)#\d+L?(, _part#\d+)?", plan)
+    assert joins[0][0] == "_at" and len([j for j in joins if j[0] == "_at"]) == 1
+    assert ("idligextprincipal", ", _part#") in [(k, p[:8]) for k, p in joins]
+
+
 def test_no_default_broadcast_hints(spark):
     plan = call_sources(spark, FOLDER)
     legs = calls_legs(plan, PERIOD)

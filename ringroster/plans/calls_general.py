@@ -95,4 +95,6 @@ def general_calls(
     # a condition on the facts removes calls without facts, so the join is inner
     collation = calls_collation or facts_collation
     same = collated(calls.t_uniqueid, collation) == collated(facts.d_linkedid, collation)
-    return calls.join(facts, same, "inner")
+    # the calls of a period are hashed and the wide facts of all periods pass by unsorted, as a
+    # sort holds them whole, far above the compressed size by which Spark joins partitions
+    return calls.hint("shuffle_hash").join(facts, same, "inner")

@@ -68,6 +68,7 @@ SOURCES = (
     "templateps", "pesquisasatisfacao", "desconexao", "contatocanal", "contato",
 )
 AGENT_KIND = "atendimento fila"
+QUEUE_KIND = "fila"
 LEG_KINDS = ("fila", AGENT_KIND, "ramal")
 CONTACT_KINDS = tuple(CONTACT_TYPES)
 QUEUE_KINDS = (1, 2, 3)
@@ -160,7 +161,8 @@ def _with_call_tables(calls: DataFrame, sources: Mapping[str, DataFrame]) -> Dat
         & F.col("idtemplateps").isNotNull()
         & F.col("pesquisasatisfacao")
     )
-    # call ids are unique and never null, so the three tables share one shuffle by them
+    # call ids are never null and repeat for hang-up records only, so the three tables share
+    # one shuffle by them
     rights = [
         (any_key_rows(tabulation, ["t_agente", "t_fila"], "_t_key"), "_t_key"),
         (any_key_rows(survey, ["ps_agente", "ps_fila"], "_ps_key"), "_ps_key", surveyed),
@@ -172,14 +174,7 @@ def _with_call_tables(calls: DataFrame, sources: Mapping[str, DataFrame]) -> Dat
 def _with_related_calls(
     legs: DataFrame, sources: Mapping[str, DataFrame], period: Period, kinds: Sequence[str]
 ) -> DataFrame:
-    """External leg, voice-assistant leg and hang-up record; agent legs find theirs through
-    the queue leg of the contact."""
-    ended_leg = F.col("uniqueid")
-    if AGENT_KIND in kinds:
-        legs = link_queue_leg(legs, {"uniqueid": "fila_uniqueid"}, calls=sources["ligacao"])
-        ended_leg = F.when(F.col("tipo") == AGENT_KIND, F.col("fila_uniqueid")).otherwise(
-            ended_leg
-        )
+    """External leg, voice-assistant leg and, but for agent legs, hang-up record."""
     calls = as_intervals(sources["ligacao"], CALL_TIMES)
     spans = ("datahora", "datahoraatende", "datahorafim", "tempototal", "tempoatendimento")
     external = _named(calls, {"id": "x_id", **{c: f"externo_{c}" for c in spans}})
@@ -216,12 +211,42 @@ def _with_related_calls(
         *[f"assistente_{c}" for c in spans],
     )
     legs = split_left_join(legs, [(assistant, "a_id")], "idliganterior", spread_by=["id"])
-    hangup = _named(sources["desconexao"], {"uniqueid": "d_uniqueid", "quem": "quem"})
-    return join_on_expr(legs, hangup, ended_leg, "d_uniqueid", spread_by=["id"])
+    own = F.when(F.col("tipo") != AGENT_KIND, F.col("uniqueid"))
+    return join_on_expr(legs, _hangups(sources), own, "d_uniqueid", spread_by=["id"])
+
+
+def _hangups(sources: Mapping[str, DataFrame]) -> DataFrame:
+    return _named(sources["desconexao"], {"uniqueid": "d_uniqueid", "quem": "quem"})
+
+
+def _with_queue_hangup(legs: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
+    """Hang-up records of agent legs, found through the queue legs of the contact.
+
+    An agent leg is repeated for each of these, and such pairs grow faster than legs. So the
+    queue legs meet their hang-up records first, and the pairs are made by the last join.
+    """
+    queue = sources["ligacao"].where(F.col("tipo") == QUEUE_KIND)
+    queue = queue.select("id", "tipo", "linkedid", "datahoraatende", "idstatusfinal", "uniqueid")
+    queue = join_on_expr(queue, _hangups(sources), F.col("uniqueid"), "d_uniqueid", spread_by=["id"])
+    legs = link_queue_leg(legs, {"uniqueid": "fila_uniqueid", "quem": "fila_quem"}, calls=queue)
+    quem = F.when(F.col("tipo") == AGENT_KIND, F.col("fila_quem")).otherwise(F.col("quem"))
+    return legs.withColumn("quem", quem).drop("fila_quem")
+
+
+def _with_people(legs: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
+    """Left joins to the agent and the contact of a leg."""
+    users = _named(
+        sources["usuario"], {"id": "usr_id", "matricula": "matricula", "nome": "usuario"}
+    )
+    legs = lookup(legs, users, "idusuario", "usr_id", spread_by=["id"]).drop("usr_id")
+    channel = _named(sources["contatocanal"], {"id": "conc_id", "idcontato": "conc_contato"})
+    contact = _named(sources["contato"], {"id": "c_id", "nome": "nomecontato"})
+    contact = lookup(channel, contact, "conc_contato", "c_id").select("conc_id", "nomecontato")
+    return split_left_join(legs, [(contact, "conc_id")], "idcontatocanal", spread_by=["id"])
 
 
 def _with_names(legs: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Left joins to the small tables of names."""
+    """Left joins to the names of a tabulation and to the survey shown."""
     for table, key, output in (
         ("tabulacaofila", "t_idtipo", "tf_nome"),
         ("tabulacaocampanha", "t_idtipocampanha", "tbc_nome"),
@@ -230,10 +255,6 @@ def _with_names(legs: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
     ):
         names = _named(sources[table], {"id": "_id", "nome": output})
         legs = lookup(legs, names, key, "_id", spread_by=["id"]).drop("_id", key)
-    users = _named(
-        sources["usuario"], {"id": "usr_id", "matricula": "matricula", "nome": "usuario"}
-    )
-    legs = lookup(legs, users, "idusuario", "usr_id", spread_by=["id"]).drop("usr_id")
     template = _named(
         sources["templateps"],
         {
@@ -246,11 +267,7 @@ def _with_names(legs: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
             **{f"respemzero{i}": f"tps_zero{i}" for i in QUESTIONS},
         },
     )
-    legs = lookup(legs, template, "idtemplateps", "pesquisafila", spread_by=["id"])
-    channel = _named(sources["contatocanal"], {"id": "conc_id", "idcontato": "conc_contato"})
-    contact = _named(sources["contato"], {"id": "c_id", "nome": "nomecontato"})
-    contact = lookup(channel, contact, "conc_contato", "c_id").select("conc_id", "nomecontato")
-    return split_left_join(legs, [(contact, "conc_id")], "idcontatocanal", spread_by=["id"])
+    return lookup(legs, template, "idtemplateps", "pesquisafila", spread_by=["id"])
 
 
 def _legs_of(
@@ -299,8 +316,12 @@ def calls_legs(
 
     A leg is repeated for each dialer, tabulation, survey or hang-up row that it has.
     """
-    legs = _with_call_tables(contact_legs(sources, period, kinds), sources)
-    legs = _with_names(_with_related_calls(legs, sources, period, kinds), sources)
+    # rows are repeated late, so that the joins before move and sort each leg once
+    legs = _with_related_calls(contact_legs(sources, period, kinds), sources, period, kinds)
+    legs = _with_call_tables(_with_people(legs, sources), sources)
+    legs = _with_names(legs, sources)
+    if AGENT_KIND in kinds:
+        legs = _with_queue_hangup(legs, sources)
     return legs.withColumns(
         {
             "tipofila": code_label("f_tipofila", QUEUE_TYPES, QUEUE_TYPE_OTHER),

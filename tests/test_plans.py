@@ -133,6 +133,26 @@ def test_pairs_of_legs_are_made_last(spark, no_broadcast):
     assert ("idligextprincipal", ", _part#") in [(k, p[:8]) for k, p in joins]
 
 
+def test_wide_facts_are_not_sorted(spark, no_broadcast):
+    plan = plan_of(QUERIES["general_calls"](spark, FOLDER))
+    assert "ShuffledHashJoin" in plan and "BuildLeft" in plan and " Sort [" not in plan
+
+
+def test_pairs_of_contact_legs_are_made_last(spark, no_broadcast):
+    plan = plan_of(calls_legs(call_sources(spark, FOLDER), PERIOD))
+    joins = re.findall(r"SortMergeJoin \[(\w+)#\d+L?.*?\], \[(\w+)#", plan)
+    assert joins[0][0] == "_at"
+    # of the left side, only the mark of its partners comes between the names and the pairs
+    assert joins[1][0] == "_key" and joins[2][0].startswith("t_id")
+
+
+def test_legs_are_repeated_after_other_calls_are_met(spark, no_broadcast):
+    legs = calls_legs(call_sources(spark, FOLDER), PERIOD, CONTACT_KINDS)
+    joins = re.findall(r"SortMergeJoin \[(\w+)#", plan_of(legs))
+    # from the last join to the first; tabulations and surveys repeat legs by the first two _at
+    assert joins.index("_at") < joins.index("id") < joins.index("idusuario") < len(joins)
+
+
 def test_no_default_broadcast_hints(spark):
     plan = call_sources(spark, FOLDER)
     legs = calls_legs(plan, PERIOD)

@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ringroster.operators.joins import (
+    any_key_rows,
     fan_out,
     join_any_key,
     join_on_expr,
@@ -176,3 +177,11 @@ def test_semi_join_ignores_null_and_repeated_keys(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k bigint")
     keys = spark.createDataFrame([(1,), (1,), (None,)], "x bigint")
     assert rows(semi_by_keys(df, keys, "k", "x")) == [(1,)]
+
+
+def test_any_key_rows_are_compiled(spark):
+    """One row per distinct key that is not null, by plain conditions."""
+    data = [(1, 5, 5, 7), (2, None, 5, None), (3, None, None, None), (4, 7, 5, 7)]
+    made = any_key_rows(spark.createDataFrame(data, "id int, a int, b bigint, c int"), ["a", "b", "c"])
+    assert rows(made.select("id", "_any_key")) == [(1, 5), (1, 7), (2, 5), (4, 5), (4, 7)]
+    assert "lambda" not in made._jdf.queryExecution().executedPlan().toString()

@@ -27,6 +27,7 @@ WINDOW = 2048
 STEPS = 150
 CLOSE = 1e-3  # residual, as a share of the counts, at which solving ends
 TURNS = 12
+REMEMBERED = 200_000  # pieces of text, for a worker holds what it packs beside them
 PIECES = (
     "doc_id long, row long, start long, length int, ids binary, ids_crc32 long, doc_tokens long"
 )
@@ -44,13 +45,13 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
             ids_of, texts = batch.column(0).to_pylist(), texts_of(batch.column(1))
             out: list[tuple] = []
             size = 0
-            for doc_id, ids in zip(ids_of, token_bytes(texts, path), strict=True):
+            for doc_id, ids in zip(ids_of, token_bytes(texts, path, REMEMBERED), strict=True):
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     part = ids[start * 4 : (start + window) * 4]
                     out.append((doc_id, 0, start, len(part) // 4, part, zlib.crc32(part), total))
                 size += len(ids)
-                if size > 16 << 20:
+                if size > 4 << 20:
                     yield _piece_batch(out)
                     out, size = [], 0
             if out:

@@ -677,3 +677,13 @@ def test_lm_totals_return_in_the_order_of_places():
         own = interpolation.from_planes(out[f"{name}_kept"].iloc[0], 8)
         assert own.tolist() == plain.counts(kind, 0).tolist()
         assert (interpolation.from_planes(out[f"{name}_gone"].iloc[0], 8) == 2 * own).all()
+
+
+def test_pieces_remembered_are_bounded():
+    path = common.tokenizer_path()
+    texts = [" ".join(f"w{i}x{j}" for j in range(50)) for i in range(20)]
+    plain = list(common.token_bytes(texts, path))
+    common._token_memo.pop(path)
+    few = [next(common.token_bytes([t], path, 60)) for t in texts]
+    memo = common._token_memo.pop(path)
+    assert few == plain and len(memo) + len(memo.before) < 300

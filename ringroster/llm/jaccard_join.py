@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringroster.llm.common import (
+    free_shuffles,
     mixed,
     repeat_rows,
     row_tag,
@@ -37,7 +38,7 @@ from ringroster.llm.common import (
     windows_hash,
     word_hashes,
 )
-from ringroster.llm.components import components
+from ringroster.llm.components import rooted, stars
 from ringroster.spool import spooled
 
 WORDS = 5
@@ -400,15 +401,18 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
         return spooled(found.mapInArrow(_sets(words), SETS).dropDuplicates(["node"]))
 
     links = spooled(_verified(_stars(shared, percent), signatures, sets_of, percent))
-    opened = _opened(spooled(_placed(shared.select("token", "node", "meta"), components(links))))
+    groups = stars(links)
+    opened = _opened(spooled(_placed(shared.select("token", "node", "meta"), rooted(groups))))
     sketches = members.where("node is not null").select("node", *SKETCHES).dropDuplicates(["node"])
     opened = spooled(opened.join(sketches, "node"))
+    free_shuffles(docs.sparkSession)  # some ten plans have ended, and the driver holds what they left
     for seed in range(ROUNDS):
         found = spooled(_verified(_drawn(opened, percent, seed), signatures, sets_of, percent))
-        links = links.unionByName(found)
-        opened = _regrouped(opened, components(links))
+        groups = stars(groups.unionByName(found))  # stars stand for all links before
+        opened = _regrouped(opened, rooted(groups))
+        free_shuffles(docs.sparkSession)
     rest = spooled(_verified(_across(opened, percent), signatures, sets_of, percent))
-    roots = components(links.unionByName(rest))
+    roots = rooted(stars(groups.unionByName(rest)))
 
     nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("d"))
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -423,7 +427,7 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs`, one of each group: that with the least doc_id (null last), of
     equal ids the one with the least row hash. Rows without words all stay."""
-    found = linked(docs, words, percent)
+    found = spooled(linked(docs, words, percent).select("doc_id", "root", "_tag"))  # read twice below
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_tag")).alias("m")
     kept = found.where("root is not null").groupBy("root").agg(first).select(F.col("m._tag").alias("_tag"))
     count = found.groupBy("_tag").agg(F.count("*").alias("_times"), F.first("root", True).alias("root"))

@@ -10,6 +10,7 @@ that is, is taken from documents compared with centroids they had no part in.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,6 +52,18 @@ def features(text: str) -> np.ndarray:
     return np.bincount(at, minlength=WIDTH).astype(np.float64)
 
 
+def packed_counts(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Places of the trigrams that a text has, and their counts: few of all places."""
+    at = np.flatnonzero(counts)
+    return at.astype("<u2").tobytes(), counts[at].astype("<f4").tobytes()
+
+
+def unpacked_counts(at: bytes, n: bytes) -> np.ndarray:
+    counts = np.zeros(WIDTH, np.float32)
+    counts[np.frombuffer(at, "<u2")] = np.frombuffer(n, "<f4")
+    return counts
+
+
 def unit(rows: np.ndarray) -> np.ndarray:
     norm = np.sqrt((rows * rows).sum(1, keepdims=True))
     return rows / np.where(norm > 0, norm, 1.0)
@@ -109,13 +122,16 @@ def fit(samples: list[tuple[str, np.ndarray]]) -> Model | None:
     """
     if not samples:
         return None
-    counts = np.stack([c for _, c in samples])
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1
-    rows = unit(np.log1p(counts) * idf)
-    names = np.array([n for n, _ in samples])
+    there = np.zeros(len(samples[0][1]), np.int64)
+    places = defaultdict(list)
+    for i, (name, counts) in enumerate(samples):
+        there += counts > 0
+        places[name].append(i)
+    idf = np.log((1 + len(samples)) / (1 + there)) + 1
     centres, languages, own_floors, pairs = [], [], {}, []
-    for name in sorted(set(names.tolist())):
-        own = rows[names == name]
+    for name in sorted(places):  # rows of one language at a time
+        own = np.stack([samples[i][1] for i in places[name]]).astype(np.float64)
+        own = unit(np.log1p(own, out=own) * idf)
         found, at = clusters(own, CENTROIDS, SEED)
         if len(own) >= SUPPORT:
             own_floors[name] = SLACK * np.quantile(left_out(own, found, at), 0.01)
@@ -158,13 +174,15 @@ def learned(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
             texts = texts_of(batch.column(2))
             for lang, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, strict=True):
                 if has_letter(text):
-                    rows.append((lang, h, features(text).astype("<f4").tobytes()))
-            lang, h, data = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(h, pa.int64()), pa.array(data, pa.binary())], ["lang", "h", "counts"])
+                    rows.append((lang, h, *packed_counts(features(text))))
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = [pa.string(), pa.int64(), pa.binary(), pa.binary()]
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["lang", "h", "at", "n"])
 
-    rows = met.mapInArrow(count, "lang string, h long, counts binary").collect()
+    rows = met.mapInArrow(count, "lang string, h long, at binary, n binary").collect()
     rows.sort(key=lambda r: (r["lang"], r["h"]))
-    return fit([(r["lang"], np.frombuffer(r["counts"], "<f4").astype(np.float64)) for r in rows])
+    return fit([(r["lang"], unpacked_counts(r["at"], r["n"])) for r in rows])
 
 
 def identified(docs: DataFrame, model: Model | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -199,6 +200,22 @@ def test_components_of_a_chain_and_a_star(spark):
     assert {(r.node, r.root) for r in got} == {(i, 0) for i in range(41)} | {(i, 100) for i in range(100, 140)}
 
 
+def test_stars_end_without_a_round_that_changes_nothing(spark, monkeypatch):
+    rounds = []
+    small = components._small
+    monkeypatch.setattr(components, "_small", lambda edges: rounds.append(1) or small(edges))
+    schema = "u long, v long"
+    star = spark.createDataFrame([(i, 1) for i in range(2, 30)] + [(90, 70), (70, 90), (None, 3), (5, 5)], schema)
+    edges = components.stars(star)
+    assert not rounds
+    assert {tuple(r) for r in edges.collect()} == {(i, 1) for i in range(2, 30)} | {(90, 70)}
+    assert not components.stars(spark.createDataFrame([], schema)).collect() and not rounds
+    # stars found before stand for their links
+    more = edges.unionByName(spark.createDataFrame([(29, 90), (0, 70)], schema))
+    got = {(r.node, r.root) for r in components.rooted(components.stars(more)).collect()}
+    assert rounds and got == {(i, 0) for i in [*range(30), 70, 90]}
+
+
 def test_packing(spark, docs):
     placed = packing.packed(docs)
     got = placed.collect()
@@ -394,6 +411,33 @@ def test_sample_takes_each_text_once(spark):
     assert len({c.tobytes() for _, c in seen[1]}) == len(seen[1]) <= 61
 
 
+def test_learning_holds_the_rows_of_one_language_at_a_time():
+    rng = np.random.default_rng(52)
+    samples = []
+    for k in range(12):
+        for _ in range(60):
+            counts = np.zeros(language.WIDTH)
+            counts[rng.integers(k * 300, k * 300 + 600, 200)] += rng.integers(1, 9, 200)
+            packed = language.packed_counts(counts)
+            assert sum(map(len, packed)) <= 6 * 200
+            assert (language.unpacked_counts(*packed) == counts).all()
+            samples.append((f"l{k:02}", language.unpacked_counts(*packed)))
+    tracemalloc.start()
+    try:
+        model = language.fit(samples)
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert held < len(samples) * language.WIDTH * 8  # less than all rows as doubles once
+    # the same model as from all rows together
+    counts = np.stack([c for _, c in samples]).astype(np.float64)
+    assert (model.idf == np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1).all()
+    rows = language.unit(np.log1p(counts) * model.idf)
+    for k in range(12):
+        own, _ = language.clusters(rows[60 * k : 60 * k + 60], language.CENTROIDS, language.SEED)
+        assert (np.array([c for c, n in zip(model.centroids, model.languages, strict=True) if n == f"l{k:02}"]) == own).all()
+
+
 def test_left_out_cosines():
     rng = np.random.default_rng(51)
     rows = language.unit(rng.random((12, 30)))

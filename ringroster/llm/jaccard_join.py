@@ -34,6 +34,7 @@ from ringroster.llm.common import (
     mixed,
     repeat_rows,
     row_tag,
+    small_batches,
     texts_of,
     windows_hash,
     word_hashes,
@@ -370,6 +371,11 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     other columns are ignored. Words are lower-cased A-Z; shingles are told apart by 64-bit
     hashes.
     """
+    with small_batches(docs.sparkSession):  # all plans with texts or sets end within
+        return _linked(docs, words, percent)
+
+
+def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), row_tag(docs).alias("tag"), "text")
     scanned = spooled(keyed.mapInArrow(_nodes(words), NODES))
     members = scanned.where("bin is null")

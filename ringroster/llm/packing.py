@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringroster.llm.common import ranked, texts_of, token_bytes, tokenizer_path
+from ringroster.llm.common import ranked, small_batches, texts_of, token_bytes, tokenizer_path
 from ringroster.spool import spooled
 
 WINDOW = 2048
@@ -41,6 +41,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
     path = path or tokenizer_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # a worker may have served other plans before
         for batch in batches:
             ids_of, texts = batch.column(0).to_pylist(), texts_of(batch.column(1))
             out: list[tuple] = []
@@ -59,7 +60,8 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
 
     made = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
     # written once, so the row numbers stay as they are
-    return spooled(made.withColumn("row", F.monotonically_increasing_id()))
+    with small_batches(docs.sparkSession):
+        return spooled(made.withColumn("row", F.monotonically_increasing_id()))
 
 
 def _piece_batch(out: list[tuple]) -> pa.RecordBatch:

@@ -438,6 +438,16 @@ def test_learning_holds_the_rows_of_one_language_at_a_time():
         assert (np.array([c for c, n in zip(model.centroids, model.languages, strict=True) if n == f"l{k:02}"]) == own).all()
 
 
+def test_texts_pass_to_workers_in_small_batches(spark, monkeypatch):
+    before = spark.conf.get(common.BATCH)
+    seen = []
+    written = packing.spooled
+    monkeypatch.setattr(packing, "spooled", lambda df: seen.append(df.sparkSession.conf.get(common.BATCH)) or written(df))
+    docs = spark.createDataFrame([(i, f"word{i} other words") for i in range(2500)], "doc_id long, text string").coalesce(1)
+    assert packing.pieces(docs).count() == 2500
+    assert seen == [str(common.BATCH_ROWS)] and spark.conf.get(common.BATCH) == before
+
+
 def test_left_out_cosines():
     rng = np.random.default_rng(51)
     rows = language.unit(rng.random((12, 30)))

@@ -23,8 +23,9 @@ def _with_least(both: DataFrame) -> DataFrame:
 
 
 def _large(edges: DataFrame) -> DataFrame:
+    """At most one edge for each of `edges`; equal ones fall together in the small star."""
     met = _with_least(_either(edges, ("u", "v"), ("v", "u"))).where("v > u")
-    return met.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return met.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small(edges: DataFrame) -> DataFrame:
@@ -42,12 +43,15 @@ def _settled(edges: DataFrame) -> bool:
     return not nodes.where("n > 1 or (n = 1 and least = 0)").agg(F.count("*")).first()[0]
 
 
-def stars(links: DataFrame) -> DataFrame:
+def stars(links: DataFrame, distinct: bool = False) -> DataFrame:
     """An edge (u, v) from each node in `links` (u, v) to the least node of its component, if
     that is another. Stars and further links have the components of all links.
 
+    Links that are `distinct`, in either direction, and written already are not written again.
     Each round is written out, so a lost executor repeats one round at most."""
-    edges = spooled(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    edges = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    if not distinct:
+        edges = spooled(edges.distinct())
     while not _settled(edges):
         edges = spooled(_small(_large(edges)))
     return edges

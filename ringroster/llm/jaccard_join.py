@@ -39,7 +39,7 @@ from ringroster.llm.common import (
     windows_hash,
     word_hashes,
 )
-from ringroster.llm.components import rooted, stars
+from ringroster.llm.components import stars
 from ringroster.spool import spooled
 
 WORDS = 5
@@ -52,9 +52,10 @@ ROUNDS = 1  # in which documents meet some others of a shingle; the rest is met
 DRAWN = 8  # documents of each shingle in a round
 SKETCH = 4  # 64-bit words of parities
 SKETCHES = [f"s{i}" for i in range(SKETCH)]
-NODES = "doc_id long, text_hash long, tag long, node long, n int, bin int, bits binary, " + ", ".join(f"{s} long" for s in SKETCHES)
+NODES = "doc_id long, text_hash long, tag long, node long, n int, bin int, bits array<long>, " + ", ".join(f"{s} long" for s in SKETCHES)
 POSTINGS = "token long, node long, meta long"
-SETS = "node long, items binary"
+SETS = "node long, items array<long>"
+LONGS = pa.list_(pa.int64())
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -108,19 +109,19 @@ def _nodes(words: int):
                 items = shingles(text, words)
                 sizes.append(len(items))
                 nodes.append(node_of(items) if len(items) else None)
-                bits.append(signature(items) if len(items) else None)
+                bits.append(np.frombuffer(signature(items), "<i8") if len(items) else None)
                 sketches.append(sketch(items))
                 bins += np.bincount(_bin(items), minlength=BINS) if len(items) > BINS else 0
                 if len(items) <= BINS:
                     np.add.at(bins, _bin(items), 1)
             none = pa.nulls(len(nodes), pa.int32())
-            columns = [*batch.columns[:3], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), none, pa.array(bits, pa.binary())]
+            columns = [*batch.columns[:3], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), none, pa.array(bits, LONGS)]
             columns += [pa.array(x) for x in np.array(sketches, np.int64).reshape(-1, SKETCH).T]
             yield pa.RecordBatch.from_arrays(columns, names)
         used = np.flatnonzero(bins)
         none = pa.nulls(len(used), pa.int64())
         columns = [none, none, none, pa.array(bins[used]), pa.nulls(len(used), pa.int32()), pa.array(used, pa.int32())]
-        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(used), pa.binary()), *[none] * SKETCH], names)
+        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(used), LONGS), *[none] * SKETCH], names)
 
     return scan
 
@@ -179,7 +180,8 @@ def sketch(items: np.ndarray) -> np.ndarray:
 
 
 def may_be_similar(a: np.ndarray, b: np.ndarray, sizes: int, percent: int) -> bool:
-    """False only if two sets, of `sizes` items together, cannot be similar enough."""
+    """False only if two sets, of `sizes` items together, cannot be similar enough. The plain
+    form of `_may_be_similar`."""
     while len(a) > len(b):
         a = a[: len(a) // 2] ^ a[len(a) // 2 :]
     while len(b) > len(a):
@@ -189,7 +191,7 @@ def may_be_similar(a: np.ndarray, b: np.ndarray, sizes: int, percent: int) -> bo
 
 
 def _set_rows(nodes: list[int], held: list[np.ndarray]) -> pa.RecordBatch:
-    items = pa.array([x.astype("<u8").tobytes() for x in held], pa.binary())
+    items = pa.array([x.view(np.int64) for x in held], LONGS)
     return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), items], ["node", "items"])
 
 
@@ -214,6 +216,7 @@ def _sets(words: int):
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets are similar enough. The plain form of `_similar`."""
     if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
         return False
     both = np.concatenate((a, b))
@@ -222,34 +225,44 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(both) - shared)
 
 
-def _filtered(pairs: DataFrame, sets: DataFrame, column: str, columns: str, keep) -> DataFrame:
-    """Pairs (u, v, sizes) for which `keep` holds of a binary column of both sets."""
+def _may_be_similar(a: Column, b: Column, sizes: Column, percent: int) -> Column:
+    """False only if two sets with these signatures, of `sizes` items together, cannot be
+    similar enough."""
+    short = F.when(F.size(a) <= F.size(b), a).otherwise(b)
+    long = F.when(F.size(a) <= F.size(b), b).otherwise(a)
+    parts = F.sequence(F.lit(0), (F.size(long) / F.size(short)).cast("int") - 1)  # sizes are powers of two
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [
-                keep(np.frombuffer(a.as_buffer(), columns), np.frombuffer(b.as_buffer(), columns), n)
-                for n, a, b in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True)
-            ]
-            rows = pa.RecordBatch.from_arrays(batch.columns[:3], ["u", "v", "sizes"])
-            yield rows.filter(pa.array(kept, pa.bool_()))
+    def folded(odd: Column, part: Column) -> Column:
+        return F.zip_with(odd, F.slice(long, part * F.size(short) + 1, F.size(short)), lambda x, y: x.bitwiseXOR(y))
+
+    differ = F.aggregate(F.aggregate(parts, short, folded), F.lit(0), lambda n, x: n + F.bit_count(x))
+    return (sizes - differ) * (100 + percent) >= sizes * (2 * percent)
+
+
+def _similar(a: Column, b: Column, percent: int) -> Column:
+    """Whether two sets are similar enough."""
+    sizes = F.size(a).cast("long") + F.size(b)
+    return F.size(F.array_intersect(a, b)).cast("long") * (100 + percent) >= sizes * percent
 
-    a = sets.select(F.col("node").alias("v"), F.col(column).alias("b"))
-    b = sets.select(F.col("node").alias("u"), F.col(column).alias("a"))
-    met = pairs.join(a, "v").join(b, "u").select("u", "v", "sizes", "a", "b")
-    return met.mapInArrow(check, "u long, v long, sizes long")
+
+def _beside(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """Pairs (u, v) with columns of both sets, as a_ and b_."""
+    a, b = (sets.select(F.col("node").alias(k), *[F.col(c).alias(f"{x}_{c}") for c in columns]) for k, x in (("u", "a"), ("v", "b")))
+    return pairs.join(b, "v").join(a, "u")
 
 
 def _verified(
-    pairs: DataFrame, signatures: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int
+    pairs: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int
 ) -> DataFrame:
     """Pairs (u, v) whose sets are similar enough: first by their signatures, which are a
     small part of the sets and never reject a similar pair, then by the whole sets, which are
-    built only for the nodes of the pairs that are left."""
-    near = _filtered(pairs, signatures, "bits", "u1", lambda a, b, n: may_be_similar(a, b, n, percent))
-    near = spooled(near)
-    sets = sets_of(near.select(F.col("u").alias("node")).union(near.select("v")).distinct())
-    return _filtered(near, sets, "items", "<u8", lambda a, b, n: similar(a, b, percent)).select("u", "v")
+    built only for the nodes of the pairs that are left. Both tests are columns, so they run
+    with the joins; only the making of sets takes workers."""
+    near = _beside(pairs, nodes, "bits", "source")
+    near = near.where(_may_be_similar(F.col("a_bits"), F.col("b_bits"), F.col("sizes"), percent))
+    near = spooled(near.select("u", "v", "a_source", "b_source"))
+    sets = sets_of(near.select(F.explode(F.array("a_source", "b_source")).alias("s")).select("s.*").distinct())
+    return _beside(near, sets, "items").where(_similar(F.col("a_items"), F.col("b_items"), percent)).select("u", "v")
 
 
 def _size(meta: str) -> Column:
@@ -297,8 +310,9 @@ def _stars(postings: DataFrame, percent: int) -> DataFrame:
     tops = salted.withColumn("top", F.min("hub").over(among)).where("hub.node <> top.node")
     tops = tops.select(F.col("hub.node").alias("node"), F.col("hub.meta").alias("meta"), F.col("top.node").alias("h"), F.col("top.meta").alias("hm"))
     pairs = own.where(_counts("meta", "hm", percent)).unionByName(tops.where(_fits("meta", "hm", percent)))
-    sizes = _size("meta") + _size("hm")
-    counted = pairs.groupBy("node", "h").agg(F.count("*").alias("c"), F.first(sizes).alias("sizes"))
+    # a node has as many rows as its prefix at most; dealt by node, they are shuffled once for all that follows
+    pairs = pairs.select("node", "h", (_size("meta") + _size("hm")).alias("sizes")).repartition("node")
+    counted = pairs.groupBy("node", "h").agg(F.count("*").alias("c"), F.first("sizes").alias("sizes"))
     best = counted.groupBy("node").agg(F.max(F.struct("c", "h", "sizes")).alias("b"))
     return best.select(F.col("b.h").alias("u"), F.col("node").alias("v"), "b.sizes")
 
@@ -316,8 +330,10 @@ def _regrouped(opened: DataFrame, groups: DataFrame) -> DataFrame:
     return spooled(_opened(_placed(opened.drop("root", "main"), groups)))
 
 
-def _placed(postings: DataFrame, groups: DataFrame) -> DataFrame:
-    return postings.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _placed(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Adds each node's root, from stars; what is in none is its own root, as a root is."""
+    roots = groups.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def _candidates(met: DataFrame, a: str, am: str, b: str, bm: str) -> DataFrame:
@@ -394,36 +410,35 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     # token and node fix the salt; with it the rows need not be shuffled again
     shared = spooled(shared.dropDuplicates(["token", "_salt", "node"]).drop("_most", "_salt"))
 
-    signatures = spooled(members.where("node is not null").select("node", "bits").dropDuplicates(["node"]))
     id_key = F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))
+    nodes = members.where("node is not null").groupBy("node").agg(
+        *[F.first(c).alias(c) for c in ("bits", *SKETCHES)],
+        F.min(F.struct("text_hash", id_key.alias("_id"))).alias("source"),
+        F.min("doc_id").alias("d"),
+    )
+    nodes = spooled(nodes)  # one row per set, with one of its texts
     texts = docs.select("text", F.xxhash64("text").alias("text_hash"), id_key.alias("_id"))
 
-    def sets_of(nodes: DataFrame) -> DataFrame:
-        """The sets of some nodes, each from one of its texts. The list of these texts is
-        written first, so Spark knows its size when it chooses how to join."""
-        source = members.join(nodes, "node").groupBy("node").agg(F.min(F.struct("text_hash", id_key.alias("id"))).alias("s"))
-        source = spooled(source.select("s.text_hash", F.col("s.id").alias("_id")).distinct())
-        found = texts.join(source, ["text_hash", "_id"], "left_semi").select("text")
+    def sets_of(source: DataFrame) -> DataFrame:
+        """The sets of some texts. The list of these texts is written first, so Spark knows
+        its size when it chooses how to join."""
+        found = texts.join(spooled(source), ["text_hash", "_id"], "left_semi").select("text")
         return spooled(found.mapInArrow(_sets(words), SETS).dropDuplicates(["node"]))
 
-    links = spooled(_verified(_stars(shared, percent), signatures, sets_of, percent))
-    groups = stars(links)
-    opened = _opened(spooled(_placed(shared.select("token", "node", "meta"), rooted(groups))))
-    sketches = members.where("node is not null").select("node", *SKETCHES).dropDuplicates(["node"])
-    opened = spooled(opened.join(sketches, "node"))
+    links = spooled(_verified(_stars(shared, percent), nodes, sets_of, percent))
+    groups = stars(links, distinct=True)  # of each link found later, the ends are in two groups
+    opened = _opened(spooled(_placed(shared.select("token", "node", "meta"), groups)))
+    opened = spooled(opened.join(nodes.select("node", *SKETCHES), "node"))
     free_shuffles(docs.sparkSession)  # some ten plans have ended, and the driver holds what they left
     for seed in range(ROUNDS):
-        found = spooled(_verified(_drawn(opened, percent, seed), signatures, sets_of, percent))
-        groups = stars(groups.unionByName(found))  # stars stand for all links before
-        opened = _regrouped(opened, rooted(groups))
+        found = spooled(_verified(_drawn(opened, percent, seed), nodes, sets_of, percent))
+        groups = stars(groups.unionByName(found), distinct=True)  # stars stand for all links before
+        opened = _regrouped(opened, groups)
         free_shuffles(docs.sparkSession)
-    rest = spooled(_verified(_across(opened, percent), signatures, sets_of, percent))
-    roots = rooted(stars(groups.unionByName(rest)))
-
-    nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("d"))
-    nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = nodes.groupBy("root").agg(F.min("d").alias("component_id"))
-    named = nodes.join(least, "root").select(F.col("node").alias("_node"), "root", "component_id")
+    rest = spooled(_verified(_across(opened, percent), nodes, sets_of, percent))
+    named = _placed(nodes.select("node", "d"), stars(groups.unionByName(rest), distinct=True))
+    least = named.groupBy("root").agg(F.min("d").alias("component_id"))
+    named = named.join(least, "root").select(F.col("node").alias("_node"), "root", "component_id")
     grouped = members.where("node is not null").join(named, F.col("node") == F.col("_node"))
     out = ["doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "root", F.col("tag").alias("_tag")]
     alone = members.where("node is null").withColumns({"component_id": F.col("doc_id"), "root": F.lit(None).cast("long")})

@@ -167,6 +167,49 @@ def test_signatures_never_reject_similar_sets():
             assert jaccard_join.may_be_similar(x, y, len(a) + len(b), 80)
 
 
+def test_pairs_are_tested_by_columns_as_by_the_plain_tests(spark):
+    rng = np.random.default_rng(3)
+    rows, want = [], []
+    for i in range(200):
+        a = np.unique(rng.integers(0, 1 << 64, int(rng.integers(1, 400)), dtype=np.uint64))
+        kept = a[rng.random(len(a)) < rng.choice([0.3, 0.85, 0.95, 1.0])]
+        b = np.unique(np.concatenate((kept, rng.integers(0, 1 << 64, int(rng.integers(1, 40)), dtype=np.uint64))))
+        x, y = (np.frombuffer(jaccard_join.signature(s), "<i8") for s in (a, b))
+        rows.append((i, *([int(v) for v in s] for s in (a.view("<i8"), b.view("<i8"), x, y)), len(a) + len(b)))
+        bits = [v.view("u1") for v in (x, y)]
+        want.append((jaccard_join.similar(a, b, 85), jaccard_join.may_be_similar(*bits, len(a) + len(b), 85)))
+    frame = spark.createDataFrame(rows, "i int, a array<long>, b array<long>, x array<long>, y array<long>, n long")
+    found = frame.select(
+        "i",
+        jaccard_join._similar(F.col("a"), F.col("b"), 85).alias("s"),
+        jaccard_join._may_be_similar(F.col("x"), F.col("y"), F.col("n"), 85).alias("m"),
+    ).collect()
+    assert [(r.s, r.m) for r in sorted(found)] == want
+    assert {True, False} <= {s for s, _ in want} and (False, False) in want and len({len(r[3]) for r in rows}) > 2
+
+
+def test_jaccard_passes_texts_to_workers_only_to_make_sets(spark, monkeypatch):
+    """Each pass is a stage of as many tasks as a shuffle has partitions, however few the rows."""
+    passes = []
+    kind = type(spark.range(0))
+    run = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **b: passes.append(1) or run(self, *a, **b))
+    texts = [" ".join(f"w{j}" if j != 3 * i else f"own{i}" for j in range(150)) for i in range(40)] + ["own words of one text", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    context = spark.sparkContext
+    context.setJobGroup("few-stages", "")
+    try:
+        got = {r.doc_id: r.component_id for r in jaccard_join.linked(docs, 4, 85).collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {i: 0 if i < 40 else i for i in range(42)}
+    tracker = context.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few-stages") for s in tracker.getJobInfo(j).stageIds}
+    ran = [s for s in map(tracker.getStageInfo, stages) if s and s.numCompletedTasks]
+    assert len(passes) == 5, len(passes)
+    assert len(ran) <= 70, len(ran)
+
+
 def test_sketches_differ_no_more_than_sets():
     rng = np.random.default_rng(2)
     for _ in range(200):

@@ -1,5 +1,7 @@
 """Hot and missing keys do not end in one task."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,3 +158,29 @@ def test_rows_of_a_many_join_do_not_outnumber_its_pairs(skewed):
     left = skewed.range(0, 50).select(F.col("id").alias("k"))
     right = skewed.range(0, 50).select(F.col("id").alias("r"))
     assert split_many_join(left, right, "k", "r").count() == 50
+
+
+def test_pairs_of_a_many_join_are_small_in_a_file(skewed, tmp_path):
+    left = skewed.range(64).select(F.col("id").alias("l"), F.lit("hot").alias("k"))
+    right = skewed.range(0, 30_000, 1, 4).select(F.col("id").alias("r"), F.lit("hot").alias("rk"))
+    split_many_join(left, right, "k", "rk").write.parquet(str(tmp_path / "pairs"))
+    pairs = skewed.read.parquet(str(tmp_path / "pairs"))
+    assert pairs.distinct().count() == pairs.count() == 64 * 30_000
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 64 * 30_000 / 2
+
+
+def test_a_many_join_does_not_hold_the_pairs_of_a_part(skewed):
+    left = skewed.range(300).select(F.col("id").alias("l"), F.lit("hot").alias("k"))
+    n, plan = executed(split_many_join(left, left.toDF("r", "rk"), "k", "rk").where("l < r"))
+    assert n == 300 * 299 / 2
+    assert "Generate inline(" in plan and not re.search(r"\*\(\d+\) Generate inline\(", plan)
+
+
+def test_a_many_join_keeps_equal_rows_and_nulls(skewed):
+    left = skewed.range(0, 600, 1, 3).selectExpr("nullif(id % 5, 0) AS `l.1`", "nullif(id % 3, 0) AS k", "map(id % 2, 'x') AS m")
+    right = skewed.range(0, 900, 1, 3).selectExpr("nullif(id % 4, 1) AS r", "nullif(id % 6, 0) AS rk", "array(map(id % 2, 'y')) AS rm")
+    joined = split_many_join(left, right, "k", "rk")
+    plain = left.join(right, F.col("k") == F.col("rk"))
+    assert joined.schema.simpleString() == plain.schema.simpleString()
+    rows = [sorted(map(str, df.collect())) for df in (joined, plain)]
+    assert rows[0] == rows[1] and len(rows[0]) == 2 * 200 * 150
